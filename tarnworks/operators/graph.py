@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from tarnworks.operators.scale import HOT_ROWS, hot_entries
 from tarnworks.session import checkpoint, pinned_layout, shuffle_width
 
-EMPTY_SUM = F.lit(0.0)
+
+def _or_zero(value: Column | str) -> Column:
+    return F.coalesce(value, F.lit(0.0))
 
 
 def graph_nodes(edges: DataFrame, extra: DataFrame | None = None) -> DataFrame:
@@ -111,10 +113,10 @@ def pagerank_pass(
     )
     lost = (
         state.filter("degree = 0")
-        .agg(F.coalesce(F.sum("rank"), EMPTY_SUM).alias("lost"))
+        .agg(_or_zero(F.sum("rank")).alias("lost"))
         .scalar()
     )
-    rank = (lost / n + F.coalesce("inflow", EMPTY_SUM)) * (1 - alpha) + alpha
+    rank = (lost / n + _or_zero("inflow")) * (1 - alpha) + alpha
     return state.join(inflow, "id", "left").select(
         "id", "degree", (rank / n if normalize else rank).alias("rank")
     )
@@ -233,7 +235,7 @@ def topic_pagerank(
             return F.when(F.col("topic") == i, own).otherwise(other)
 
         sums = [F.sum(F.col("share")[i]).alias(f"in_{i}") for i in slots]
-        lost_sums = [F.coalesce(F.sum(F.col("p")[i]), EMPTY_SUM) for i in slots]
+        lost_sums = [_or_zero(F.sum(F.col("p")[i])) for i in slots]
         for _ in range(passes):
             shares = state.withColumn("share", F.transform("p", lambda x: x / F.col("degree")))
             inflow = _sent(layout, shares, ["share"]).groupBy(F.col("dst").alias("id")).agg(*sums)
@@ -245,7 +247,7 @@ def topic_pagerank(
                     "topic",
                     F.array(
                         *[
-                            (lost[i] / n + F.coalesce(f"in_{i}", EMPTY_SUM)) * (1 - alpha)
+                            (lost[i] / n + _or_zero(f"in_{i}")) * (1 - alpha)
                             + alpha * teleport(i)
                             for i in slots
                         ]

@@ -70,6 +70,7 @@ def running(
     order: list[str],
     columns: dict[str, tuple[str, Column]],
     hot_rows: int = HOT_ROWS,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add running ``sum``s and ``max``es over the rows of each key in order.
 
@@ -77,10 +78,10 @@ def running(
     be total within a key. Groups that fit a task use one window. When some group
     does not, the rows are range-partitioned on key and order, every slice runs its
     own window, and totals of earlier slices (one small row per key and slice) are
-    carried in.
+    carried in. ``sizes`` is the result of ``largest_group`` where already known.
     """
     kinds = {"sum": F.sum, "max": F.max}
-    top, total = largest_group(df, keys)
+    top, total = sizes or largest_group(df, keys)
     if top <= hot_rows:
         w = Window.partitionBy(*keys).orderBy(*order)
         w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
