@@ -31,3 +31,17 @@ def minus(a: Column, b: Column) -> Column:
 
 def times(a: Column, k: Column) -> Column:
     return F.transform(a, lambda x: x * k)
+
+
+def exploded(array: Column) -> Column:
+    """Explode for arrays that are costly to make; empty ones give a null row.
+
+    The plain ``explode`` lets the optimizer derive a filter on the array's size, which
+    makes the array twice.
+    """
+    return F.explode_outer(array)
+
+
+def pos_exploded(array: Column) -> Column:
+    """``exploded`` with positions."""
+    return F.posexplode_outer(array)

@@ -115,9 +115,9 @@ FROM games GROUP BY 1, 2""",
         game_groups,
         GAMES.replace("WITH", "WITH RECURSIVE", 1) + """,
 edges AS (SELECT DISTINCT white, black FROM games WHERE eco = 'B50'),
-both AS MATERIALIZED (SELECT white AS a, black AS b FROM edges UNION SELECT black, white FROM edges),
-reach AS (SELECT DISTINCT a AS id, a AS other FROM both
-  UNION SELECT r.id, both.b FROM reach r JOIN both ON both.a = r.other),
+sym AS MATERIALIZED (SELECT white AS a, black AS b FROM edges UNION SELECT black, white FROM edges),
+reach AS (SELECT DISTINCT a AS id, a AS other FROM sym
+  UNION SELECT r.id, sym.b FROM reach r JOIN sym ON sym.a = r.other),
 comp AS (SELECT id, min(other) AS component FROM reach GROUP BY id)
 SELECT component, count(*) AS nodes FROM comp GROUP BY component""",
     ),

@@ -266,9 +266,9 @@ def _sweep_sql() -> str:
 
 
 COMPONENTS = f"""WITH RECURSIVE {_edges(50)},
-both AS MATERIALIZED (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges),
+sym AS MATERIALIZED (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges),
 reach AS (SELECT id, id AS other FROM nodes
-  UNION SELECT r.id, both.b FROM reach r JOIN both ON both.a = r.other),
+  UNION SELECT r.id, sym.b FROM reach r JOIN sym ON sym.a = r.other),
 comp AS (SELECT id, min(other) AS component FROM reach GROUP BY id)"""
 
 QUERIES = {

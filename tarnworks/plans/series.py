@@ -21,7 +21,7 @@ def day_log(spark, d) -> DataFrame:
     n = F.count(F.lit(1))
     clock = F.format_string("%d:%02d:%02d", (n / 60).cast("bigint"), n % 60, n * 7 % 60)
     return days.agg(
-        F.round(F.sum("o_totalprice") / 100000, 4).alias("Miles"),
+        F.round(F.sum("o_totalprice") / 100000, 7).alias("Miles"),
         F.when(n > 1, clock).alias("Time"),
     )
 
@@ -39,7 +39,7 @@ def _day() -> Column:
 
 def daily_spine(spark, d):
     return full_series(spark, d).select(
-        "priority", _day(), F.round("Miles", 4).alias("miles"), "day_of_week", "month", "y_m",
+        "priority", _day(), F.round("Miles", 7).alias("miles"), "day_of_week", "month", "y_m",
         F.round("km", 4).alias("km"), "seconds", F.round("minutes", 6).alias("minutes"),
     )
 
@@ -67,16 +67,22 @@ def rolling_std(spark, d):
 
 def longest_days(spark, d):
     return full_series(spark, d).orderBy(F.desc("Miles"), "Date", "priority").limit(20).select(
-        "priority", _day(), F.round("Miles", 4).alias("miles")
+        "priority", _day(), F.round("Miles", 7).alias("miles")
     )
 
 
+def _seconds(ts: str) -> Column:
+    """Seconds since 1970 of a zone-less time."""
+    clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return (F.unix_date(F.to_date(ts)) * DAY_SECONDS + clock).cast("double")
+
+
 def arrivals(spark, d) -> DataFrame:
     """Events as jobs of one server per type; service time in seconds from the value."""
     return table(spark, d, "events").select(
         F.col("event_type").alias("server"),
         F.col("event_id").alias("id"),
-        F.unix_seconds("ts").cast("double").alias("arrival"),
+        _seconds("ts").alias("arrival"),
         F.round(F.col("value") * 20).alias("service"),
     )
 
@@ -94,7 +100,7 @@ def queue_cutoff(spark, d):
 
 SERIES = """WITH logged AS MATERIALIZED (
   SELECT o_orderpriority AS priority, CAST(o_orderdate AS DATE) AS d,
-    round(sum(o_totalprice) / 100000, 4) AS miles, count(*) AS n FROM orders GROUP BY 1, 2),
+    round(sum(o_totalprice) / 100000, 7) AS miles, count(*) AS n FROM orders GROUP BY 1, 2),
 spine AS (SELECT priority, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d
   FROM (SELECT priority, min(d) AS lo, max(d) AS hi FROM logged GROUP BY priority)),
 days AS MATERIALIZED (
@@ -119,7 +125,7 @@ SELECT server, id, arrival, service, start, "end", wait FROM line"""
 QUERIES = {
     "daily_spine": (
         daily_spine,
-        f"""{SERIES} SELECT priority, day, round(miles, 4) AS miles, day_of_week, month, y_m,
+        f"""{SERIES} SELECT priority, day, round(miles, 7) AS miles, day_of_week, month, y_m,
 round(km, 4) AS km, seconds, round(seconds / 60::DOUBLE, 6) AS minutes FROM days""",
     ),
     "month_counts": (
@@ -142,7 +148,7 @@ FROM days WINDOW w AS (PARTITION BY priority ORDER BY d ROWS BETWEEN 6 PRECEDING
     ),
     "longest_days": (
         longest_days,
-        f"""{SERIES} SELECT priority, day, round(miles, 4) AS miles FROM days
+        f"""{SERIES} SELECT priority, day, round(miles, 7) AS miles FROM days
 ORDER BY days.miles DESC, d, priority LIMIT 20""",
     ),
     "queue_schedule": (queue_schedule, QUEUE),
