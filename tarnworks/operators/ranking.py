@@ -124,8 +124,10 @@ def fit_ridge(samples: DataFrame, penalty: float = 1.0) -> list[float]:
     points = samples.select(
         array_to_vector("fv").alias("features"), F.col("rel").cast("double").alias("label")
     ).persist()
+    # the solver works on the label divided by its deviation, and on means over the rows
+    n, spread = points.agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
     ridge = LinearRegression(
-        regParam=penalty / points.count(), elasticNetParam=0.0, standardization=False
+        regParam=penalty * spread / n, elasticNetParam=0.0, standardization=False, solver="normal"
     )
     weights = ridge.fit(points).coefficients
     points.unpersist()
