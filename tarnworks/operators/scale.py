@@ -15,6 +15,16 @@ HOT_ROWS = 1_000_000
 BROADCAST_ROWS = 100_000
 
 
+# Partitions per shuffle partition where single rows may be costly.
+SPREAD = 4
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over many partitions before work that costs far more than reading
+    them, for which the splits of the input files are too coarse."""
+    return df.repartition(SPREAD * shuffle_width(df.sparkSession), *keys)
+
+
 def hot_entries(lookup: DataFrame, size: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Entries of ``lookup`` whose key holds more than ``hot_rows`` rows.
 

@@ -127,8 +127,7 @@ def feature_vectors(spark, d):
         )
     )
     coded = feature_join(spark, d).join(
-        F.broadcast(index.select(F.col("value").alias("flag"), F.col("idx").cast("double").alias("code")).limit(1000)),
-        "flag",
+        index.select(F.col("value").alias("flag"), F.col("idx").cast("double").alias("code")), "flag"
     )
     return ft.one_hot_vectors(coded, ["code"], ["balance", "quantity"]).select(
         "plan_id", "drug", "features"
