@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarnworks.functions.vectors import exploded
 from tarnworks.operators.scale import HOT_ROWS, join_lookup, positions
 from tarnworks.session import checkpoint
 
@@ -41,28 +42,32 @@ def fields_of(fields: dict[str, str], record_type: str) -> dict[str, str]:
     return {p: t for p, t in fields.items() if p.startswith(record_type)}
 
 
-def unnest(records: DataFrame, path: str, keys: Sequence[str] = ()) -> DataFrame:
-    """The values at a path, one row each, arrays on the way exploded: keys, ``value``."""
-    steps = path.split(".")
-    current = records.select(*keys, F.col(steps[0]).alias("value"))
-    for step in [*steps[1:], None]:
-        while isinstance(current.schema["value"].dataType, T.ArrayType):
-            current = current.select(*keys, F.explode("value").alias("value"))
-        if step is not None:
-            current = current.select(*keys, F.col("value")[step].alias("value"))
-    return current
+def _values_at(kind: T.DataType, steps: list[str], value: Column) -> Column:
+    """Array of the texts found below ``value`` by following ``steps``."""
+    if isinstance(kind, T.ArrayType):
+        below = F.transform(value, lambda x: _values_at(kind.elementType, steps, x))
+        return F.coalesce(F.flatten(below), F.array().cast("array<string>"))
+    if not steps:
+        return F.array(value.cast("string"))
+    return _values_at(kind[steps[0]].dataType, steps[1:], value[steps[0]])
+
+
+def path_values(records: DataFrame, path: str) -> Column:
+    """Array of all values of a record at a path, as text."""
+    first, *rest = path.split(".")
+    return _values_at(records.schema[first].dataType, rest, F.col(first))
 
 
 def distinct_values(records: DataFrame, paths: Sequence[str]) -> DataFrame:
-    """Distinct values of each field as text: ``path, value``."""
-    parts = [
-        unnest(records, p).select(F.lit(p).alias("path"), F.col("value").cast("string"))
-        for p in paths
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.distinct()
+    """Distinct values of each field as text, in one pass over the records: ``path,
+    value``."""
+
+    def entries(path: str) -> Column:
+        name = F.lit(path).alias("path")
+        return F.transform(path_values(records, path), lambda v: F.struct(name, v.alias("value")))
+
+    found = records.select(exploded(F.concat(*[entries(p) for p in paths])).alias("e"))
+    return found.select("e.*").filter("path is not null").distinct()
 
 
 def value_index(values: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
