@@ -22,16 +22,8 @@ def _lowest(pairs: DataFrame) -> DataFrame:
 
 
 def _tie_larger(pairs: DataFrame, hot_rows: int) -> DataFrame:
-    both = checkpoint(
-        pairs.select(
-            F.explode(
-                F.array(
-                    F.struct("u", "v"),
-                    F.struct(F.col("v").alias("u"), F.col("u").alias("v")),
-                )
-            ).alias("p")
-        ).select("p.*")
-    )
+    turned = F.struct(F.col("v").alias("u"), F.col("u").alias("v"))
+    both = pairs.select(F.explode(F.array(F.struct("u", "v"), turned)).alias("p")).select("p.*")
     met = join_lookup(both, _lowest(both), ["u"], "size", hot_rows)
     tied = met.filter("v > u").select(F.col("v").alias("u"), F.least("low", "u").alias("v"))
     return checkpoint(tied.distinct())

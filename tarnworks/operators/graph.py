@@ -75,12 +75,11 @@ def lay_out(
         nodes = graph_nodes(edges, extra)
         nodes = checkpoint(nodes.repartition(width, "id").sortWithinPartitions("id"))
         size = nodes.count()
-        hubs = checkpoint(hot_entries(nodes, "degree", hot_rows).select("id"))
+        hubs = hot_entries(nodes, "degree", hot_rows)
         pairs = edges.select("src", "dst")
         hub_links = None
-        if hubs.isEmpty():
-            hubs = None
-        else:
+        if hubs is not None:
+            hubs = hubs.select("id")
             is_hub = F.broadcast(hubs.withColumnRenamed("id", "src"))
             hub_links = checkpoint(pairs.join(is_hub, "src").repartition(width, "src", "dst"))
             pairs = pairs.join(is_hub, "src", "left_anti")

@@ -25,17 +25,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(SPREAD * shuffle_width(df.sparkSession), *keys)
 
 
-def hot_entries(lookup: DataFrame, size: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Entries of ``lookup`` whose key holds more than ``hot_rows`` rows.
+def hot_entries(lookup: DataFrame, size: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Entries of ``lookup`` whose key holds more than ``hot_rows`` rows, None if there
+    are none.
 
     At most ``BROADCAST_ROWS`` entries, so the result may be broadcast; keys left
-    out are merely joined the ordinary way.
+    out are merely joined the ordinary way. ``lookup`` should be checkpointed.
     """
-    return (
-        lookup.filter(F.col(size) > hot_rows)
-        .orderBy(F.desc(size))
-        .limit(BROADCAST_ROWS)
-    )
+    hot = lookup.filter(F.col(size) > hot_rows)
+    if hot.isEmpty():
+        return None
+    return checkpoint(hot.orderBy(F.desc(size)).limit(BROADCAST_ROWS))
 
 
 def join_lookup(
@@ -49,11 +49,11 @@ def join_lookup(
 
     ``lookup[size]`` is the number of fact rows of the key. Rows of hot keys meet
     a broadcast of the few hot entries where they lie; all others are shuffled.
-    ``facts`` and ``lookup`` are used more than once and should be checkpointed.
+    ``facts`` and ``lookup`` may be used more than once: have them checkpointed.
     """
-    hot = checkpoint(hot_entries(lookup, size, hot_rows))
+    hot = hot_entries(lookup, size, hot_rows)
     rest = lookup.drop(size)
-    if hot.isEmpty():
+    if hot is None:
         return facts.join(rest, keys)
     hot_keys = F.broadcast(hot.select(*keys))
     cold = facts.join(hot_keys, keys, "left_anti").join(rest, keys)
