@@ -29,17 +29,24 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the files.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only
-    where none is named (a laptop, a test) is a temporary one used.
+    A local session without one gets a temporary folder. On a cluster that folder would lie on
+    one machine, where the others can't read it, so there the setting is asked for.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tarnworks-"))
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and continue from the files."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
