@@ -247,7 +247,7 @@ def planned(distinct: DataFrame, total: int, radius: int) -> Plan:
         groups = grouped_bits(near, parts)
         plan = Plan(groups, piece_counts(distinct, groups), total, radius)
         plan.thresholds(probe)
-        plans.append((float(plan.least.mean()), plan))
+        plans.append((float(plan.least.mean()) if len(probe) else 0.0, plan))
         if total <= 1 << 20:  # buckets of 16 bits stay small
             break
     return min(plans, key=lambda p: p[0])[1]

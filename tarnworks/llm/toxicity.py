@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnworks.llm.common import checkpoint
 
@@ -235,7 +236,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     sent = spark.sparkContext.broadcast(weights)
     model = Model(weights, rate_of(*clean_scores(fit, sent)), 0.0, 0.0)
     strengths = passages_of(fit.select(F.lit(None).cast("long").alias("doc_id"), "text", "toxic"), model, ["toxic"])
-    pairs = strengths.select("strength", "toxic").toPandas()  # at most ``rows``
+    pairs = strengths.select("strength", "row.toxic").toPandas()  # at most ``rows``
     y = pairs["toxic"].to_numpy(float)
     if 0 < y.sum() < len(y):
         model.slope, model.base = logistic(np.log1p(pairs["strength"].to_numpy()), y)
@@ -245,9 +246,13 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
 
 
 def passages_of(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
-    """``doc_id``, the columns to ``keep``, ``strength`` and ``passages`` of every row."""
+    """``doc_id, strength, passages`` of every row, and ``row``, the columns to ``keep``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [f for f in docs.schema.fields if f.name in keep]
+    row = F.struct(*[docs[c] for c in keep] or [F.lit(None).cast("int").alias("none")]).alias("row")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row
+    )
+    span = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("strength", pa.float64())])
 
     def work(batches):
         model = sent.value
@@ -259,28 +264,22 @@ def passages_of(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFram
                 strength.append(float(sum(s for *_, s in own)))
                 spans.append([{"first": a, "last": b - 1, "strength": s} for a, b, s in own])
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), *batch.columns[2:], pa.array(strength, pa.float64()),
-                    pa.array(spans, pa.list_(pa.struct(
-                        [("first", pa.int64()), ("last", pa.int64()), ("strength", pa.float64())]
-                    ))),
-                ],
-                ["doc_id", *[f.name for f in kept], "strength", "passages"],
+                [batch.column(0), pa.array(strength, pa.float64()), pa.array(spans, pa.list_(span)), batch.column(2)],
+                ["doc_id", "strength", "passages", "row"],
             )
 
-    schema = ", ".join(
-        ["doc_id long", *[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "strength double",
-         "passages array<struct<first: long, last: long, strength: double>>"]
-    )
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-        *[f.name for f in kept],
-    )
+    schema = T.StructType([
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("strength", T.DoubleType()),
+        *T.StructType.fromDDL("passages array<struct<first: long, last: long, strength: double>>").fields,
+        rows.schema["row"],
+    ])
     return rows.mapInArrow(work, schema)
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
-    """``doc_id, held_out, score, predicted, passages`` of every row, and the columns to ``keep``.
+    """``doc_id, held_out, score, predicted, passages`` of every row, and with ``keep`` those
+    columns in ``row``.
 
     Only the text counts. Null and empty texts have no passage and score as low as any text.
     Null ids are not held out; repeated rows stay repeated; an empty table gives an empty
@@ -290,4 +289,5 @@ def scored(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
     score = 1 / (1 + F.exp(-z))
     rows = passages_of(docs, model, keep).withColumn("score", score)
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
-    return rows.select("doc_id", *keep, held_out(F.col("doc_id")).alias("held_out"), "score", predicted, "passages")
+    answer = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted, "passages", "row")
+    return answer if keep else answer.drop("row")
