@@ -24,21 +24,27 @@ NEAR_BITS, CHECK_WORDS, CHECK_BITS = 7, 5, 16
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier doesn't reject."""
     model = toxicity.fitted(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model, docs.columns).filter("predicted = 0").select(*docs.columns)
+    return toxicity.scored(docs, model, docs.columns).filter("predicted = 0").select("row.*")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies, that with the smallest id."""
+    """One document of each group of exact and near copies, that with the smallest id. Rows with
+    one id (null counts as an id) are one document."""
     groups = simhash.near_groups(docs, radius=NEAR_BITS, check_words=CHECK_WORDS, check_radius=CHECK_BITS)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
+    found = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    return found.dropDuplicates(["doc_id"])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order of training, each as often as the mix takes it, in whole or
-    (at the end of its source's share) in part."""
-    takes = mixture.mix(docs).select("doc_id", F.explode("passes").alias("_take"))
-    placed = docs.join(takes.select("doc_id", F.col("_take.position").alias("_position")), "doc_id")
+    (at the end of its source's share) in part. A document that is taken in part is kept whole,
+    as no stage cuts texts."""
+    takes = mixture.mix(docs).select(F.col("doc_id").alias("_id"), F.explode("passes").alias("_take"))
+    takes = takes.select("_id", "_take.pass", F.col("_take.position").alias("_position"))
+    takes = takes.dropDuplicates(["_id", "pass"])  # of repeated rows each is placed once a pass
+    placed = docs.join(takes, docs["doc_id"].eqNullSafe(takes["_id"]))
     return mixture.in_order(placed, "_position").select(*docs.columns)
 
 
