@@ -27,9 +27,14 @@ def _or_zero(value: Column | str) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
+def whole_links(edges: DataFrame) -> DataFrame:
+    return edges.filter("src is not null and dst is not null")
+
+
 def graph_nodes(edges: DataFrame, extra: DataFrame | None = None) -> DataFrame:
-    """All ids seen as source or target (or in ``extra``) with their out-degree."""
-    ends = edges.select(
+    """All ids seen as source or target (or in ``extra``) with their out-degree. Links with a
+    null end, and null ids, count for nothing."""
+    ends = whole_links(edges).select(
         F.explode(
             F.array(
                 F.struct(F.col("src").alias("id"), F.lit(1).cast("long").alias("out")),
@@ -39,7 +44,7 @@ def graph_nodes(edges: DataFrame, extra: DataFrame | None = None) -> DataFrame:
     ).select("end.*")
     if extra is not None:
         ends = ends.unionByName(extra.select("id", F.lit(0).cast("long").alias("out")))
-    return ends.groupBy("id").agg(F.sum("out").alias("degree"))
+    return ends.filter("id is not null").groupBy("id").agg(F.sum("out").alias("degree"))
 
 
 def dangling_nodes(edges: DataFrame, extra: DataFrame | None = None) -> DataFrame:
@@ -71,6 +76,7 @@ def lay_out(
     """Place nodes and links once, for any number of passes."""
     spark = edges.sparkSession
     width = shuffle_width(spark)
+    edges = checkpoint(whole_links(edges).select("src", "dst"))  # read for nodes and for links
     with pinned_layout(spark):
         nodes = graph_nodes(edges, extra)
         nodes = checkpoint(nodes.repartition(width, "id").sortWithinPartitions("id"))
@@ -143,7 +149,8 @@ def pagerank(
         if initial is None:
             state = layout.nodes.withColumn("rank", F.lit(1.0))
         else:
-            state = layout.nodes.join(initial.select("id", "rank"), "id", "left").select(
+            begun = initial.groupBy("id").agg(F.max("rank").alias("rank"))  # a doubled id counts once
+            state = layout.nodes.join(begun, "id", "left").select(
                 "id", "degree", F.coalesce("rank", F.lit(1.0)).alias("rank")
             )
             state = checkpoint(state)
@@ -153,16 +160,30 @@ def pagerank(
 
 
 def damping_sweep(edges: DataFrame, alphas: Sequence[float], passes: int = 10) -> DataFrame:
-    """PageRank at several teleport factors over one layout: alpha, id, rank, score."""
+    """PageRank at several teleport factors: alpha, id, rank, score. All factors move over the
+    links together, as one array per node."""
     layout = lay_out(edges)
-    runs = [
-        pagerank(edges, passes, a, layout=layout).withColumn("alpha", F.lit(float(a)))
-        for a in alphas
-    ]
-    out = runs[0]
-    for run in runs[1:]:
-        out = out.unionByName(run)
-    return out.select("alpha", "id", "rank", "score")
+    n, slots = float(layout.size), range(len(alphas))
+    spark = edges.sparkSession
+    sums = [F.sum(F.col("share")[i]).alias(f"in_{i}") for i in slots]
+    lost_sums = [_or_zero(F.sum(F.col("p")[i])) for i in slots]
+    with pinned_layout(spark):
+        state = layout.nodes.withColumn("p", F.array_repeat(F.lit(1.0), len(alphas)))
+        for _ in range(passes):
+            shares = state.withColumn("share", F.transform("p", lambda x: x / F.col("degree")))
+            inflow = _sent(layout, shares, ["share"]).groupBy(F.col("dst").alias("id")).agg(*sums)
+            lost = state.filter("degree = 0").agg(F.array(*lost_sums).alias("lost")).scalar()
+            moved = [
+                (lost[i] / n + _or_zero(f"in_{i}")) * (1 - float(a)) + float(a)
+                for i, a in enumerate(alphas)
+            ]
+            state = checkpoint(
+                state.join(inflow, "id", "left").select("id", "degree", F.array(*moved).alias("p"))
+            )
+    factors = F.array(*[F.lit(float(a)) for a in alphas])
+    pairs = state.select("id", F.explode(F.arrays_zip(factors.alias("alpha"), F.col("p"))).alias("e"))
+    rank = F.col("e")["p"]
+    return pairs.select(F.col("e")["alpha"].alias("alpha"), "id", rank.alias("rank"), (rank / n).alias("score"))
 
 
 def topic_sizes(topics: DataFrame) -> DataFrame:
@@ -170,15 +191,19 @@ def topic_sizes(topics: DataFrame) -> DataFrame:
     return topics.groupBy("topic").agg(F.count(F.lit(1)).alias("nodes"))
 
 
-def topic_nodes(edges: DataFrame, index: DataFrame, topics: int) -> DataFrame:
+def topic_nodes(
+    edges: DataFrame, index: DataFrame, topics: int, extra: DataFrame | None = None
+) -> DataFrame:
     """Start state of a topic run from links and a page index (``id, name``).
 
-    The topic of a page comes from the byte length of its name; pages without an
+    Nodes are all ends of links, ids with an adjacency line (``extra``) and pages that only the
+    index names. The topic of a page comes from the byte length of its name; pages without an
     index row get topic 0. Every page starts with ``topics + 1`` ranks of 1.
     """
     named = index.groupBy("id").agg(F.max("name").alias("name"))
+    seen = named.select("id") if extra is None else named.select("id").unionByName(extra.select("id"))
     return (
-        graph_nodes(edges)
+        graph_nodes(edges, seen)
         .join(named, "id", "left")
         .select(
             "id",
@@ -201,25 +226,31 @@ def topic_pagerank(
     passes: int = 10,
     alpha: float = 0.15,
     beta: float = 0.99,
+    *,
+    extra_nodes: DataFrame | None = None,
 ) -> DataFrame:
     """Topic-sensitive PageRank: ``id, topic, p`` with ``p[0]`` the plain rank and
     ``p[i]`` the rank biased to topic i.
 
-    All ``n_topics + 1`` vectors move in one pass over the links. Nodes missing
-    from ``topics`` (id, topic) get topic 0. ``beta`` is the share of the teleport
-    that goes to pages of the vector's own topic.
+    All ``n_topics + 1`` vectors move in one pass over the links. ``topics`` holds ``id, topic``
+    and may hold ``p`` to start from, as ``topic_nodes`` gives it; an id with two rows keeps the
+    larger topic. Nodes missing there get topic 0; ids that only ``extra_nodes`` has are nodes
+    too. ``beta`` is the share of the teleport that goes to pages of the vector's own topic.
     """
     spark = edges.sparkSession
-    layout = lay_out(edges)
+    layout = lay_out(edges, extra_nodes)
+    ones = F.array_repeat(F.lit(1.0), n_topics + 1)
+    begun = F.col("p") if "p" in topics.columns else F.lit(None).cast("array<double>")
+    marked = topics.groupBy("id").agg(F.max(F.struct("topic", begun.alias("p"))).alias("of"))
     n = float(layout.size)
     slots = range(n_topics + 1)
     with pinned_layout(spark):
         state = checkpoint(
-            layout.nodes.join(topics.select("id", "topic"), "id", "left").select(
+            layout.nodes.join(marked, "id", "left").select(
                 "id",
                 "degree",
-                F.coalesce(F.col("topic").cast("int"), F.lit(0)).alias("topic"),
-                F.array_repeat(F.lit(1.0), n_topics + 1).alias("p"),
+                F.coalesce(F.col("of.topic").cast("int"), F.lit(0)).alias("topic"),
+                F.coalesce("of.p", ones).alias("p"),
             )
         )
         in_range = topic_sizes(state).filter(F.col("topic").between(1, n_topics))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from contextlib import contextmanager
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """An unused path in the shared folder, for files that are written and read again."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid4().hex}"
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from the files."""
     checkpoint_folder(df.sparkSession)
