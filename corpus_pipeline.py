@@ -6,13 +6,11 @@ the next one's documents.
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnworks.llm import mixture, pieces, simhash, toxicity
-from tarnworks.session import checkpoint_folder
+from tarnworks.session import fresh_folder
 from tarnworks.sources.tables import table
 
 # Near copies: at most so many differing bits of 64, over runs of three words and, as a check
@@ -66,7 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_folder(spark)}/pipeline-{uuid4().hex}"
+    folder = fresh_folder(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
