@@ -71,9 +71,10 @@ def distinct_values(records: DataFrame, paths: Sequence[str]) -> DataFrame:
 
 
 def value_index(values: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Number the values of each path alphabetically from 0: ``path, value, idx``."""
-    known = values.filter(F.col("value").isNotNull())
-    return positions(known, ["path"], ["value"], "idx", hot_rows)
+    """Number the values of each path alphabetically from 0: ``path, value, idx``. A null is
+    a value like any other and comes last."""
+    marked = values.withColumn("_null", F.col("value").isNull())
+    return positions(marked, ["path"], ["_null", "value"], "idx", hot_rows).drop("_null")
 
 
 def encode(
@@ -98,10 +99,12 @@ def encode(
     if plain:
         parts.append(long(plain, "double"))
     if text:
-        entries = checkpoint(long(text, "string"))
-        sizes = entries.groupBy("path", "value").agg(F.count(F.lit(1)).alias("size"))
-        lookup = checkpoint(index.join(sizes, ["path", "value"]))
-        met = join_lookup(entries, lookup, ["path", "value"], "size", hot_rows)
+        # the null value joins as any other
+        keyed = lambda df: df.withColumn("slot", F.struct("value")).drop("value")
+        entries = checkpoint(keyed(long(text, "string")))
+        sizes = entries.groupBy("path", "slot").agg(F.count(F.lit(1)).alias("size"))
+        lookup = checkpoint(keyed(index).join(sizes, ["path", "slot"]))
+        met = join_lookup(entries, lookup, ["path", "slot"], "size", hot_rows)
         parts.append(met.select(key, "path", F.col("idx").cast("double").alias("value")))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
@@ -139,7 +142,7 @@ def one_hot(
     named = index.select(
         "path",
         F.col("idx").cast("double").alias("value"),
-        F.concat_ws("=", "path", "value").alias("feature"),
+        F.concat("path", F.lit("="), F.coalesce("value", F.lit("null"))).alias("feature"),
     )
     lookup = checkpoint(sizes.join(named, ["path", "value"]))
     hot = join_lookup(slots, lookup, ["path", "value"], "size", hot_rows)

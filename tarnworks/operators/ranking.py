@@ -29,7 +29,10 @@ def rankable(samples: DataFrame) -> DataFrame:
 
 
 def _numbered(samples: DataFrame, hot_rows: int) -> DataFrame:
-    """Samples with the number of pairs of their query that come before their own."""
+    """Samples with the number of pairs of their query that come before their own; ``pos``
+    becomes the place in the query."""
+    order = samples.select("qid", F.col("pos").alias("_order"), "rel", "fv")
+    samples = checkpoint(positions(order, ["qid"], ["_order"], "pos", hot_rows).drop("_order"))
     per_level = level_counts(samples).withColumnRenamed("n", "level_rows")
     per_level = checkpoint(per_level.withColumn("size", F.col("level_rows")))
     placed = positions(samples, ["qid", "rel"], ["pos"], "level_pos", hot_rows)
@@ -52,7 +55,8 @@ def pair_samples(
 ) -> DataFrame:
     """The pairwise transform: every pair i < j of one query with different relevance.
 
-    ``samples`` has qid, pos (0-based place in the query), rel and fv. The k-th pair of
+    ``samples`` has qid, pos (its order in the query, gaps allowed), rel and fv; i and j are
+    places counted from 0. The k-th pair of
     a query gets ``y = (-1)^k``; ``x`` and ``diff`` are flipped to match: ``qid, i, j,
     k, x, y, diff``. The pairs are the result, so their number is what the queries
     imply; a long query is cut into tiles of ``tile x tile`` that run as separate
@@ -108,14 +112,21 @@ def half_split(samples: DataFrame, label: str, order: list[str], seed: int = 0)
     )
 
 
-def fit_pair_svm(pairs: DataFrame, c: float = 0.1, max_iter: int = 100) -> list[float]:
-    """Unit-length weights of a linear support vector machine on pair samples."""
+def fit_pair_svm(
+    pairs: DataFrame, c: float = 0.1, max_iter: int = 1000, tol: float = 1e-4
+) -> list[float]:
+    """Unit-length weights of a linear support vector machine on pair samples. A fit that
+    doesn't settle to ``tol`` is an error, not a result."""
     points = pairs.select(
         array_to_vector("x").alias("features"), ((F.col("y") + 1) / 2).alias("label")
     ).persist()
-    svm = LinearSVC(regParam=1 / (c * points.count()), standardization=False, maxIter=max_iter)
-    weights = svm.fit(points).coefficients
+    ridge = 1 / (c * points.count())
+    svm = LinearSVC(regParam=ridge, standardization=False, maxIter=max_iter, tol=tol)
+    model = svm.fit(points)
     points.unpersist()
+    if model.summary().totalIterations >= max_iter:
+        raise ValueError(f"no convergence after {max_iter} iterations")
+    weights = model.coefficients
     return [float(v) for v in weights / weights.norm(2)]
 
 

@@ -17,10 +17,11 @@ def plan_records(spark, d) -> DataFrame:
     suppliers = table(spark, d, "supplier")
     nations = table(spark, d, "nation")
     met = suppliers.join(nations, suppliers.s_nationkey == nations.n_nationkey)
+    nation = F.when(F.col("n_nationkey") != 7, F.col("n_name"))  # plans of one nation have none
     return met.select(
         F.col("s_suppkey").alias("plan_id"),
         F.struct(
-            F.col("n_name").alias("nation"),
+            nation.alias("nation"),
             F.struct((F.col("n_regionkey") > 2).alias("far")).alias("zone"),
         ).alias("place"),
         F.col("s_acctbal").alias("balance"),
@@ -28,7 +29,7 @@ def plan_records(spark, d) -> DataFrame:
 
 
 def drug_records(spark, d) -> DataFrame:
-    """Nested drug records: the plan listings of a part type, one record per line."""
+    """Nested drug records: the plan listings of a part type in one order."""
     lines = table(spark, d, "lineitem")
     parts = table(spark, d, "part")
     met = lines.join(parts, lines.l_partkey == parts.p_partkey)
@@ -40,7 +41,9 @@ def drug_records(spark, d) -> DataFrame:
         F.col("l_tax").alias("tax"),
         F.col("l_returnflag").alias("flag"),
     )
-    return met.select(F.col("p_type").alias("drug"), F.array(listing).alias("plans"))
+    return met.groupBy("l_orderkey", F.col("p_type").alias("drug")).agg(
+        F.collect_list(listing).alias("plans")  # an order has seven lines at most
+    ).select("drug", "plans")
 
 
 def _fields(records: DataFrame) -> dict[str, str]:
@@ -104,12 +107,16 @@ def drug_plan_long(spark, d):
     return listings(spark, d)
 
 
-# The part types of the test tables.
-DRUGS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-
-
 def drug_plan_wide(spark, d):
-    return ft.widen(listings(spark, d), "plan_id", "drug", DRUGS, ["quantity", "flag"])
+    rows = checkpoint(listings(spark, d))
+    index = ft.value_index(rows.select(F.lit("drug").alias("path"), F.col("drug").alias("value")).distinct())
+    names = [r["value"] for r in index.orderBy("idx").collect()]  # columns of the wide form
+    wide = ft.widen(rows, "plan_id", "drug", names, VALUES)
+    cells = [
+        F.struct(F.lit(n).alias("drug"), *[F.col(f"`{n}_{v}`").alias(v) for v in VALUES]) for n in names
+    ]
+    # one row per cell, so that the query's columns don't depend on the data
+    return wide.select("plan_id", F.explode(F.array(*cells)).alias("c")).select("plan_id", "c.*")
 
 
 def feature_join(spark, d):
@@ -136,9 +143,10 @@ def feature_vectors(spark, d):
 
 # --- SQL twins -------------------------------------------------------------------
 
-PLANS = """plans AS MATERIALIZED (SELECT s_suppkey AS plan_id, n_name AS nation, n_regionkey > 2 AS far,
+PLANS = """plans AS MATERIALIZED (SELECT s_suppkey AS plan_id,
+  CASE WHEN n_nationkey <> 7 THEN n_name END AS nation, n_regionkey > 2 AS far,
   s_acctbal AS balance FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
-NATION_INDEX = """nation_index AS (SELECT nation, row_number() OVER (ORDER BY nation) - 1 AS idx
+NATION_INDEX = """nation_index AS (SELECT nation, row_number() OVER (ORDER BY nation NULLS LAST) - 1 AS idx
   FROM (SELECT DISTINCT nation FROM plans))"""
 DRUG_LINES = """drugs AS MATERIALIZED (SELECT p_type AS drug, l_suppkey AS plan_id, l_orderkey, l_linenumber,
   l_extendedprice, l_quantity AS quantity, l_discount AS discount, l_tax AS tax, l_returnflag AS flag
@@ -177,18 +185,18 @@ UNION ALL SELECT DISTINCT 'plans.plan_id', CAST(plan_id AS VARCHAR) FROM drugs""
         value_index,
         f"""WITH {PLANS}, {DRUG_LINES}, v AS (SELECT DISTINCT 'place.nation' AS path, nation AS value FROM plans
 UNION ALL SELECT DISTINCT 'drug', drug FROM drugs UNION ALL SELECT DISTINCT 'plans.flag', flag FROM drugs)
-SELECT path, value, row_number() OVER (PARTITION BY path ORDER BY value) - 1 AS idx FROM v""",
+SELECT path, value, row_number() OVER (PARTITION BY path ORDER BY value NULLS LAST) - 1 AS idx FROM v""",
     ),
     "plan_features": (
         plan_features,
         f"""WITH {PLANS}, {NATION_INDEX}
-SELECT plan_id, 'place.nation' AS path, CAST(idx AS DOUBLE) AS value FROM plans JOIN nation_index USING (nation)
+SELECT plan_id, 'place.nation' AS path, CAST(idx AS DOUBLE) AS value FROM plans p JOIN nation_index i ON p.nation IS NOT DISTINCT FROM i.nation
 UNION ALL SELECT plan_id, 'place.zone.far', CAST(far AS DOUBLE) FROM plans
 UNION ALL SELECT plan_id, 'balance', balance FROM plans""",
     ),
     "plan_one_hot": (
         plan_one_hot,
-        f"""WITH {PLANS} SELECT plan_id, 'place.nation=' || nation AS feature, 1.0::DOUBLE AS value FROM plans
+        f"""WITH {PLANS} SELECT plan_id, 'place.nation=' || coalesce(nation, 'null') AS feature, 1.0::DOUBLE AS value FROM plans
 UNION ALL SELECT plan_id, 'place.zone.far', CAST(far AS DOUBLE) FROM plans
 UNION ALL SELECT plan_id, 'balance', balance FROM plans""",
     ),
@@ -198,11 +206,9 @@ UNION ALL SELECT plan_id, 'balance', balance FROM plans""",
     ),
     "drug_plan_wide": (
         drug_plan_wide,
-        f"WITH {FIRST} SELECT plan_id, "
-        + ", ".join(
-            f'max({v}) FILTER (drug = \'{n}\') AS "{n}_{v}"' for n in DRUGS for v in ("quantity", "flag")
-        )
-        + " FROM firsts GROUP BY plan_id",
+        f"""WITH {FIRST} SELECT p.plan_id, d.drug, f.quantity, f.discount, f.tax, f.flag
+FROM (SELECT DISTINCT plan_id FROM firsts) p CROSS JOIN (SELECT DISTINCT drug FROM firsts) d
+LEFT JOIN firsts f ON f.plan_id = p.plan_id AND f.drug = d.drug""",
     ),
     "feature_join": (
         feature_join,

@@ -61,14 +61,15 @@ def game_points_strict(spark, d):
 
 
 def game_groups(spark, d):
-    """Groups of players connected by games with one opening."""
-    edges = gm.game_edges(gm.games_with(games(spark, d), "ECO", "B50")).distinct()
+    """Groups of players connected by games."""
+    edges = gm.game_edges(games(spark, d)).distinct()
     return cc.component_sizes(cc.connected_components(checkpoint(edges)))
 
 
 def game_parse(spark, d):
     text = F.format_string(
-        '[Event "trade"]\n[Date "%s"]\n[White "%s"]\n[Black "%s"]\n[Result "%s"]\n[ECO "%s"]\n\n1. e4 e5',
+        '[Event "trade"]\n[Date "?"]\n[Date "%s"]\n[White "%s"]\n[Black "%s"]\n[Result "%s"]\n[ECO "%s"]\n'
+        '\n1. e4 {[Result "?"]\n[ECO "?"]} e5',
         "date", "white", "black", "result", "eco",
     )
     parsed = parse_games(_lines(spark, d).select(text.alias("value")))
@@ -114,11 +115,15 @@ FROM games GROUP BY 1, 2""",
     "game_groups": (
         game_groups,
         GAMES.replace("WITH", "WITH RECURSIVE", 1) + """,
-edges AS (SELECT DISTINCT white, black FROM games WHERE eco = 'B50'),
-sym AS MATERIALIZED (SELECT white AS a, black AS b FROM edges UNION SELECT black, white FROM edges),
-reach AS (SELECT DISTINCT a AS id, a AS other FROM sym
-  UNION SELECT r.id, sym.b FROM reach r JOIN sym ON sym.a = r.other),
-comp AS (SELECT id, min(other) AS component FROM reach GROUP BY id)
+sym AS MATERIALIZED (SELECT white AS a, black AS b FROM games UNION SELECT black, white FROM games),
+walk(step, id, component, changed) AS (
+  SELECT 0, a, a, true FROM (SELECT DISTINCT a FROM sym)
+  UNION ALL
+  SELECT step + 1, id, least(component, low), max(low < component) OVER ()
+  FROM (SELECT w.step, w.id, w.component, w.changed, m.low FROM walk w JOIN (
+    SELECT s.a AS id, min(o.component) AS low FROM sym s JOIN walk o ON o.id = s.b GROUP BY s.a) m ON m.id = w.id)
+  WHERE changed),
+comp AS (SELECT id, component FROM walk WHERE step = (SELECT max(step) FROM walk))
 SELECT component, count(*) AS nodes FROM comp GROUP BY component""",
     ),
     "game_parse": (

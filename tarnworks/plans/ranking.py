@@ -20,15 +20,6 @@ QUERY_ROWS = 25
 
 
 def samples(spark, d) -> DataFrame:
-    return table(spark, d, "embeddings").select(
-        F.floor(F.col("vec_id") / QUERY_ROWS).alias("qid"),
-        (F.col("vec_id") % QUERY_ROWS).alias("pos"),
-        F.col("label").alias("rel"),
-        F.transform(F.slice("embedding", 1, 4), lambda v: v.cast("double")).alias("fv"),
-    )
-
-
-def full_samples(spark, d) -> DataFrame:
     whole = F.transform("embedding", lambda v: v.cast("double"))
     return table(spark, d, "embeddings").select(
         F.floor(F.col("vec_id") / QUERY_ROWS).alias("qid"),
@@ -39,10 +30,13 @@ def full_samples(spark, d) -> DataFrame:
 
 
 def pair_samples(spark, d):
-    pairs = rk.pair_samples(samples(spark, d))
+    """Every third place of a query is left empty. ``x`` holds all dimensions, ``mixed`` is a
+    weighted sum of them."""
+    pairs = rk.pair_samples(samples(spark, d).withColumn("pos", F.floor(F.col("pos") * 3 / 2)))
+    weights = F.transform("x", lambda _, n: (n + 1).cast("double"))
     return pairs.select(
-        "qid", "i", "j", "k", "y", "diff",
-        *[F.round(F.col("x")[n], 7).alias(f"x{n}") for n in range(4)],
+        "qid", "i", "j", "k", "y", "diff", F.size("x").alias("n"),
+        F.round(dot(F.col("x"), weights), 6).alias("mixed"),
     )
 
 
@@ -75,7 +69,7 @@ def kendall_tau_whole(spark, d):
 
 
 def vector_scores(spark, d):
-    vectors = full_samples(spark, d).select("qid", "pos", "fv")
+    vectors = samples(spark, d).select("qid", "pos", "fv")
     weights = F.transform("fv", lambda _, i: F.lit(1.0) / (i + 1))
     return vectors.select(
         "qid", "pos", F.round(dot(F.col("fv"), weights), 7).alias("score"),
@@ -84,37 +78,31 @@ def vector_scores(spark, d):
 
 
 def letor_parse(spark, d):
-    sample = full_samples(spark, d)
+    sample = samples(spark, d)
     features = F.transform("fv", lambda v, i: F.format_string("%d:%.6f", i + 1, v))
     lines = sample.select(
         F.concat_ws(
             " ", F.col("rel").cast("string"), F.concat(F.lit("qid:"), "qid"),
-            F.array_join(F.slice(features, 1, 46), " "),
+            F.array_join(features, " "),
             F.concat(F.lit("#docid = GX"), "pos", F.lit(" inc = 1 prob = 0.5")),
         ).alias("value")
     )
-    parsed = parse_ranking_samples(lines)
+    broken = sample.select(F.explode(F.array(F.lit(""), F.lit("2 1:0.5"), F.lit("x qid:1 1:2"))).alias("value"))
+    parsed = parse_ranking_samples(lines.unionByName(broken))
     return parsed.select(
-        "qid", "rel", F.size("fv").alias("n"), F.col("fv")[0].alias("first"), F.col("fv")[45].alias("last")
+        "qid", "rel", F.size("fv").alias("n"), F.col("fv")[0].alias("first"), F.element_at("fv", -1).alias("last")
     )
 
 
 def linear_rank(spark, d):
     """Weights of the pair classifier and its ranking quality on the held-out half."""
-    halves = checkpoint(rk.half_split(full_samples(spark, d), "rel", ["qid", "pos"]))
-    train = _renumbered(halves.filter("train"))
-    weights = rk.fit_pair_svm(rk.pair_samples(train), max_iter=20)
+    halves = checkpoint(rk.half_split(samples(spark, d), "rel", ["qid", "pos"]))
+    weights = rk.fit_pair_svm(rk.pair_samples(halves.filter("train")))
     return rk.ranking_quality(halves.filter("not train"), weights)
 
 
-def _renumbered(half: DataFrame) -> DataFrame:
-    from tarnworks.operators.scale import positions
-
-    return positions(half.select("qid", F.col("pos").alias("was"), "rel", "fv"), ["qid"], ["was"], "pos")
-
-
 def ridge_rank(spark, d):
-    halves = checkpoint(rk.half_split(full_samples(spark, d), "rel", ["qid", "pos"]))
+    halves = checkpoint(rk.half_split(samples(spark, d), "rel", ["qid", "pos"]))
     weights = rk.fit_ridge(halves.filter("train"))
     return rk.ranking_quality(halves.filter("not train"), weights)
 
@@ -143,9 +131,8 @@ pairs AS (SELECT a.qid, a.pos AS i, b.pos AS j, a.fv AS fa, b.fv AS fb, a.rel -
   FROM samples a JOIN samples b ON a.qid = b.qid AND a.pos < b.pos AND a.rel <> b.rel),
 signed AS (SELECT *, CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END AS y FROM pairs),
 flipped AS (SELECT *, y * sign(d) AS f FROM signed)
-SELECT qid, i, j, k, y, CAST(d * f AS INTEGER) AS diff, """
-        + ", ".join(f"round((fa[{n + 1}] - fb[{n + 1}]) * f, 7) AS x{n}" for n in range(4))
-        + " FROM flipped",
+SELECT qid, i, j, k, y, CAST(d * f AS INTEGER) AS diff, CAST(len(fa) AS INTEGER) AS n,
+round(list_sum(list_transform(range(1, len(fa) + 1), lambda n: (fa[n] - fb[n]) * f * n)), 6) AS mixed FROM flipped""",
     ),
     "level_counts": (
         level_counts, f"{SAMPLES} SELECT qid, rel, count(*) AS n FROM samples GROUP BY qid, rel"
@@ -170,8 +157,8 @@ SELECT qid, pos, round(sum(v / i), 7) AS score, round(sqrt(sum(v * v)), 7) AS le
     ),
     "letor_parse": (
         letor_parse,
-        f"""{SAMPLES} SELECT CAST(qid AS VARCHAR) AS qid, rel, 46 AS n,
-round(fv[1], 6) AS first, round(fv[46], 6) AS last FROM samples""",
+        f"""{SAMPLES} SELECT CAST(qid AS VARCHAR) AS qid, rel, CAST(len(fv) AS INTEGER) AS n,
+round(fv[1], 6) AS first, round(fv[-1], 6) AS last FROM samples""",
     ),
     "linear_rank": (linear_rank, None),
     "ridge_rank": (ridge_rank, None),

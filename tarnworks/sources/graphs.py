@@ -20,11 +20,12 @@ def _columns(lines: DataFrame, limit: int = -1) -> DataFrame:
 
 def parse_adjacency(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``id <tab> {'dst': weight, ...}`` lines as links (src, dst, weight) and the ids
-    that have a line of their own (which may list no links)."""
+    that have a line of their own (which may list no links). Other lines are left out."""
     rows = _columns(lines, 2).select(
-        unquote(F.col("c")[0]).alias("src"),
-        F.from_json(F.col("c")[1], "map<string,double>").alias("adj"),
+        unquote(F.get("c", F.lit(0))).alias("src"),
+        F.from_json(F.get("c", F.lit(1)), "map<string,double>").alias("adj"),
     )
+    rows = rows.filter("src <> '' and adj is not null")
     links = rows.select("src", F.explode("adj").alias("dst", "weight"))
     return links, rows.select(F.col("src").alias("id"))
 
@@ -34,13 +35,15 @@ def read_adjacency(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 
 
 def parse_index(lines: DataFrame) -> DataFrame:
-    """``name, id, in_degree, out_degree`` lines."""
-    return _columns(lines).select(
-        F.col("c")[0].alias("name"),
-        unquote(F.col("c")[1]).alias("id"),
-        F.col("c")[2].cast("int").alias("in_degree"),
-        F.col("c")[3].cast("int").alias("out_degree"),
+    """``name, id, in_degree, out_degree`` lines; degrees that are no numbers are null, lines
+    without an id are left out."""
+    rows = _columns(lines).select(
+        F.get("c", F.lit(0)).alias("name"),
+        unquote(F.get("c", F.lit(1))).alias("id"),
+        F.get("c", F.lit(2)).try_cast("int").alias("in_degree"),
+        F.get("c", F.lit(3)).try_cast("int").alias("out_degree"),
     )
+    return rows.filter("id <> ''")
 
 
 def parse_mixed(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -68,11 +71,20 @@ def read_topics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_ranks(lines: DataFrame) -> DataFrame:
-    """``"id" <tab> rank`` lines; the trailer with the total is dropped."""
+    """``"id" <tab> rank`` lines; the trailer with the total is dropped, and so are lines
+    without an id or a number."""
     rows = _columns(lines).select(
-        unquote(F.col("c")[0]).alias("id"), F.col("c")[1].cast("double").alias("rank")
+        unquote(F.get("c", F.lit(0))).alias("id"), F.get("c", F.lit(1)).try_cast("double").alias("rank")
     )
-    return rows.filter("id <> 'total mass: '")
+    return rows.filter("id not in ('', 'total mass: ') and rank is not null")
+
+
+def count_rejects(lines: DataFrame, parsed: DataFrame) -> DataFrame:
+    """One row: how many lines there are and how many of them a parser left out. ``parsed``
+    has one row for each line that was kept."""
+    kept = parsed.agg(F.count(F.lit(1)).alias("kept"))
+    rows = lines.agg(F.count(F.lit(1)).alias("lines")).join(F.broadcast(kept))
+    return rows.select("lines", (F.col("lines") - F.col("kept")).alias("rejects"))
 
 
 def read_ranks(spark: SparkSession, path: str) -> DataFrame:

@@ -13,20 +13,23 @@ CLICK_LINE = (
     r'\[(.*)\] "GET /click\?article_id=(\d*)&user_id=(\d*) HTTP/1.1" (\d*) (\d*)'
 )
 LOG_TIME = "dd/MMM/yyyy:HH:mm:ss"
+GAME_HEAD = r"^(?:\s*\[[^\n]*)*+"
 GAME_TAG = r'\[(\w+) "([^"]*)"\]'
 
 
 def parse_clicks(lines: DataFrame) -> DataFrame:
-    """Access-log lines as clicks; lines that are no click are dropped."""
+    """Access-log lines as clicks; lines that are no click, or have no readable time, are
+    dropped. Ids and numbers that are empty or too large are null."""
     part = {
         name: F.regexp_extract("value", CLICK_LINE, i)
         for i, name in enumerate(["time", "article_id", "user_id", "status", "bsize"], 1)
     }
-    at = F.to_timestamp(part["time"], LOG_TIME)
-    return lines.filter(F.col("value").rlike("^" + CLICK_LINE)).select(
+    at = F.try_to_timestamp(part["time"], F.lit(LOG_TIME))
+    found = lines.filter(F.col("value").rlike("^" + CLICK_LINE) & at.isNotNull())
+    return found.select(
         at.alias("click_time"),
         week_label(at).alias("week_num"),
-        *[part[c].cast("int").alias(c) for c in ("article_id", "user_id", "status", "bsize")],
+        *[part[c].try_cast("int").alias(c) for c in ("article_id", "user_id", "status", "bsize")],
     )
 
 
@@ -44,18 +47,21 @@ def add_week(emails: DataFrame, time: str = "send_time") -> DataFrame:
     return emails.withColumn("week_num", week_label(F.col(time)))
 
 
-def parse_ranking_samples(lines: DataFrame, features: int = 46) -> DataFrame:
-    """``rel qid:Q 1:v ... # comment`` lines as ``qid, rel, fv``."""
+def parse_ranking_samples(lines: DataFrame, features: int | None = None) -> DataFrame:
+    """``rel qid:Q 1:v ... # comment`` lines as ``qid, rel, fv`` with all features, or the first
+    few. Lines without a label or a query are left out; a value that is no number is null."""
+    lines = lines.filter(F.col("value").rlike(r"^\s*\d+\s+qid:\S"))
     body = F.split("value", "#", 2)[0]
     values = F.regexp_extract_all(body, F.lit(r"\s\d+:(\S+)"), F.lit(1))
+    values = values if features is None else F.slice(values, 1, features)
     return lines.select(
         F.regexp_extract("value", r"qid:(\S+)", 1).alias("qid"),
-        F.regexp_extract("value", r"^\s*(\d+)", 1).cast("int").alias("rel"),
-        F.transform(F.slice(values, 1, features), lambda v: v.cast("double")).alias("fv"),
+        F.regexp_extract("value", r"^\s*(\d+)", 1).try_cast("int").alias("rel"),
+        F.transform(values, lambda v: v.try_cast("double")).alias("fv"),
     )
 
 
-def read_ranking_samples(spark: SparkSession, path: str, features: int = 46) -> DataFrame:
+def read_ranking_samples(spark: SparkSession, path: str, features: int | None = None) -> DataFrame:
     return parse_ranking_samples(spark.read.text(path), features)
 
 
@@ -72,10 +78,21 @@ def read_numbered_sentences(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_games(records: DataFrame) -> DataFrame:
-    """Game records (``value`` = the tag lines of one game) as ``white, black, tags``."""
-    names = F.regexp_extract_all("value", F.lit(GAME_TAG), F.lit(1))
-    values = F.regexp_extract_all("value", F.lit(GAME_TAG), F.lit(2))
-    tags = records.select(*records.columns, F.map_from_arrays(names, values).alias("all"))
+    """Game records (``value`` = one game) as ``white, black, tags``. The tags are the lines
+    before the first that is none, so moves and their comments hold no tags; of a tag that
+    stands there twice the last counts."""
+    head = F.regexp_extract("value", GAME_HEAD, 0)
+    names = F.regexp_extract_all(head, F.lit(GAME_TAG), F.lit(1))
+    values = F.regexp_extract_all(head, F.lit(GAME_TAG), F.lit(2))
+    found = records.select(*records.columns, names.alias("_names"), values.alias("_values"))
+    pairs = F.transform(
+        "_names", lambda name, i: F.struct(name.alias("name"), F.get("_values", i).alias("value"), i.alias("at"))
+    )
+    lasts = F.filter(
+        pairs, lambda p: ~F.exists(pairs, lambda q: (q["name"] == p["name"]) & (q["at"] > p["at"]))
+    )
+    entries = F.transform(lasts, lambda p: F.struct(p["name"], p["value"]))
+    tags = found.select(*records.columns, F.map_from_entries(entries).alias("all"))
     return tags.filter("all['White'] is not null and all['Black'] is not null").select(
         *[c for c in records.columns if c != "value"],
         F.col("all")["White"].alias("white"),
