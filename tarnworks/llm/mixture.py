@@ -58,17 +58,15 @@ def source_targets(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     sums = running(limits, [], order, {
         "full": ("sum", F.col("limit")), "before": ("sum", F.col("weight")),
     })
-    totals = limits.agg(
-        F.sum("source_size").cast("double").alias("total"), F.sum("weight").alias("all_weight")
-    )
+    total = limits.agg(F.sum("source_size").cast("double").alias("total")).scalar()
+    all_weight = limits.agg(F.sum("weight").alias("all_weight")).scalar()
     # The level if this source and all after it were not full.
-    left = F.col("total") - (F.col("full") - F.col("limit"))
-    level = left / (F.col("all_weight") - (F.col("before") - F.col("weight")))
-    marked = sums.join(F.broadcast(totals)).withColumn("level", level)
-    open_ones = marked.filter(F.col("level") <= F.col("full_at"))
-    dealt = open_ones.agg(F.min(F.struct(*order, "level"))["level"].alias("dealt"))
-    target = F.least("limit", F.coalesce("dealt", F.lit(float("inf"))) * F.col("weight"))
-    return checkpoint(limits.join(F.broadcast(dealt)).select("source", "source_size", target.alias("target"), "rise"))
+    left = total - (F.col("full") - F.col("limit"))
+    level = left / (all_weight - (F.col("before") - F.col("weight")))
+    marked = sums.withColumn("level", level).filter(F.col("level") <= F.col("full_at"))
+    dealt = marked.agg(F.min(F.struct(*order, "level"))["level"].alias("dealt")).scalar()
+    target = F.least("limit", F.coalesce(dealt, F.lit(float("inf"))) * F.col("weight"))
+    return checkpoint(limits.select("source", "source_size", target.alias("target"), "rise"))
 
 
 def sliced_offsets(rows: DataFrame, total: int, slice_rows: int = SLICE_ROWS) -> DataFrame:

@@ -17,9 +17,10 @@ def op1_nearest(spark, d):
 
 def op2_mixture(spark, d):
     mixed = mixture.mix(table(spark, d, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken", F.size("passes").alias("n_passes"),
-        F.get("passes", F.lit(0))["position"].alias("first_position"),
-        F.get("passes", F.size("passes") - 1)["position"].alias("last_position"),
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken",
+        F.size("passes").alias("n_passes"),
+        F.round(F.get("passes", F.lit(0))["position"], 6).alias("first_position"),
+        F.round(F.get("passes", F.size("passes") - 1)["position"], 6).alias("last_position"),
     )
     return mixture.in_order(mixed, "first_position")
 
@@ -62,15 +63,54 @@ def op10_shards(spark, d):
     )
 
 
+OP2_SQL = """WITH sized AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size FROM documents),
+sources AS (SELECT source, sum(size)::DOUBLE AS source_size,
+    row_number() OVER (ORDER BY source IS NULL, source) - 1 AS turn FROM sized GROUP BY source),
+limits AS (SELECT *, [5.0, 2.0, 1.0][turn % 3 + 1]::DOUBLE AS weight, 3 * source_size AS full_words,
+    (1.5 - 0.5 * (turn % 3))::DOUBLE AS rise FROM sources),
+levels AS (SELECT *, full_words / weight AS full_at,
+    (sum(source_size) OVER () - (sum(full_words) OVER w - full_words))
+      / (sum(weight) OVER () - (sum(weight) OVER w - weight)) AS level
+  FROM limits WINDOW w AS (ORDER BY full_words / weight, turn ROWS UNBOUNDED PRECEDING)),
+targets AS (SELECT *, least(full_words, weight * coalesce((
+    SELECT arg_min(level, full_at * 1e6 + turn) FROM levels WHERE level <= full_at), 'inf'::DOUBLE)) AS target FROM levels),
+placed AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.rise, floor(t.target) AS goal,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS before
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+passes AS (SELECT p.*, k, greatest(0, least(size, goal - (k * source_size + before))) AS words,
+    least(1.0, (k * source_size + before + greatest(0, least(size, goal - (k * source_size + before))) / 2)
+      / nullif(target, 0)) AS share
+  FROM placed p, range(3) AS n(k)),
+timed AS (SELECT *, 2 * share / (rise + sqrt(greatest(0, rise * rise + 4 * (1 - rise) * share))) AS position FROM passes)
+SELECT doc_id, size, source_size::BIGINT AS source_size, round(target, 6) AS target, sum(words)::BIGINT AS taken,
+  (count(*) FILTER (words > 0))::INTEGER AS n_passes,
+  round(min(position) FILTER (words > 0), 6) AS first_position,
+  round(max(position) FILTER (words > 0), 6) AS last_position
+FROM timed GROUP BY doc_id, size, source_size, target, before"""
+
+OP8_SQL = """WITH parts AS (
+  SELECT page_id, url, contains(coalesce(url, ''), '://') AS whole,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', ['host', 'path']) AS p FROM pages),
+judged AS (
+  SELECT row_number() OVER () AS n, page_id, whole, translate(p.host,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, p.path AS path FROM parts),
+rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits AS (SELECT n, arg_max(h || p, len(h || p)) AS rule, arg_max(verdict, len(h || p)) AS verdict
+  FROM judged JOIN rules ON whole AND (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM judged LEFT JOIN fits USING (n)"""
+
 QUERIES = {
     "op1_nearest": (op1_nearest, None),
-    "op2_mixture": (op2_mixture, None),
+    "op2_mixture": (op2_mixture, OP2_SQL),
     "op3_sketches": (op3_sketches, None),
     "op4_toxicity": (op4_toxicity, None),
     "op5_token_counts": (op5_token_counts, None),
     "op6_simhash": (op6_simhash, None),
     "op7_licenses": (op7_licenses, None),
-    "op8_urls": (op8_urls, None),
+    "op8_urls": (op8_urls, OP8_SQL),
     "op9_pieces": (op9_pieces, None),
     "op10_shards": (op10_shards, None),
 }

@@ -99,17 +99,17 @@ def feature_counts(fit: DataFrame) -> DataFrame:
 
 def log_odds(counts: DataFrame) -> DataFrame:
     """``bin, odds``: log-odds less the standard errors, where that is above zero."""
-    sums = counts.agg(F.sum("toxic").alias("all_toxic"), F.sum("clean").alias("all_clean"))
-    rows = counts.crossJoin(F.broadcast(sums))  # one row
+    counts = checkpoint(counts)
     prior = F.lit(PRIOR) + PRIOR_SHARE * (F.col("toxic") + F.col("clean"))
 
     def side(n, total):
         y = F.col(n) + prior
-        return F.log(y / (F.col(total) + 1 - F.col(n) + prior))
+        return F.log(y / (total + 1 - F.col(n) + prior))
 
     error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    odds = side("toxic", "all_toxic") - side("clean", "all_clean") - ERRORS * error
-    return rows.select("bin", odds.alias("odds")).filter("odds > 0")
+    toxic, clean = (counts.agg(F.sum(n).alias(n)).scalar() for n in ("toxic", "clean"))
+    odds = side("toxic", toxic) - side("clean", clean) - ERRORS * error
+    return counts.select("bin", odds.alias("odds")).filter("odds > 0")
 
 
 class Words:
