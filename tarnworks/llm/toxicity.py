@@ -2,8 +2,10 @@
 
 Fit: for every feature of a word (the word, and its beginnings of three to six letters, hashed
 into a fixed number of bins) the log-odds of standing in a toxic document against a clean one,
-under a Dirichlet prior in proportion to its overall frequency, less a few standard errors. A
-word scores its best feature, less a drift that makes ordinary text score below zero.
+under a Dirichlet prior in proportion to its overall frequency, less some standard errors. A
+word scores its best feature, less a drift that makes ordinary text score below zero. How many
+standard errors and how much drift is chosen by the loss on rows that the weights were not
+counted on: the training rows are dealt in folds, and each is scored by the counts of the others.
 
 Score: one pass over a text finds every maximal segment (Ruzzo and Tompa). Under the clean
 documents' word scores the best of n chance segments follows an extreme-value law whose rate
@@ -14,7 +16,7 @@ a text of that length. A logistic curve, fitted on the training rows, turns the
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import exp, log, log1p
+from math import log, log1p
 from zlib import crc32
 
 import numpy as np
@@ -30,9 +32,10 @@ STEMS = (3, 4, 5, 6)
 # Labelled rows that the classifier is fitted on at most, taken by hash.
 FIT_ROWS = 32_768
 FOLDS, HELD_OUT = 5, 0
-PRIOR, PRIOR_SHARE = 0.5, 0.02
-ERRORS = 3.0  # standard errors that are taken off
-DRIFT = 0.25
+PRIOR, PRIOR_SHARE = 0.1, 0.01
+PARTS = 4  # parts of the training rows, each scored by the counts of the others
+# Standard errors that are taken off and drift: the candidates.
+CHOICES = ((0.7, 1.0), (1.0, 0.75), (2.0, 0.5), (3.0, 0.25))
 TOP = 6.0  # most that a word can score
 K = 0.3  # the extreme-value law's factor for the number of starting points
 MEMO = 1 << 19  # words that a worker remembers
@@ -68,16 +71,19 @@ def fit_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFr
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     met = texts.join(F.broadcast(checkpoint(some)), "doc_id")  # bounded by ``rows``
     each = met.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
-    return checkpoint(each.agg(F.first("text").alias("text"), F.max("toxic").alias("toxic")).drop("h"))
+    each = each.agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    part = F.pmod(F.crc32(F.col("h").cast("binary")), F.lit(PARTS)).cast("int").alias("part")
+    return checkpoint(each.select("text", "toxic", part))
 
 
-def feature_counts(fit: DataFrame) -> DataFrame:
-    """``bin, toxic, clean``: documents of each kind that hold a feature of the bin."""
+def feature_counts(fit: DataFrame) -> np.ndarray:
+    """[part, toxic, bin]: documents of each part and kind that hold a feature of the bin."""
+    names = [f"n{k}" for k in range(2 * PARTS)]
 
     def work(batches):
-        counts, memo = np.zeros((2, BINS), np.int64), {}
+        counts, memo = np.zeros((2 * PARTS, BINS), np.int64), {}
         for batch in batches:
-            for text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
+            for text, toxic, part in zip(*(c.to_pylist() for c in batch.columns)):
                 seen: set[int] = set()
                 for w in set(words_of(text)):
                     found = memo.get(w)
@@ -87,53 +93,49 @@ def feature_counts(fit: DataFrame) -> DataFrame:
                             memo[w] = found
                     seen.update(found)
                 if seen:
-                    counts[toxic, np.fromiter(seen, np.int64, len(seen))] += 1
+                    counts[2 * part + toxic, np.fromiter(seen, np.int64, len(seen))] += 1
         (at,) = np.nonzero(counts.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at), pa.array(counts[1, at]), pa.array(counts[0, at])], ["bin", "toxic", "clean"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(c[at]) for c in counts]], ["bin", *names])
 
-    parts = fit.select("text", "toxic").mapInArrow(work, "bin long, toxic long, clean long")
-    return parts.groupBy("bin").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    rows = fit.select("text", "toxic", "part").mapInArrow(
+        work, "bin long, " + ", ".join(f"{n} long" for n in names)
+    )
+    found = rows.groupBy("bin").agg(*[F.sum(n).alias(n) for n in names]).toPandas()  # at most BINS rows
+    out = np.zeros((2 * PARTS, BINS))
+    out[:, found["bin"].to_numpy()] = found[names].to_numpy().T
+    return out.reshape(PARTS, 2, BINS)
 
 
-def log_odds(counts: DataFrame) -> DataFrame:
-    """``bin, odds``: log-odds less the standard errors, where that is above zero."""
-    counts = checkpoint(counts)
-    prior = F.lit(PRIOR) + PRIOR_SHARE * (F.col("toxic") + F.col("clean"))
+def log_odds(clean: np.ndarray, toxic: np.ndarray, errors: float) -> np.ndarray:
+    """Log-odds of each bin less the standard errors, where that is above zero."""
+    prior = PRIOR + PRIOR_SHARE * (clean + toxic)
+    side = lambda n: np.log((n + prior) / (n.sum() + 1 - n + prior))
+    error = np.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
+    return np.where(clean + toxic > 0, np.maximum(0, side(toxic) - side(clean) - errors * error), 0)
 
-    def side(n, total):
-        y = F.col(n) + prior
-        return F.log(y / (total + 1 - F.col(n) + prior))
 
-    error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    toxic, clean = (counts.agg(F.sum(n).alias(n)).scalar() for n in ("toxic", "clean"))
-    odds = side("toxic", toxic) - side("clean", clean) - ERRORS * error
-    return counts.select("bin", odds.alias("odds")).filter("odds > 0")
+class Words:
+    """Scores of words, one for each column of the weights, remembered while there is room."""
 
+    def __init__(self, weights: np.ndarray, drifts: list[float]):
+        self.weights, self.drifts, self.known = weights, np.array(drifts), {}
 
-class Words:
-    """Scores of words, remembered while there is room."""
-
-    def __init__(self, weights: np.ndarray):
-        self.weights, self.known = weights, {}
-
-    def score(self, word: bytes) -> float:
-        s = self.known.get(word)
-        if s is None:
-            s = min(TOP, float(max(self.weights[b] for b in bins_of(word)))) - DRIFT
-            if len(self.known) >= MEMO:
-                self.known.clear()
-            self.known[word] = s
+    def score(self, word: bytes) -> tuple[float, ...]:
+        best = self.weights[list(bins_of(word))].max(axis=0)
+        s = tuple((np.minimum(TOP, best) - self.drifts).tolist())
+        if len(self.known) >= MEMO:
+            self.known.clear()
+        self.known[word] = s
         return s
 
     def scores(self, text: str | None) -> np.ndarray:
+        """[word, column]."""
         words = words_of(text)
         get, score = self.known.get, self.score
         found = list(map(get, words))
         if None in found:
-            found = [score(w) if s is None else s for w, s in zip(words, found)]
-        return np.array(found, float)
+            found = [get(w) or score(w) if s is None else s for w, s in zip(words, found)]
+        return np.array(found, float).reshape(len(words), len(self.drifts))
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -178,38 +180,70 @@ def rate_of(values: np.ndarray, counts: np.ndarray) -> float:
 @dataclass
 class Model:
     weights: np.ndarray
+    drift: float
     rate: float
     slope: float
     base: float
 
+    def words(self) -> Words:
+        return Words(self.weights[:, None], [self.drift])
+
     def passages(self, scores: np.ndarray) -> list[tuple[int, int, float]]:
-        """Significant passages: first word, end, bits above chance."""
-        chance = log1p(K * len(scores))
-        found = [(a, b, self.rate * s - chance) for a, b, s in segments(scores)]
-        return [f for f in found if f[2] > 0]
+        """Significant passages: first word, end, strength above chance."""
+        return significant(scores[:, 0], self.rate)
+
+
+def significant(scores: np.ndarray, rate: float) -> list[tuple[int, int, float]]:
+    chance = log1p(K * len(scores))
+    found = [(a, b, rate * s - chance) for a, b, s in segments(scores)]
+    return [f for f in found if f[2] > 0]
 
-    def score(self, strength: float) -> float:
-        z = self.base + self.slope * log1p(strength)
-        return 1 / (1 + exp(-z)) if z > -700 else 0.0
 
+DRIFTS = [drift for _, drift in CHOICES]
+LEVELS = 1024  # of word scores in hundredths
 
-def clean_scores(fit: DataFrame, weights) -> tuple[np.ndarray, np.ndarray]:
-    """Values and counts of the clean documents' word scores, rounded to hundredths."""
+
+def clean_levels(fit: DataFrame, weights) -> np.ndarray:
+    """[choice, level]: how often the clean documents' words have a score, in hundredths."""
 
     def work(batches):
-        words, counts = Words(weights.value), np.zeros(1024, np.int64)
+        words = [Words(w, DRIFTS) for w in weights.value]
+        counts = np.zeros((len(CHOICES), LEVELS), np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                s = words.scores(text)
-                counts += np.bincount(np.rint((s + DRIFT) * 100).astype(int), minlength=1024)
-        (at,) = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["at", "n"])
+            for text, part in zip(*(c.to_pylist() for c in batch.columns)):
+                level = np.rint((words[part].scores(text) + DRIFTS) * 100).astype(int)
+                for c in range(len(CHOICES)):
+                    counts[c] += np.bincount(level[:, c], minlength=LEVELS)
+        choice, at = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(choice), pa.array(at), pa.array(counts[choice, at])], ["choice", "at", "n"]
+        )
+
+    rows = fit.filter("toxic = 0").select("text", "part").mapInArrow(work, "choice long, at long, n long")
+    out = np.zeros((len(CHOICES), LEVELS))
+    for r in rows.groupBy("choice", "at").agg(F.sum("n").alias("n")).collect():  # bounded by the levels
+        out[r["choice"], r["at"]] = r["n"]
+    return out
+
+
+def strengths(fit: DataFrame, weights, rates: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """[row, choice] strengths of the training rows, and their labels."""
+
+    def work(batches):
+        words = [Words(w, DRIFTS) for w in weights.value]
+        for batch in batches:
+            rows = []
+            for text, part in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                own = words[part].scores(text)
+                rows.append([sum(s for *_, s in significant(own[:, c], r)) for c, r in enumerate(rates)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), pa.array(rows, pa.list_(pa.float64()))], ["toxic", "strength"]
+            )
 
-    rows = fit.filter("toxic = 0").select("text").mapInArrow(work, "at long, n long")
-    found = rows.groupBy("at").agg(F.sum("n").alias("n")).collect()  # at most 1,024 values
-    values = np.array([r["at"] / 100 - DRIFT for r in found] or [-DRIFT])
-    counts = np.array([r["n"] for r in found] or [1], float)
-    return np.append(values, TOP - DRIFT), np.append(counts, 0.5)
+    rows = fit.select("text", "toxic", "part").mapInArrow(work, "toxic int, strength array<double>")
+    found = rows.toPandas()  # at most as many rows as the classifier is fitted on
+    x = np.stack(found["strength"].to_numpy()) if len(found) else np.zeros((0, len(rates)))
+    return x, found["toxic"].to_numpy(float)
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -229,20 +263,28 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """A model from the labels. Without labels of both kinds every text scores below one half."""
     spark = docs.sparkSession
     fit = fit_rows(docs, labels, rows)
-    found = log_odds(feature_counts(fit)).collect()  # at most BINS rows
-    weights = np.zeros(BINS)
-    for r in found:
-        weights[r["bin"]] = r["odds"]
+    counts = feature_counts(fit)
+    whole = counts.sum(axis=0)
+    others = [whole - own for own in counts]
+    weights = np.array([
+        np.stack([log_odds(*other, errors) for errors, _ in CHOICES], axis=1) for other in others
+    ], np.float32)
     sent = spark.sparkContext.broadcast(weights)
-    model = Model(weights, rate_of(*clean_scores(fit, sent)), 0.0, 0.0)
-    strengths = passages_of(fit.select(F.lit(None).cast("long").alias("doc_id"), "text", "toxic"), model, ["toxic"])
-    pairs = strengths.select("strength", "row.toxic").toPandas()  # at most ``rows``
-    y = pairs["toxic"].to_numpy(float)
+    levels = clean_levels(fit, sent)
+    rates = []
+    for n, drift in zip(levels, DRIFTS):
+        values = np.append(np.arange(LEVELS) / 100, TOP) - drift
+        rates.append(rate_of(values, np.append(n + (np.arange(LEVELS) == 0), 0.5)))
+    x, y = strengths(fit, sent, rates)
+    best = None
     if 0 < y.sum() < len(y):
-        model.slope, model.base = logistic(np.log1p(pairs["strength"].to_numpy()), y)
-    else:
-        model.base = -log(len(y) + 2)
-    return model
+        for c, (errors, drift) in enumerate(CHOICES):
+            z = np.log1p(x[:, c])
+            slope, base = logistic(z, y)
+            loss = np.logaddexp(0, np.where(y > 0, -1, 1) * (base + slope * z)).mean()
+            if best is None or loss < best[0]:
+                best = loss, Model(log_odds(*whole, errors), drift, rates[c], slope, base)
+    return best[1] if best else Model(np.zeros(BINS), DRIFTS[0], 1.0, 0.0, -log(len(y) + 2))
 
 
 def passages_of(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
@@ -256,7 +298,7 @@ def passages_of(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFram
 
     def work(batches):
         model = sent.value
-        words = Words(model.weights)
+        words = model.words()
         for batch in batches:
             strength, spans = [], []
             for text in batch.column(1).to_pylist():
