@@ -26,6 +26,7 @@ SPACE = "▁"  # stands for a space in pieces
 UNKNOWN = 10.0  # a character without piece scores so much below the worst piece
 MEMO = 1 << 19
 MEMO_CHARS = 48
+NEVER = float("-inf")
 RUN = re.compile(" *[^ ]+| +$")
 
 
@@ -65,11 +66,11 @@ class Vocabulary:
             if kind == 0:
                 rank += 1
                 text = piece.replace(SPACE, " ")
-                node = self.trie
-                for c in text:
-                    node = node.setdefault(c, {})
                 worst = -log(rank) - norm
-                node[""] = (i, worst)
+                node = [self.trie, -1, 0.0]  # next characters, id of the piece that ends here, score
+                for c in text:
+                    node = node[0].setdefault(c, [{}, -1, 0.0])
+                node[1:] = i, worst
                 self.longest = max(self.longest, len(text))
                 self.splits &= " " not in text.lstrip(" ")
                 self.bytes_of.append(text.encode())
@@ -95,61 +96,71 @@ def viterbi(text: str, v: Vocabulary) -> Iterator[list[int]]:
 
     Of equally good ways to a boundary, that with the longer last piece is taken.
     """
-    n, trie, unknown, raw = len(text), v.trie, v.unknown, v.raw
-    score: dict[int, float] = {0: 0.0}  # of open boundaries
-    back: dict[int, tuple[int, int]] = {}  # boundary -> boundary before, id (-1: bytes)
-    done, reach = 0, 0
+    n, trie, unknown, raw, longest = len(text), v.trie, v.unknown, v.raw, v.longest
+    # Of the boundaries from ``done`` on: score, boundary before, id of the piece between (-1: bytes).
+    done = reach = 0
+    score, before, piece = [0.0], [0], [-1]
 
-    def path(a: int, b: int) -> list[int]:
+    def path(to: int) -> list[int]:
         out: list[int] = []
-        while b > a:
-            b, i, end = back[b][0], back[b][1], b
+        while to > done:
+            end, i = to, piece[to - done]
+            to = before[end - done]
             if i < 0:
-                out += [raw[x] for x in reversed(text[b:end].encode("utf-8", "surrogatepass"))]
+                out += [raw[x] for x in reversed(text[to:end].encode("utf-8", "surrogatepass"))]
             else:
                 out.append(i)
         out.reverse()
         return out
 
     for at in range(n):
-        here = score.pop(at)
-        node, end = trie, at
+        here = score[at - done]
+        kids, end, k = trie, at, at - done
         single = False
         while end < n:
-            node = node.get(text[end])
+            node = kids.get(text[end])
             if node is None:
                 break
             end += 1
-            leaf = node.get("")
-            if leaf is not None:
-                single |= end == at + 1
-                total = here + leaf[1]
-                if end not in score or total > score[end]:
-                    score[end] = total
-                    back[end] = (at, leaf[0])
-                    reach = max(reach, end)
+            k += 1
+            kids, i, own = node
+            if i >= 0:
+                if end > reach:
+                    for _ in range(end - reach):
+                        score.append(NEVER)
+                        before.append(at)
+                        piece.append(-1)
+                    reach = end
+                if end == at + 1:
+                    single = True
+                if here + own > score[k]:
+                    score[k] = here + own
+                    before[k] = at
+                    piece[k] = i
         if not single:
-            total = here + unknown
-            if at + 1 not in score or total > score[at + 1]:
-                score[at + 1] = total
-                back[at + 1] = (at, -1)
-                reach = max(reach, at + 1)
+            k = at + 1 - done
+            if reach <= at:
+                score.append(NEVER)
+                before.append(at)
+                piece.append(-1)
+                reach = at + 1
+            if here + unknown > score[k]:
+                score[k], before[k], piece[k] = here + unknown, at, -1
         if reach == at + 1:
             meets = reach
-        elif at - done >= 2 * v.longest and at % v.longest == 0:
-            alive = {b for b in score if b > at}
+        elif at - done >= 2 * longest and at % longest == 0:
+            alive = {b for b in range(at + 1, reach + 1) if score[b - done] > NEVER}
             while len(alive) > 1:  # go back until the paths are one
                 last = max(alive)
                 alive.discard(last)
-                alive.add(back[last][0])
+                alive.add(before[last - done])
             (meets,) = alive
         else:
             continue
-        if meets > done:
-            yield path(done, meets)
-            gone, done = done, meets
-            for b in [b for b in back if gone < b <= meets]:
-                del back[b]
+        if meets == n or meets - done >= longest:  # not for every letter
+            yield path(meets)
+            gone, done = meets - done, meets
+            del score[:gone], before[:gone], piece[:gone]
 
 
 def encode(text: str | None, v: Vocabulary) -> np.ndarray:
