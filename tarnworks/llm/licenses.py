@@ -128,14 +128,13 @@ class Scanner:
         whole = lambda p: re.compile(f"(?<![^ ])(?:{p})(?![^ ])".encode())
         self.rules = [(r, whole(r.pattern), [k.encode() for k in r.keywords]) for r in ordered]
         self.base = [(whole(p), label) for p, label in BASE.items()]
-        keys = sorted({k.encode() for r in ordered for k in r.keywords} | {b"license"})
-        self.gate = re.compile(b"|".join(map(re.escape, keys)))
+        self.keys = sorted({k.encode() for r in ordered for k in r.keywords} | {b"license"})
 
     def scan(self, text: str | None) -> tuple:
         """n_words, base places (word, label), detections (first, last, label, confidence)."""
         words = (text or "").encode("utf-8", "surrogatepass").translate(WORDS).split()
         joined = b" ".join(words)
-        present = set(self.gate.findall(joined))
+        present = {k for k in self.keys if k in joined}
         if not present:
             return len(words), [], []
         word_at = lambda offset: joined.count(b" ", 0, offset)
@@ -147,7 +146,7 @@ class Scanner:
                 at = pattern.search(joined, at.start() + 1)
         found = []
         for rule, pattern, keys in self.rules:
-            if all(k in joined for k in keys):
+            if present.issuperset(keys):
                 found += [(rule.priority, m.start(), m.end(), rule) for m in pattern.finditer(joined)]
         found.sort(key=lambda f: (-f[0], f[1] - f[2], f[1], f[3].label))
         return len(words), base, [
