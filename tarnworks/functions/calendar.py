@@ -36,13 +36,9 @@ def year_month(d: Column) -> Column:
 
 
 def clock_seconds(text: Column) -> Column:
-    """Seconds of an ``h:mm:ss`` text; null stays null."""
-    parts = F.split(text, ":")
-    return (
-        parts.getItem(0).cast("long") * 3600
-        + parts.getItem(1).cast("long") * 60
-        + parts.getItem(2).cast("long")
-    )
+    """Seconds of an ``h:mm:ss`` text; null for any other text."""
+    hours, minutes, seconds = (F.get(F.split(text, ":"), F.lit(i)).try_cast("long") for i in range(3))
+    return hours * 3600 + minutes * 60 + seconds
 
 
 def daily(first: Column, last: Column) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tarnworks.plans import features, games, graphs, ranking, rates, series, shapes, texts
+from tarnworks.plans import features, files, games, graphs, ranking, rates, series, shapes, texts
 
-FAMILIES = (graphs, texts, rates, series, ranking, features, games, shapes)
+FAMILIES = (graphs, texts, rates, series, ranking, features, games, shapes, files)
 
 
 def registered() -> dict:

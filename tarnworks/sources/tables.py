@@ -31,15 +31,15 @@ def run_sql(spark: SparkSession, sql: str) -> DataFrame:
 def read_runs(spark: SparkSession, path: str, line_sep: str = "\r") -> DataFrame:
     """Running log ``Date, Miles, Time`` with ``M/d/yy`` dates and CR line ends."""
     raw = spark.read.csv(path, header=True, schema=RUN_SCHEMA, lineSep=line_sep)
-    return raw.withColumn("Date", F.to_date("Date", "M/d/yy"))
+    return raw.withColumn("Date", F.try_to_timestamp("Date", F.lit("M/d/yy")).cast("date"))
 
 
 def read_returns(spark: SparkSession, path: str) -> DataFrame:
     """Stock returns ``date, S1 ...`` with empty cells as null."""
     raw = spark.read.csv(path, header=True)
     return raw.select(
-        F.to_timestamp("date", "M/d/yyyy H:mm").alias("date"),
-        *[F.col(c).cast("double") for c in raw.columns if c != "date"],
+        F.try_to_timestamp("date", F.lit("M/d/yyyy H:mm")).alias("date"),
+        *[F.col(c).try_cast("double").alias(c) for c in raw.columns if c != "date"],
     )
 
 
@@ -62,6 +62,11 @@ def from_values(spark: SparkSession, values: Iterable[float]) -> DataFrame:
     return spark.createDataFrame([(float(v),) for v in values], "x double")
 
 
-def write_by_document(results: DataFrame, path: str) -> None:
-    """One text folder per document from ``doc_id, value``."""
-    results.select("doc_id", "value").write.partitionBy("doc_id").text(path)
+def write_by_document(results: DataFrame, path: str, folders: bool = False) -> None:
+    """Results of documents from ``doc_id, value``: one Parquet table, or on request one text
+    folder per document, which is for few documents only."""
+    rows = results.select("doc_id", "value")
+    if folders:
+        rows.write.partitionBy("doc_id").text(path)
+    else:
+        rows.write.parquet(path)

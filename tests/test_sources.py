@@ -88,7 +88,7 @@ def test_returns_documents_values(spark, tmp_path):
     (tmp_path / "docs" / "1.txt").write_text("one\ntwo")
     docs = tables.read_documents(spark, str(tmp_path / "docs"))
     assert _rows(docs) == {("1.txt", "one\ntwo")}
-    tables.write_by_document(docs.select("doc_id", F.col("text").alias("value")), str(tmp_path / "by"))
+    tables.write_by_document(docs.select("doc_id", F.col("text").alias("value")), str(tmp_path / "by"), folders=True)
     assert (tmp_path / "by" / "doc_id=1.txt").is_dir()
     assert tables.from_values(spark, [1, 2]).agg(F.sum("x")).first()[0] == 3.0
 
