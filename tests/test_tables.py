@@ -198,7 +198,7 @@ def test_pair_model_beats_ridge(spark):
     xc, yc = x - x.mean(0), y - y.mean()
     exact = np.linalg.solve(xc.T @ xc + np.eye(2), xc.T @ yc)
     assert ridge == pytest.approx(list(exact / np.linalg.norm(exact)), abs=1e-9)
-    svm = rk.fit_pair_svm(rk.pair_samples(placed), max_iter=25)
+    svm = rk.fit_pair_svm(rk.pair_samples(placed))
     assert np.dot(svm, w) > 0.95
     tau = {name: {r.qid: r.tau for r in rk.ranking_quality(placed, weights).withColumnRenamed("block", "qid").collect()} for name, weights in [("svm", svm), ("ridge", ridge)]}
     assert all(tau["svm"][b] > tau["ridge"][b] for b in (0, 1))
