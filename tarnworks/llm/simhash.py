@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnworks.llm.common import LOWER, checkpoint, shuffle_width
+from tarnworks.llm.common import LOWER, checkpoint, meet, shuffle_width
 from tarnworks.operators.components import connected_components
 
 BITS = 64
@@ -435,13 +435,14 @@ def near_groups(
         marked.groupBy("fp", "check").agg(F.min("doc_id").alias("low")).withColumn("node", node)
     )
     joined = links(classes, classes.count(), radius, check_radius)
-    groups = connected_components(checkpoint(joined))
-    named = classes.join(groups.withColumnRenamed("id", "node"), "node", "left").select(
-        "fp", "check", "low", F.coalesce("component", "node").alias("component")
+    groups = connected_components(checkpoint(joined)).withColumnRenamed("id", "node")
+    # Most classes stand alone; only those of groups look for the smallest id.
+    grouped = checkpoint(classes.join(groups, "node").select("node", "low", "component"))
+    lows = checkpoint(grouped.groupBy("component").agg(F.min("low").alias("component_id")))
+    found = meet(grouped, lows, "component").select("node", "component_id")
+    answer = classes.join(found, "node", "left").select(
+        "fp", "check", F.coalesce("component_id", "low").alias("component_id")
     )
-    named = checkpoint(named)
-    lows = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    answer = named.join(lows, "component").select("fp", "check", "component_id")
     return marked.join(answer, ["fp", "check"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
