@@ -7,7 +7,7 @@ import corpus_pipeline
 import pytest
 from fixtures import documents, empty, frame
 from test_counts import plain_targets, size_of
-from test_pairs import groups_of, plain_fingerprint
+from test_pairs import groups_of
 
 from tarnworks.llm import pieces, simhash, toxicity
 from tarnworks.sources.tables import table
@@ -21,8 +21,10 @@ def test_stages_have_their_order():
 
 def plain_classes(texts):
     """Smallest id of each document's group, by the stage's own rule on all pairs."""
-    fps = {d: plain_fingerprint(t) for d, t in texts.items()}
-    checks = {d: simhash.majority(simhash.shingle_hashes(t, corpus_pipeline.CHECK_WORDS)) for d, t in texts.items()}
+    fps, checks = (
+        {d: simhash.majority(simhash.shingle_hashes(t, words)) for d, t in texts.items()}
+        for words in (corpus_pipeline.NEAR_WORDS, corpus_pipeline.CHECK_WORDS)
+    )
     links = [
         (a, b) for a in texts for b in texts
         if a < b and (fps[a] ^ fps[b]).bit_count() <= corpus_pipeline.NEAR_BITS
