@@ -18,7 +18,7 @@ HEADLINE = [
     "components", "sentence_rank", "keyphrase_merge", "first_occurrence", "weekly_rate",
     "rate_trend", "user_trend", "emails_per_user", "log_parse", "daily_spine", "rolling_std",
     "queue_schedule", "pair_samples", "kendall_tau", "drug_plan_long", "plan_one_hot",
-    "game_points", "game_pairs", "null_safe_ratio",
+    "game_points", "game_pairs", "null_safe_ratio", "pagerank_sweep", "edit_distance", "ridge_rank",
 ]
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,7 +128,7 @@ def feature_join(spark, d):
 
 
 def feature_vectors(spark, d):
-    """One-hot vectors of the joined features."""
+    """One-hot vectors of the joined features, taken apart again."""
     index = checkpoint(
         ft.value_index(
             feature_join(spark, d).select(F.lit("flag").alias("path"), F.col("flag").alias("value")).distinct()
@@ -136,8 +137,13 @@ def feature_vectors(spark, d):
     coded = feature_join(spark, d).join(
         index.select(F.col("value").alias("flag"), F.col("idx").cast("double").alias("code")), "flag"
     )
-    return ft.one_hot_vectors(coded, ["code"], ["balance", "quantity"]).select(
-        "plan_id", "drug", "features"
+    vectors = ft.one_hot_vectors(coded, ["code"], ["balance", "quantity"])
+    v = vector_to_array("features")
+    slots = F.slice(v, 3, F.size(v) - 2)
+    return vectors.select(
+        "plan_id", "drug", v[0].alias("balance"), v[1].alias("quantity"),
+        (F.array_position(slots, 1.0) - 1).alias("slot"),
+        F.aggregate(slots, F.lit(0.0), lambda s, x: s + x).alias("ones"), F.size(v).alias("width"),
     )
 
 
@@ -215,5 +221,11 @@ LEFT JOIN firsts f ON f.plan_id = p.plan_id AND f.drug = d.drug""",
         f"""WITH {PLANS}, {FIRST}
 SELECT plan_id, drug, nation, balance, quantity, flag FROM firsts JOIN plans USING (plan_id)""",
     ),
-    "feature_vectors": (feature_vectors, None),
+    "feature_vectors": (
+        feature_vectors,
+        f"""WITH {PLANS}, {FIRST}, met AS (SELECT * FROM firsts JOIN plans USING (plan_id)),
+flags AS (SELECT flag, row_number() OVER (ORDER BY flag) - 1 AS slot FROM (SELECT DISTINCT flag FROM met))
+SELECT plan_id, drug, balance, quantity, slot, 1.0::DOUBLE AS ones,
+  CAST(2 + (SELECT count(*) FROM flags) AS INTEGER) AS width FROM met JOIN flags USING (flag)""",
+    ),
 }
