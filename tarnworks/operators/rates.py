@@ -6,7 +6,7 @@ article_id, week_num, status), ``articles`` (article_id and category id columns)
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnworks.functions.calendar import week_number
@@ -194,6 +194,13 @@ def name_user_trend(trend: DataFrame, categories: DataFrame, users: DataFrame, b
     )
 
 
+def user_top_changes(named: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` categories of each user that rise most, from ``name_user_trend``: with
+    ``place``, 1 the strongest; equal slopes go by name. A user has as many rows as categories."""
+    w = Window.partitionBy("user_id").orderBy(F.desc("slope"), "name")
+    return named.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= n)
+
+
 def sent_once(emails: DataFrame) -> DataFrame:
     """Most often any article was sent to one user (1 = every link is unique)."""
     pairs = emails.groupBy("user_id", "article_id").agg(F.count(F.lit(1)).alias("n"))

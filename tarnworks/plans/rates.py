@@ -135,6 +135,10 @@ def user_trend_named(spark, d):
     return r.name_user_trend(trend, topics(spark, d), users(spark, d), "topic_id")
 
 
+def user_top_changes(spark, d):
+    return r.user_top_changes(user_trend_named(spark, d))
+
+
 def check_sent_once(spark, d):
     return r.sent_once(emails(spark, d))
 
@@ -279,6 +283,13 @@ m_send, m_click, round(rate, 9) AS rate FROM per_email""",
         user_trend_named,
         _user_sql(0, False) + """ SELECT user_id, 'u' || user_id || '@example.org' AS email,
 'topic ' || category AS name, slope FROM slopes WHERE abs(slope) > 0""",
+    ),
+    "user_top_changes": (
+        user_top_changes,
+        _user_sql(0, False) + """ SELECT user_id, 'u' || user_id || '@example.org' AS email,
+'topic ' || category AS name, slope, CAST(row_number() OVER (PARTITION BY user_id
+  ORDER BY slope DESC, 'topic ' || category) AS INTEGER) AS place
+FROM slopes WHERE abs(slope) > 0 QUALIFY place <= 5""",
     ),
     "check_sent_once": (
         check_sent_once,
