@@ -17,11 +17,12 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.llm.common import LOWER, checkpoint, meet, shuffle_width
 from tarnworks.operators.components import connected_components
+from tarnworks.operators.scale import join_lookup
 
 BITS = 64
 SEED = 42
@@ -33,6 +34,12 @@ STEP = 2_000_000
 PROBE_COST = 500.0
 # Widest group of bits whose values are counted exactly.
 PIECE = 16
+# Near texts share this part (numerator, denominator) of their runs of so many words.
+SHARE, RUN_WORDS = (4, 5), 5
+# Bands of smallest hashes, in so many rows: two texts at SHARE have an equal band with 0.9993.
+BANDS, BAND_ROWS = 24, 6
+# Bytes of run hashes of one group that one task compares at once; more are cut in blocks.
+BLOCK_BYTES = 32 << 20
 
 
 def shingle_hashes(text: str | None, words: int, seed: int = SEED) -> np.ndarray:
@@ -446,3 +453,142 @@ def near_groups(
     return marked.join(answer, ["fp", "check"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def text_key(text: Column) -> Column:
+    """A number for each text; null is the empty text."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def run_set(text: str | None) -> np.ndarray:
+    """The different runs' hashes, sorted."""
+    return np.unique(shingle_hashes(text, RUN_WORDS))
+
+
+def bands_of(runs: np.ndarray) -> list[int]:
+    """One number for each band of smallest hashes."""
+    rng = np.random.default_rng(SEED)
+    factors = rng.integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+    salts = rng.integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64)
+    if not len(runs):
+        return [0] * BANDS
+    low = np.array([((runs ^ s) * f).min() for f, s in zip(factors, salts)], np.uint64)
+    digest = xxhash.xxh64_intdigest
+    return [_signed(digest(b.tobytes(), k)) for k, b in enumerate(low.reshape(BANDS, BAND_ROWS))]
+
+
+def near_links(nodes: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Links of pairs that share ``SHARE`` of their runs, which connect all that such pairs do.
+
+    From each text found, all that are not yet found are compared at once.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    left = np.arange(len(sets))
+    mark = np.zeros(len(known), bool)
+    src, dst, waiting = [], [], []
+    while len(left):
+        if not waiting:
+            waiting.append(int(left[0]))
+            keep, left = owner != left[0], left[1:]
+            flat, owner = flat[keep], owner[keep]
+        at = waiting.pop()
+        mark[np.searchsorted(known, sets[at])] = True
+        shared = np.bincount(owner[mark[flat]], minlength=len(sets))[left]
+        mark[:] = False
+        a, b = SHARE
+        near = (a + b) * shared >= a * (sizes[at] + sizes[left])
+        if near.any():
+            found = left[near]
+            src.append(np.full(len(found), nodes[at]))
+            dst.append(nodes[found])
+            waiting += found.tolist()
+            left = left[~near]
+            keep = ~np.isin(owner, found)
+            flat, owner = flat[keep], owner[keep]
+    if not src:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(src), np.concatenate(dst)
+
+
+def marked_texts(texts: DataFrame, words: int, check_words: int) -> DataFrame:
+    """``node, fp, check, bands``, one row for each text of ``node, text``."""
+
+    def work(batches):
+        for batch in batches:
+            rows = batch.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([_signed(majority(shingle_hashes(t, words))) for t in rows], pa.int64()),
+                    pa.array([_signed(majority(shingle_hashes(t, check_words))) for t in rows], pa.int64()),
+                    pa.array([bands_of(run_set(t)) for t in rows], pa.list_(pa.int64())),
+                ],
+                ["node", "fp", "check", "bands"],
+            )
+
+    each = texts.mapInArrow(work, "node long, fp long, check long, bands array<long>")
+    return each.groupBy("node").agg(*[F.first(c).alias(c) for c in ("fp", "check", "bands")])
+
+
+def candidates(marks: DataFrame, radius: int, check_radius: int) -> DataFrame:
+    """``src, dst``: links by fingerprints, and of the texts that share a band or both fingerprints
+    with the smallest node among them."""
+    classes = checkpoint(marks.groupBy("fp", "check").agg(F.min("node").alias("node")))
+    by_bits = links(classes, classes.count(), radius, check_radius)
+    both = F.xxhash64(F.lit(-1), "fp", "check")
+    of_band = F.transform("bands", lambda v, k: F.xxhash64(k, v))
+    keyed = checkpoint(marks.select("node", F.explode(F.concat(of_band, F.array(both))).alias("key")))
+    lows = keyed.groupBy("key").agg(F.min("node").alias("src"), F.count(F.lit(1)).alias("size"))
+    met = join_lookup(keyed, checkpoint(lows.filter("size > 1")), ["key"], "size")
+    stars = met.filter("src <> node").select("src", F.col("node").alias("dst"))
+    return checkpoint(by_bits.unionByName(stars).distinct())
+
+
+def compared(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """``src, dst``: links that connect, within each group (``node, component``), what pairs of
+    texts at ``SHARE`` connect.
+
+    Each group is compared in one task, or in blocks, each two in a task of their own.
+    """
+
+    def sets(batches):
+        for batch in batches:
+            runs = [run_set(t).tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(runs, pa.binary())], ["node", "component", "runs"]
+            )
+
+    met = meet(texts, checkpoint(groups), "node").select(F.col("node"), "component", "text")
+    each = met.groupBy("node").agg(F.first("component").alias("component"), F.first("text").alias("text"))
+    rows = checkpoint(each.mapInArrow(sets, "node long, component long, runs binary"))
+    sums = rows.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("runs")).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    blocks = checkpoint(sums.select("component", blocks.alias("blocks")))
+    dealt = meet(rows, blocks, "component")
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (F.col("blocks") == 1) | (k != mine))
+    dealt = dealt.select("component", mine.alias("mine"), F.explode(others).alias("other"), "node", "runs")
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    keyed = dealt.select("component", low.alias("low"), high.alias("high"), "node", "runs")
+
+    def work(t: pa.Table) -> pa.Table:
+        own = [np.frombuffer(r, np.uint64) for r in t.column("runs").to_pylist()]
+        a, b = near_links(t.column("node").to_numpy(), own)
+        return pa.table({"src": pa.array(a, pa.int64()), "dst": pa.array(b, pa.int64())})
+
+    return keyed.groupBy("component", "low", "high").applyInArrow(work, "src long, dst long")
+
+
+def near_texts(texts: DataFrame, words: int, radius: int, check_words: int, check_radius: int) -> DataFrame:
+    """``node, component`` of the texts (``node, text``, a node for each text) that are linked with
+    another: texts that share ``SHARE`` of their different runs of ``RUN_WORDS`` words are.
+
+    Fingerprints (as in ``near_groups``) and bands of smallest hashes give candidates; the texts
+    of each group of candidates are compared run by run, and only true links count.
+    """
+    marks = checkpoint(marked_texts(texts, words, check_words))
+    groups = connected_components(candidates(marks, radius, check_radius))
+    true = checkpoint(compared(texts, groups.withColumnRenamed("id", "node")))
+    return connected_components(true).withColumnRenamed("id", "node")

@@ -1,11 +1,12 @@
 """The stages against plain Python, each on its own input, and the run from end to end."""
 
+import random
 from collections import Counter
 from pathlib import Path
 
 import corpus_pipeline
 import pytest
-from fixtures import documents, empty, frame
+from fixtures import documents, empty, frame, prose, word
 from test_counts import plain_targets, size_of
 from test_pairs import groups_of
 
@@ -42,6 +43,38 @@ def test_one_of_each_group_stays(spark):
     assert corpus_pipeline.keep_one(spark, empty(spark), "").collect() == []
 
 
+def test_near_copies_against_all_pairs_jaccard(spark):
+    rng, texts = random.Random(4), []
+    for k in range(60):
+        words = prose(rng, 120).split()
+        texts.append(" ".join(words))
+        for i in rng.sample(range(len(words)), 1 + k % 6):
+            words[i] = word(rng)
+        texts.append(" ".join(words))
+    texts += ["", " ", "a b", "A  b", "a b c"]
+    runs = []
+    for t in texts:
+        w = t.lower().split()
+        runs.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    pairs = [
+        (a, b) for a in range(len(texts)) for b in range(a)
+        if len(runs[a] & runs[b]) * 5 >= len(runs[a] | runs[b]) * 4
+    ]
+    assert 20 < len(pairs) < 60  # some of the edited texts are near their own, some aren't
+    want = sorted(set(groups_of(range(len(texts)), pairs).values()))
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    got = corpus_pipeline.keep_one(spark, frame(spark, rows), "").collect()
+    assert sorted(r.doc_id for r in got) == want
+
+
+def test_large_group_is_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    words = [f"w{i}" for i in range(100)]
+    rows = [(k, " ".join(words[k:] + [f"x{i}" for i in range(k)]), None, None) for k in range(40)]
+    got = corpus_pipeline.keep_one(spark, frame(spark, rows), "").collect()
+    assert [r.doc_id for r in got] == [0]  # each is near the next one only
+
+
 def test_rows_with_one_id_are_one_document(spark):
     rows = [(1, "a b c d", None, None), (1, "a b c d", None, None), (None, "e f g h", None, None)]
     got = corpus_pipeline.keep_one(spark, frame(spark, rows), "").collect()
