@@ -26,25 +26,32 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies, that with the smallest id. Rows with
-    one id (null counts as an id) are one document."""
-    rows = docs.select("doc_id", "text", simhash.text_key(F.col("text")).alias("node"))
-    near = simhash.near_texts(rows.select("node", "text"), NEAR_WORDS, NEAR_BITS, CHECK_WORDS, CHECK_BITS)
-    lows = checkpoint(rows.groupBy("node").agg(F.min("doc_id").alias("_kept")))
+    """One row of each group of exact and near copies: that with the smallest id (null last), of
+    rows with one id that with the smallest hash. Only texts count: rows that share an id or have
+    none, but have other texts, stay."""
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns))
+    rows = docs.withColumns({"_node": simhash.text_key(F.col("text")), "_place": place})
+    texts = rows.select(F.col("_node").alias("node"), "text")
+    near = simhash.near_texts(texts, NEAR_WORDS, NEAR_BITS, CHECK_WORDS, CHECK_BITS)
+    lows = checkpoint(rows.groupBy(F.col("_node").alias("node")).agg(F.min("_place").alias("low")))
     group = F.coalesce("component", "node").alias("group")
-    kept = lows.join(near, "node", "left").groupBy(group).agg(F.min("_kept").alias("_kept"))
-    found = docs.join(kept.select("_kept").distinct(), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    return found.dropDuplicates(["doc_id"])
+    kept = lows.join(near, "node", "left").groupBy(group).agg(F.min(F.struct("low", "node")).alias("_kept"))
+    kept = kept.select(F.col("_kept.node").alias("_kept"), F.col("_kept.low").alias("_low"))
+    same = (F.col("_node") == F.col("_kept")) & (F.col("_place") == F.col("_low"))
+    # What is left of a node are rows alike in all columns.
+    return rows.join(kept, same, "left_semi").dropDuplicates(["_node"]).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order of training, each as often as the mix takes it, in whole or
     (at the end of its source's share) in part. A document that is taken in part is kept whole,
-    as no stage cuts texts."""
-    takes = mixture.mix(docs).select(F.col("doc_id").alias("_id"), F.explode("passes").alias("_take"))
+    as no stage cuts texts. Rows count by id, text and source, as ids may be missing or shared."""
+    rows = docs.withColumn("_key", F.xxhash64("doc_id", simhash.text_key(F.col("text")), "source"))
+    keyed = rows.select(F.col("_key").alias("doc_id"), "text", "source")
+    takes = mixture.mix(keyed).select(F.col("doc_id").alias("_id"), F.explode("passes").alias("_take"))
     takes = takes.select("_id", "_take.pass", F.col("_take.position").alias("_position"))
     takes = takes.dropDuplicates(["_id", "pass"])  # of repeated rows each is placed once a pass
-    placed = docs.join(takes, docs["doc_id"].eqNullSafe(takes["_id"]))
+    placed = rows.join(takes, rows["_key"] == takes["_id"])
     return mixture.in_order(placed, "_position").select(*docs.columns)
 
 

@@ -81,6 +81,25 @@ def test_rows_with_one_id_are_one_document(spark):
     assert sorted(str(r.doc_id) for r in got) == ["1", "None"]
 
 
+def test_rows_without_or_with_one_id_stay_by_their_texts(spark):
+    rng = random.Random(6)
+    texts = [prose(rng, 40) for _ in range(12)]
+    near = texts[2].rsplit(" ", 1)[0]
+    rows = [(None, t, "en", "a") for t in texts[:5]] + [(7, t, "en", "a") for t in texts[5:]]
+    rows += [(None, texts[0], "en", "a"), (3, texts[1], "en", "a"), (9, near, "en", "b"), (None, "", "en", "a")]
+    got = [corpus_pipeline.keep_one(spark, frame(spark, r), "").collect() for r in (rows, rows[::-1])]
+    places = [sorted((str(r.doc_id), r.text) for r in g) for g in got]
+    want = [(None, t) for t in (texts[0], *texts[3:5], "")] + [(3, texts[1]), (9, near)]
+    want += [(7, t) for t in texts[5:]]
+    assert places[0] == places[1] == sorted((str(d), t) for d, t in want)
+
+
+def test_mixed_places_each_text_without_id(spark):
+    rows = [(None, f"a b c{k}", None, "x") for k in range(20)] + [(1, f"d e{k}", None, "x") for k in range(5)]
+    got = Counter(r.text for r in corpus_pipeline.mixed(spark, frame(spark, rows), "").collect())
+    assert got == {t: 1 for _, t, *_ in rows}
+
+
 def test_mixed_rows_follow_the_targets(spark):
     rows = [r for r in documents(spark, n=200) if r[0] is not None]
     rows = list({r[0]: r for r in rows}.values())
