@@ -1,7 +1,7 @@
 """Document fingerprints as invertible Bloom lookup sketches.
 
-A text is cut into paragraphs, and a long paragraph at its sentence ends and then every few
-words, so that a change spoils little. Each piece has a digest of 64 bits (with the number of
+A text is cut by its content: at ends of paragraphs and sentences, at some words, and within
+long runs at some characters, so that a change spoils little. Each piece has a digest of 64 bits (with the number of
 its occurrence, so repeats count) that goes into one cell of each of three tables: a cell keeps
 how many digests it holds, their XOR and the XOR of a second hash of them. The difference of
 two sketches holds only the digests that the texts don't share; peeling takes them out one by
@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +25,15 @@ from tarnworks.llm.common import shuffle_width
 CELLS = 12  # of the stored fingerprint, in three tables
 GROWTH = 4  # times as many cells after a failure
 TABLES = 3
-PIECE_WORDS = 12
-SENTENCE = re.compile(r"[^.!?]*[.!?]*")
+# Code points of a piece: about so many at most, fewer where a text would have less than eight
+# pieces; none is longer than four times that.
+PIECE_CHARS, LEAST_CHARS, PIECES = 64, 4, 8
+WORD_CHARS = 6
+# Ends of sentences in Latin, Greek, Arabic, Devanagari, Ethiopic, Burmese, Khmer, Tibetan,
+# Armenian and East Asian scripts.
+ENDS = np.array(sorted(map(ord, ".!?\u037e\u0589\u061f\u06d4\u0964\u0965\u0f0d\u104a\u104b\u1362\u1367\u1368\u17d4\u17d5\u2026\u203c\u2047\u2048\u2049\u3002\ufe52\uff01\uff0e\uff1f\uff61")), np.uint32)
+# Spaces between words, with those of other scripts.
+SPACES = np.array(sorted(map(ord, "\t\x0b\x0c\r \x85\xa0\u1361\u1680\u2028\u2029\u202f\u205f\u3000")), np.uint32)
 U = np.uint64
 
 
@@ -39,22 +45,45 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return z ^ (z >> U(31))
 
 
+def cuts(points: np.ndarray) -> np.ndarray:
+    """Where pieces of a text's code points end, as offsets.
+
+    Whether a word or character ends a piece depends on the last four code points, so equal
+    passages are cut alike. With smaller pieces the same cuts are made and more.
+    """
+    n = len(points)
+    size = LEAST_CHARS
+    while size < PIECE_CHARS and n >= 2 * size * PIECES:
+        size *= 2
+    wide = points.astype(U)
+    window = wide.copy()
+    for k in (1, 2, 3):
+        window[k:] ^= wide[:-k] << U(21 * k) if k < 3 else wide[:-k] * U(0x9E3779B97F4A7C15)
+    chance = _mixed(window, 9)
+    ends = np.isin(points, ENDS)
+    ends[:-1] &= ~ends[1:]
+    at = ends | (points == 10)
+    at |= np.isin(points, SPACES) & ((chance >> U(40)) * U(size) < U(WORD_CHARS << 24))
+    found = np.unique(np.append(np.nonzero(at)[0] + 1, n))
+    lengths = np.diff(found, prepend=0)
+    if (lengths > 2 * size).any():  # characters of long pieces
+        long_one = np.repeat(lengths > 2 * size, lengths)
+        more = long_one & ((chance & U(0xFFFFFF)) * U(size) < U(1 << 24))
+        found = np.unique(np.append(found, np.nonzero(more)[0] + 1))
+        lengths = np.diff(found, prepend=0)
+        if (lengths > 4 * size).any():
+            offset = np.arange(1, n + 1) - np.repeat(found - lengths, lengths)
+            found = np.unique(np.append(found, np.nonzero(offset % (4 * size) == 0)[0] + 1))
+    return found
+
+
 def pieces(text: str) -> list[str]:
-    """Paragraphs; sentences of a long paragraph; runs of a dozen words of a long sentence."""
-    out = []
-    for paragraph in text.split("\n"):
-        if paragraph.count(" ") < PIECE_WORDS:
-            if paragraph:
-                out.append(paragraph)
-            continue
-        for sentence in SENTENCE.findall(paragraph):
-            if sentence.count(" ") <= PIECE_WORDS:
-                if sentence:
-                    out.append(sentence)
-                continue
-            words = sentence.split(" ")
-            out += [" ".join(words[i : i + PIECE_WORDS]) for i in range(0, len(words), PIECE_WORDS)]
-    return out
+    """Runs of the text, cut by content, without line ends."""
+    if not text:
+        return []
+    ends = cuts(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)).tolist()
+    own = (text[a:b].strip("\n") for a, b in zip([0, *ends], ends))
+    return [p for p in own if p]
 
 
 def digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -44,6 +45,27 @@ def counted(text):
     return out
 
 
+SPACELESS = "".join(chr(0x4E00 + random.Random(1).randrange(2000) + k * 7 % 500) for k in range(900))
+
+
+@pytest.mark.parametrize("text", [
+    SPACELESS, "、".join(SPACELESS[i : i + 9] for i in range(0, 900, 9)), SPACELESS[:60],
+    "".join(random.Random(2).choice("abcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(20_000)),
+    "\t".join(f"cell{i * i}" for i in range(400)), "a short text of nine words that goes on", "seven little words are in this text",
+    "x" * 5000,
+])
+def test_texts_without_spaces_and_short_ones_share_pieces(text):
+    edited = sketches.edited_text(text, "OTHER 1234 " * (len(text) // 10 + 1))
+    a, b = counted(text), counted(edited)
+    assert len(a & b) / len(a | b) > 0.3
+    assert max(map(len, sketches.pieces(text))) <= 4 * sketches.PIECE_CHARS
+    assert "".join(sketches.pieces(text)) == text.replace("\n", "")
+    inserted = text[: len(text) // 2] + "Q" + text[len(text) // 2 :]
+    if len(set(text)) > 1:
+        a, b = counted(text), counted(inserted)
+        assert len(a & b) / len(a | b) > 0.3
+
+
 def test_sketches_of_odd_tables(spark):
     assert sketches.fingerprinted(empty(spark)).collect() == []
     (one,) = sketches.fingerprinted(frame(spark, [(1, "abcdef", None, None)])).collect()
@@ -89,6 +111,13 @@ def test_segments_against_all_spans(scores):
     assert sorted(t for _, t in got) == pytest.approx(sorted(t for _, t in want))
 
 
+def test_segments_of_a_long_clean_text_take_linear_time():
+    scores = np.where(np.arange(400_000) % 10 == 0, 0.5, -0.25)
+    start = time.process_time()
+    got = toxicity.segments(scores)
+    assert len(got) == 40_000 and time.process_time() - start < 5
+
+
 def toxic_rows(n=600, seed=5):
     rng = random.Random(seed)
     docs, labels = [], []
