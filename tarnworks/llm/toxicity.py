@@ -142,26 +142,28 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, end, score), in one pass.
 
     Words below zero only shift the running sum, so the pass goes from one positive word to the
-    next. Each candidate holds the sums before and after it; a new one is joined with the last
-    earlier candidate that began lower for as long as that one ended lower too.
+    next. Each candidate holds the sums before and after it and the place of the last earlier
+    one that began lower; a new one is joined with its own for as long as that one ended lower
+    too. The search goes from place to place, past all that can't be lower.
     """
     (gains,) = np.nonzero(scores > 0)
     if not len(gains):
         return []
     sums = np.concatenate([[0.0], np.cumsum(scores)])
-    kept: list[list] = []  # first, end, sum before, sum after
+    kept: list[tuple] = []  # first, end, sum before, sum after, place
     for at in gains.tolist():
-        new = [at, at + 1, float(sums[at]), float(sums[at + 1])]
+        first, low, high = at, float(sums[at]), float(sums[at + 1])
+        j = len(kept) - 1
         while True:
-            j = len(kept) - 1
-            while j >= 0 and kept[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or kept[j][3] >= new[3]:
-                kept.append(new)
+            while j >= 0 and kept[j][2] >= low:
+                j = kept[j][4]
+            if j < 0 or kept[j][3] >= high:
+                kept.append((first, at + 1, low, high, j))
                 break
-            new = [kept[j][0], new[1], kept[j][2], new[3]]
+            first, _, low, _, before = kept[j]
             del kept[j:]
-    return [(a, b, y - x) for a, b, x, y in kept]
+            j = before
+    return [(a, b, y - x) for a, b, x, y, _ in kept]
 
 
 def rate_of(values: np.ndarray, counts: np.ndarray) -> float:
