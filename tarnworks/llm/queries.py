@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tarnworks.llm import (
     licenses, mixture, nearest, pieces, shards, simhash, sketches, toxicity, urls, wordpiece,
 )
+from tarnworks.session import fresh_folder
 from tarnworks.sources.tables import table
 
 
@@ -56,7 +57,7 @@ def op9_pieces(spark, d):
 
 
 def op10_shards(spark, d):
-    rows, _ = shards.sharded(table(spark, d, "documents"))
+    rows, _ = shards.sharded(table(spark, d, "documents"), folder=fresh_folder(spark, "slot-maps"))
     return rows.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "vslot", "version",

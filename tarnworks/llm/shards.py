@@ -128,18 +128,26 @@ def slot_sizes(rows: DataFrame) -> dict[int, int]:
     return {r["vslot"]: r["bytes"] for r in sums.collect()}
 
 
-def sharded(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, before: SlotMap | None = None):
+def sharded(
+    docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, before: SlotMap | None = None,
+    folder: str | None = None,
+):
     """The rows with their places, and the map that places them.
 
     Rows: ``doc_id, size, text_crc32, vslot, version, shard, slot``; ``slot`` numbers the rows
     of a shard from 0 without gaps, by virtual slot, then hash and id. ``size``: UTF-8 bytes of
     the text (null: none) plus 16. A null text has the checksum of the empty one. Rows with one
-    id and text share a virtual slot. With ``before``, its map is edited; else a plain one is.
-    Empty tables give no rows; other columns aren't read.
+    id and text share a virtual slot. With ``before``, its map is edited; else a plain one is. With ``folder``, the versions are
+    stored there, and the rows are placed by the last one that is read back. Empty tables give no rows; other columns aren't read.
     """
     rows = checkpoint(measured(docs, slots))
-    slot_map = (before or SlotMap.first(slots, shards)).edited(slot_sizes(rows), shards)
     spark = docs.sparkSession
+    first = before or SlotMap.first(slots, shards)
+    slot_map = first.edited(slot_sizes(rows), shards)
+    if folder:
+        for version in [slot_map] if before else [first, slot_map]:
+            write_map(spark, version, folder)
+        slot_map = read_map(spark, folder)
     table = slot_map.table(spark).withColumnRenamed("slot", "vslot")
     counts = rows.groupBy("vslot").agg(F.count(F.lit(1)).alias("n"))
     counts = table.join(counts, "vslot", "left")  # as long as there are slots

@@ -9,7 +9,7 @@ from fixtures import documents, empty, frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tarnworks.llm import mixture, shards, wordpiece
+from tarnworks.llm import mixture, queries, shards, wordpiece
 
 def size_of(text):
     return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
@@ -125,6 +125,17 @@ def test_one_more_shard_moves_few_slots(spark, tmp_path):
     assert shards.sharded(empty(spark))[0].collect() == []
 
 
+def test_query_places_by_the_stored_map(spark, monkeypatch):
+    stored, read = [], shards.read_map
+    monkeypatch.setattr(shards, "read_map", lambda s, folder, *v: stored.append(folder) or read(s, folder, *v))
+    monkeypatch.setattr(queries, "table", lambda *_: frame(spark, documents(spark)))
+    got = queries.op10_shards(spark, "").collect()
+    (folder,) = stored
+    assert read(spark, folder, 1) == shards.SlotMap.first()
+    last = read(spark, folder)
+    assert last.version == 2 and {(r.shard, r.version) for r in got} == {(last.shards[r.vslot], 2) for r in got}
+
+
 def greedy(pieces, text):
     known, n, at = set(pieces), 0, 0
     while at < len(text):
