@@ -1,8 +1,8 @@
 """License scans with ordered signature rules.
 
 A rule is a regular expression over a text's words with the keywords that must occur before it
-is tried, a label, a priority and a confidence. Rules come from a table of licences and a table
-of wordings, some hundreds together; more can be added. Detections overlap: they are taken by
+is tried, a label, a priority and a confidence. Rules written for single licences stand beside
+those made from a table of licences and a table of wordings; more can be added. Detections overlap: they are taken by
 priority, then length, and one that lies within a detection taken before is dropped.
 
 Three base phrases are found on their own and are never dropped.
@@ -98,6 +98,115 @@ SINGLE = (
     ("proprietary", "confidential and proprietary", 20, 0.5, ("proprietary",)),
 )
 
+# Short names, joined versions and versions before the licence, as each licence is called:
+# label, wording, confidence, keywords. A keyword is rare but for the licence's texts.
+SHORT = (
+    ("mit", "licen[sc]ed under (?:the )?mit", 0.85, ("under", "mit")),
+    ("mit", "(?:mit x11|x11 mit|mit expat|expat mit)(?: style)? licen[sc]e", 0.9, ("mit", "licen")),
+    ("mit", "mit (?:style|type) licen[sc]e", 0.7, ("mit", "licen")),
+    ("mit", "(?:dual )?licen[sc]ed under (?:the )?(?:gpl[v ]*[23]? (?:and|or) )mit", 0.8, ("under", "mit", "gpl")),
+    ("apache", "apache (?:v|version )?(?:1 0|1 1|2 0|2) (?:software )?licen[sc]e", 0.95, ("apache",)),
+    ("apache", "apache ?v2(?: 0)?", 0.9, ("apache",)),
+    ("apache", "apache (?:1 0|1 1|2 0)", 0.8, ("apache",)),
+    ("apache", "apache (?:software )?licen[sc]e(?: version| v)? ?2(?: 0)?", 0.9, ("apache",)),
+    ("apache", "(?:asl|al)v? ?2 0", 0.6, ("licen", "l 2 0")),
+    ("gpl", "(?:gnu )?gpl ?v ?[123](?: 0)?(?: only| or later| or any later version)?", 0.9, ("gpl",)),
+    ("gpl", "(?:gnu )?gpl ?[123](?: 0)?(?: only| or later| or any later version)?", 0.85, ("gpl",)),
+    ("gpl", "(?:gnu )?gpl version [123](?: 0)?(?: only| or later| or any later version)?", 0.9, ("gpl",)),
+    ("gpl", "(?:version|v) ?[123](?: 0)? of the (?:gnu )?(?:gpl|general public licen[sc]e)", 0.9, ("of the",)),
+    ("gpl", "gnu general public licen[sc]e v ?[123](?: 0)?(?: only| or later)?", 0.95, ("general public",)),
+    ("gpl", "(?:under|by) the (?:terms of the )?(?:gnu )?gpl", 0.8, ("gpl",)),
+    ("gpl", "gnu gpl", 0.7, ("gnu gpl",)),
+    ("lgpl", "(?:gnu )?lgpl ?v? ?(?:2 1|2 0|2|3 0|3)(?: only| or later)?", 0.9, ("lgpl",)),
+    ("lgpl", "(?:gnu )?lgpl version (?:2 1|2|3)(?: 0)?(?: only| or later)?", 0.9, ("lgpl",)),
+    ("lgpl", "(?:version|v) ?(?:2 1|2|3)(?: 0)? of the (?:gnu )?(?:lgpl|lesser general public licen[sc]e|library general public licen[sc]e)", 0.9, ("of the",)),
+    ("lgpl", "(?:gnu )?(?:lesser|library) general public licen[sc]e v ?(?:2 1|2|3)(?: 0)?", 0.95, ("general public",)),
+    ("lgpl", "(?:under|by) the (?:terms of the )?(?:gnu )?lgpl", 0.8, ("lgpl",)),
+    ("agpl", "(?:gnu )?agpl ?v? ?[13](?: 0)?(?: only| or later)?", 0.9, ("agpl",)),
+    ("agpl", "(?:gnu )?affero (?:general public licen[sc]e|gpl) ?v? ?[13](?: 0)?", 0.95, ("affero",)),
+    ("agpl", "(?:under|by) the (?:terms of the )?(?:gnu )?(?:agpl|affero gpl)", 0.8, ("under",)),
+    ("gfdl", "(?:gnu )?g?fdl ?v? ?1 [123](?: only| or later)?", 0.9, ("fdl",)),
+    ("gfdl", "gnu free documentation licen[sc]e v ?1 [123]", 0.95, ("free documentation",)),
+    ("bsd", "bsd [01234] clause(?: licen[sc]e)?", 0.95, ("bsd",)),
+    ("bsd", "[01234] clause (?:new |modified |simplified |revised |original )?bsd(?: licen[sc]e)?", 0.95, ("bsd",)),
+    ("bsd", "(?:one|two|three|four|zero) clause bsd(?: licen[sc]e)?", 0.95, ("bsd",)),
+    ("bsd", "bsd (?:one|two|three|four|zero) clause(?: licen[sc]e)?", 0.95, ("bsd",)),
+    ("bsd", "bsd[234](?: licen[sc]e)?", 0.8, ("bsd",)),
+    ("bsd", "bsd (?:style|type|like) licen[sc]e", 0.7, ("bsd",)),
+    ("bsd", "licen[sc]ed under (?:the )?(?:new |modified |simplified |revised )?bsd", 0.85, ("bsd",)),
+    ("mpl", "mpl ?v? ?(?:1 0|1 1|2 0|2)", 0.9, ("mpl",)),
+    ("mpl", "mozilla public licen[sc]e v ?(?:1 0|1 1|2 0|2)", 0.95, ("mozilla",)),
+    ("mpl", "mozilla (?:public )?(?:1 0|1 1|2 0) licen[sc]e", 0.9, ("mozilla",)),
+    ("epl", "epl ?v? ?[12](?: 0)?", 0.85, ("epl",)),
+    ("epl", "eclipse public licen[sc]e v ?[12](?: 0)?", 0.95, ("eclipse",)),
+    ("epl", "eclipse distribution licen[sc]e", 0.5, ("eclipse",)),
+    ("cddl", "cddl ?v? ?1 [01]", 0.9, ("cddl",)),
+    ("cddl", "(?:under|by) the (?:terms of the )?cddl", 0.85, ("cddl",)),
+    ("cpl", "cpl ?v? ?(?:0 5|1 0)", 0.8, ("cpl",)),
+    ("cpl", "common public licen[sc]e v ?(?:0 5|1 0)", 0.95, ("common public",)),
+    ("isc", "isc (?:style|type) licen[sc]e", 0.7, ("isc", "licen")),
+    ("isc", "licen[sc]ed under (?:the )?isc", 0.85, ("under", "isc")),
+    ("zlib", "(?:zlib libpng|zlib png|libpng|zlib style) licen[sc]e", 0.85, ("lib", "licen")),
+    ("zlib", "licen[sc]ed under (?:the )?zlib", 0.85, ("zlib",)),
+    ("unlicense", "(?:under|to) the unlicen[sc]e", 0.95, ("unlicen",)),
+    ("artistic", "artistic (?:1 0|2 0|2) licen[sc]e", 0.95, ("artistic",)),
+    ("artistic", "artistic licen[sc]e v ?[12](?: 0)?", 0.95, ("artistic",)),
+    ("artistic", "the same terms as perl(?: itself)?", 0.7, ("perl",)),
+    ("bsl", "boost (?:software )?1 0 licen[sc]e", 0.95, ("boost",)),
+    ("bsl", "boost (?:software )?licen[sc]e v ?1(?: 0)?", 0.95, ("boost",)),
+    ("bsl", "bsl ?v? ?1 0", 0.85, ("bsl",)),
+    ("eupl", "eupl ?v? ?1 [012]", 0.95, ("eupl",)),
+    ("eupl", "european union public licen[sc]e v ?1 [012]", 0.95, ("european union",)),
+    ("osl", "osl ?v? ?(?:1 0|2 0|2 1|3 0)", 0.9, ("osl",)),
+    ("osl", "open software licen[sc]e v ?(?:1 0|2 0|2 1|3 0)", 0.95, ("open software",)),
+    ("afl", "afl ?v? ?(?:1 1|1 2|2 0|2 1|3 0)", 0.85, ("afl",)),
+    ("afl", "academic free licen[sc]e v ?(?:1 1|1 2|2 0|2 1|3 0)", 0.95, ("academic free",)),
+    ("ofl", "(?:sil )?ofl ?v? ?1 [01]", 0.9, ("ofl",)),
+    ("ofl", "(?:under|by) the (?:terms of the )?sil ofl", 0.9, ("ofl",)),
+    ("wtfpl", "wtfpl(?: ?v? ?[12](?: 0)?)?", 0.9, ("wtfpl",)),
+    ("psf", "psfl?(?: licen[sc]e)? ?v? ?2(?: 0)?", 0.8, ("psf",)),
+    ("psf", "psf licen[sc]e", 0.8, ("psf",)),
+    ("php", "php 3 01? licen[sc]e", 0.95, ("php",)),
+    ("php", "php licen[sc]e v ?3 01?", 0.95, ("php",)),
+    ("ms-pl", "(?:under|by) (?:the )?(?:terms of the )?ms pl", 0.9, ("ms pl",)),
+    ("ms-pl", "ms pl licen[sc]e", 0.9, ("ms pl",)),
+    ("ms-rl", "(?:under|by) (?:the )?(?:terms of the )?ms rl", 0.9, ("ms rl",)),
+    ("ms-rl", "ms rl licen[sc]e", 0.9, ("ms rl",)),
+    ("ncsa", "(?:uiuc|illinois) (?:ncsa )?(?:open source )?licen[sc]e", 0.85, ("licen",)),
+    ("ncsa", "licen[sc]ed under (?:the )?(?:uiuc|ncsa)", 0.85, ("under",)),
+    ("zpl", "zpl ?v? ?(?:1 1|2 0|2 1)", 0.9, ("zpl",)),
+    ("zpl", "zope public licen[sc]e v ?(?:1 1|2 0|2 1)", 0.95, ("zope",)),
+    ("qpl", "qpl ?v? ?1 0", 0.85, ("qpl",)),
+    ("qpl", "(?:under|by) the (?:terms of the )?qpl", 0.85, ("qpl",)),
+    ("lppl", "lppl ?v? ?1 (?:0|1|2|3[abc]?)", 0.95, ("lppl",)),
+    ("lppl", "latex project public licen[sc]e v ?1 (?:0|1|2|3[abc]?)", 0.95, ("latex",)),
+    ("cecill", "cecill ?(?:[abc] )?v? ?(?:1 0|1|2 0|2 1)", 0.9, ("cecill",)),
+    ("cecill", "(?:under|by) (?:the )?cecill(?: [abc])?", 0.85, ("cecill",)),
+    ("postgresql", "postgres licen[sc]e", 0.85, ("postgres",)),
+    ("postgresql", "licen[sc]ed under (?:the )?postgresql", 0.85, ("postgresql",)),
+    ("upl", "upl ?v? ?1 0", 0.85, ("upl",)),
+    ("upl", "universal permissive licen[sc]e v ?1(?: 0)?", 0.95, ("universal permissive",)),
+    ("mulan", "mulan ?psl ?v? ?[12]", 0.95, ("mulan",)),
+    ("mulan", "mulan (?:permissive software|permissive|psl) licen[sc]e ?v? ?[12]", 0.95, ("mulan",)),
+    ("cc-by", "cc by(?: (?:1 0|2 0|2 5|3 0|4 0))?(?! (?:sa|nc|nd)(?![^ ]))(?: international| unported| licen[sc]e)*", 0.9, ("cc by",)),
+    ("cc-by", "creative commons (?:attribution|by) (?:1 0|2 0|2 5|3 0|4 0)(?: international| unported| generic)?(?: public)? licen[sc]e", 0.95, ("creative commons",)),
+    ("cc-by-sa", "cc by sa(?: (?:1 0|2 0|2 5|3 0|4 0))?(?: international| unported| licen[sc]e)*", 0.95, ("cc by sa",)),
+    ("cc-by-sa", "creative commons (?:attribution share ?alike|by sa) (?:1 0|2 0|2 5|3 0|4 0)(?: international| unported| generic)?(?: public)? licen[sc]e", 0.95, ("creative commons",)),
+    ("cc-by-nc", "cc by nc(?! (?:sa|nd)(?![^ ]))(?: (?:1 0|2 0|2 5|3 0|4 0))?(?: international| unported| licen[sc]e)*", 0.95, ("cc by nc",)),
+    ("cc-by-nc", "creative commons (?:attribution non ?commercial|by nc) (?:1 0|2 0|2 5|3 0|4 0)(?: international| unported| generic)?(?: public)? licen[sc]e", 0.95, ("creative commons",)),
+    ("cc-by-nd", "cc by nd(?: (?:1 0|2 0|2 5|3 0|4 0))?(?: international| unported| licen[sc]e)*", 0.95, ("cc by nd",)),
+    ("cc-by-nd", "creative commons (?:attribution no ?deriv\\w*|by nd) (?:1 0|2 0|2 5|3 0|4 0)(?: international| unported| generic)?(?: public)? licen[sc]e", 0.95, ("creative commons",)),
+    ("cc-by-nc-sa", "cc by nc sa(?: (?:1 0|2 0|2 5|3 0|4 0))?(?: international| unported| licen[sc]e)*", 0.95, ("cc by nc sa",)),
+    ("cc-by-nc-sa", "creative commons (?:attribution non ?commercial share ?alike|by nc sa)(?: (?:1 0|2 0|2 5|3 0|4 0))?(?: international| unported| generic)?(?: public)? licen[sc]e", 0.95, ("creative commons",)),
+    ("cc-by-nc-nd", "cc by nc nd(?: (?:1 0|2 0|2 5|3 0|4 0))?(?: international| unported| licen[sc]e)*", 0.95, ("cc by nc nd",)),
+    ("cc-by-nc-nd", "creative commons (?:attribution non ?commercial no ?deriv\\w*|by nc nd)(?: (?:1 0|2 0|2 5|3 0|4 0))?(?: international| unported| generic)?(?: public)? licen[sc]e", 0.95, ("creative commons",)),
+    ("cc0", "cc ?0 1 0(?: universal)?(?: public domain dedication)?", 0.95, ("1 0",)),
+    ("cc0", "(?:under|to|by) (?:the )?(?:creative commons )?(?:cc0|cc zero)", 0.9, ("cc",)),
+    ("cc0", "creative commons (?:zero|cc0) (?:v ?)?1(?: 0)?(?: universal)?(?: licen[sc]e)?", 0.95, ("creative commons",)),
+    ("proprietary", "end user licen[sc]e agreement", 0.5, ("end user",)),
+)
+SHORT_PRIORITY = 72
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -111,6 +220,7 @@ class Rule:
 def rules() -> list[Rule]:
     """All rules, highest priority first."""
     out = [Rule(*s) for s in SINGLE]
+    out += [Rule(label, wording, SHORT_PRIORITY, sure, keys) for label, wording, sure, keys in SHORT]
     for label, name, versions, spdx in FAMILIES:
         known = [v for v in versions if v]
         for wording, priority, sure, keys in WITHOUT_VERSION:

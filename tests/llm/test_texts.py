@@ -199,6 +199,67 @@ def test_license_places(spark):
     assert len(licenses.rules()) > 300
 
 
+NAMED = """mit: licensed under MIT|MIT/X11 license|an MIT-style license|licensed under the GPLv2 or MIT
+apache: Apache 2.0 License|under Apache-2.0|Apache v2|Apache License v2.0|Apache License 2.0|license: ASL 2.0
+gpl: licensed under GPLv3|released under the GPL v3|GPL-2.0-or-later|GPL 3|version 2 of the GPL|GNU GPL|under the GPL
+gpl: GPL version 3 or any later version|GNU General Public License v3.0
+lgpl: LGPLv2.1|LGPL version 3|version 2.1 of the GNU Lesser General Public License|under the LGPL|GNU Lesser General Public License v3
+agpl: AGPLv3|GNU Affero General Public License v3.0|under the GNU AGPL
+gfdl: GFDL 1.3|GNU Free Documentation License v1.2
+bsd: BSD 3-Clause License|3-clause BSD|two-clause BSD license|BSD three clause|BSD3|a BSD-style license|licensed under the modified BSD
+mpl: MPL 2.0|Mozilla Public License v2.0|Mozilla Public 2.0 License
+epl: EPL-2.0|Eclipse Public License v1.0|Eclipse Distribution License
+cddl: CDDL 1.0|under the CDDL
+cpl: CPL-1.0|Common Public License v1.0
+isc: ISC-style license|licensed under ISC
+zlib: zlib/libpng license|licensed under zlib
+unlicense: under the Unlicense
+artistic: Artistic 2.0 License|Artistic License v2|under the same terms as Perl itself
+bsl: Boost 1.0 license|Boost Software License v1.0|BSL-1.0
+eupl: EUPL v1.2|European Union Public Licence v1.1
+osl: OSL 3.0|Open Software License v3.0
+afl: AFL-2.1|Academic Free License v3.0
+ofl: OFL-1.1|under the SIL OFL
+wtfpl: WTFPL v2
+psf: PSF-2.0|PSF license
+php: PHP 3.01 license|PHP License v3.01
+ms-pl: under the MS-PL|Ms-PL license
+ms-rl: under the MS-RL|Ms-RL license
+ncsa: UIUC license|licensed under the NCSA
+zpl: ZPL 2.1|Zope Public License v2.1
+qpl: QPL-1.0|under the QPL
+lppl: LPPL 1.3c|LaTeX Project Public License v1.3c
+cecill: CeCILL-B v1|CeCILL 2.1|under the CeCILL-C
+postgresql: Postgres license|licensed under PostgreSQL
+upl: UPL 1.0|Universal Permissive License v1.0
+mulan: MulanPSL-2.0|Mulan PSL v2|Mulan Permissive Software License v2
+cc-by: licensed under CC BY 4.0|CC-BY|Creative Commons Attribution 4.0 International License
+cc-by-sa: licensed under CC BY-SA 4.0|under the Creative Commons Attribution-ShareAlike 4.0 International License
+cc-by-nc: CC BY-NC 4.0|Creative Commons Attribution-NonCommercial 3.0 Unported License
+cc-by-nd: CC BY-ND 4.0|Creative Commons Attribution-NoDerivatives 4.0 International License
+cc-by-nc-sa: CC BY-NC-SA 4.0|Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License
+cc-by-nc-nd: CC BY-NC-ND 4.0|Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License
+cc0: CC0 1.0 Universal|dedicated under CC0|Creative Commons Zero v1.0 Universal
+proprietary: the End User License Agreement"""
+
+
+def test_short_names_and_joined_versions():
+    scanner, used = licenses.Scanner(licenses.rules()), set()
+    wrong = []
+    for line in NAMED.split("\n"):
+        label, texts = line.split(": ", 1)
+        for text in texts.split("|"):
+            _, _, found = scanner.scan(f"This work is here, {text}, see below.")
+            if label not in {f[2] for f in found} or {f[2] for f in found} - {label} and " or " not in text:
+                wrong.append((label, text, found))
+    for r, p, keys in scanner.rules:
+        for line in NAMED.split("\n"):
+            words = re.sub(r"[^a-z0-9]+", " ", line.split(": ", 1)[1].replace("|", "\n").lower())
+            used |= {r} if r.priority == licenses.SHORT_PRIORITY and p.search(words.encode()) else set()
+    assert wrong == []
+    assert len(used) == len(licenses.SHORT)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 20), st.integers(1, 9)), max_size=12))
 def test_contained_detections_go(spans):
