@@ -137,8 +137,9 @@ def sharded(
     Rows: ``doc_id, size, text_crc32, vslot, version, shard, slot``; ``slot`` numbers the rows
     of a shard from 0 without gaps, by virtual slot, then hash and id. ``size``: UTF-8 bytes of
     the text (null: none) plus 16. A null text has the checksum of the empty one. Rows with one
-    id and text share a virtual slot. With ``before``, its map is edited; else a plain one is. With ``folder``, the versions are
-    stored there, and the rows are placed by the last one that is read back. Empty tables give no rows; other columns aren't read.
+    id and text share a virtual slot. With ``before``, its map is edited; else a plain one is.
+    With ``folder``, the versions are stored there, and the rows are placed by the last one that
+    is read back. Empty tables give no rows; other columns aren't read.
     """
     rows = checkpoint(measured(docs, slots))
     spark = docs.sparkSession
