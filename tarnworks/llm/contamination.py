@@ -4,10 +4,11 @@ only.
 The postings (text, position, term) of every training word that some test item uses are stored
 once, as a table in the shared folder. A window of ten words of an item is looked up by its
 rarest terms. Taking a term's offset in the item from its positions in a text gives the places
-at which the item would have to begin, its shift; where the offset-adjusted lists of the rarest
-terms have a shift in common, the lists of the other words are intersected too. Words that agree
-without a gap over a window are an exact phrase match. Where the rarest terms of a window all
-occur, each within a few words of its place beside the rarest one, it is a proximity match.
+at which the item would have to begin, its shift; where the offset-adjusted lists of the two
+rarest terms have a shift in common, the lists of the other words are intersected too. Words that
+agree without a gap over a window are an exact phrase match. Where the shifts of the two rarest
+terms are a few words apart at most, and most other words lie within so many of their place beside
+the rarest one, it is a proximity match.
 
 A text is known by 128 bits of its own hash: copies have the same postings, which aggregation
 joins before they are shuffled.
@@ -21,20 +22,27 @@ from pyspark.sql import functions as F
 from tarnworks.llm.common import BROADCAST_ROWS, SALTS, checkpoint
 from tarnworks.session import fresh_folder
 
-# What a word is, after A-Z has become a-z.
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+# What lies between words, after A-Z has become a-z.
+BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
-# Rarest terms of a window that are looked up before all others, and the words by which these
-# may be off in a proximity match.
-RAREST, SLACK = 3, 4
+# In a proximity match words may be off their place by so many, and tenths of them have to be there.
+SLACK, TENTHS = 4, 8
 
 TEXT = ["k1", "k2"]
 
 
-def words_of(text: Column) -> Column:
-    """The words of a text in order."""
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
+def split_text(text: Column) -> Column:
+    """The words of a text in order, an empty one before and after them where it begins or ends
+    with something else. (To split is many times as fast as to extract.)"""
+    return F.split(F.translate(text, UPPER, LOWER), BETWEEN)
+
+
+def count_of(parts: Column) -> Column:
+    """Number of words in a split text."""
+    first, last = (F.element_at(parts, k) == "" for k in (1, -1))
+    ends = first.cast("long") + F.when(F.size(parts) > 1, last.cast("long")).otherwise(0)
+    return F.size(parts).cast("long") - ends
 
 
 def with_key(docs: DataFrame) -> DataFrame:
@@ -62,7 +70,7 @@ class Items:
     def __init__(self, bench: DataFrame, window: int):
         rows = bench.select(
             F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
-            words_of(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("words"),
+            F.array_remove(split_text(F.coalesce(F.col("text").cast("string"), F.lit(""))), "").alias("words"),
         ).filter(F.size("words") > 0).withColumn("own", F.sha2(F.concat_ws(" ", "words"), 256))
         units = checkpoint(rows.groupBy("own").agg(F.first("words").alias("words")).withColumn(
             "unit", F.monotonically_increasing_id()
@@ -80,48 +88,78 @@ class Items:
 def postings(docs: DataFrame, items: Items) -> DataFrame:
     """``k1, k2, pos, term`` of all training words that items use, stored as a table."""
     spark = docs.sparkSession
-    each = with_key(docs).select(*TEXT, F.posexplode(words_of(F.col("text"))).alias("pos", "word"))
+    parts = with_key(docs).select(*TEXT, split_text(F.col("text")).alias("parts"))
+    lead = F.when(F.element_at("parts", 1) == "", 1).otherwise(0).alias("lead")
+    each = parts.select(*TEXT, lead, F.posexplode("parts").alias("place", "word"))
     path = fresh_folder(spark, "postings")
-    matched(each, items.terms, ["word"]).select(*TEXT, "pos", "term").write.parquet(path)
+    met = matched(each, items.terms, ["word"])
+    met.select(*TEXT, (F.col("place") - F.col("lead")).alias("pos"), "term").write.parquet(path)
     return spark.read.parquet(path)
 
 
-def windows(items: Items, index: DataFrame, rarest: int) -> DataFrame:
-    """``unit, s, q, term, turn, asked, whole``: for the window from word s of an item its rarest
-    terms, ``turn`` 1 the rarest, ``asked`` of them. ``whole``: the training texts have all its terms."""
+def windows(items: Items, index: DataFrame) -> DataFrame:
+    """``unit, s, wide, whole, q1, term1, q2, term2``: for the window from word s of an item its two
+    rarest terms in the training texts (the second is null where there is one only). ``whole``:
+    the texts have all its terms."""
     counts = checkpoint(index.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     wide = F.least(F.lit(items.window), F.col("size"))
     starts = F.sequence(F.greatest(F.lit(0), F.col("q") - wide + 1), F.least(F.col("q"), F.col("size") - wide))
     met = matched(items.places, counts, ["term"], "left")
-    each = met.select("unit", F.explode(starts).alias("s"), "q", "term", F.coalesce("n", F.lit(0)).alias("n"))
-    w = Window.partitionBy("unit", "s")
-    known = each.withColumn("whole", F.min("n").over(w) > 0).filter("n > 0")
-    turn = F.row_number().over(w.orderBy("n", "q"))
-    asked = F.least(F.lit(rarest), F.count(F.lit(1)).over(w))
-    ranked = known.withColumns({"turn": turn, "asked": asked}).filter(F.col("turn") <= rarest)
-    return checkpoint(ranked.select("unit", "s", "q", "term", "turn", "asked", "whole"))
-
-
-def shifts(index: DataFrame, asked: DataFrame) -> DataFrame:
-    """``k1, k2, unit, shift, q``: offset-adjusted postings of the terms that windows ask for."""
-    places = checkpoint(asked.select("unit", "q", "term").distinct())
+    each = met.select("unit", wide.alias("wide"), F.explode(starts).alias("s"), F.struct(
+        F.coalesce("n", F.lit(0)).alias("n"), "q", "term"
+    ).alias("w"))
+    # A window has few words.
+    grouped = each.groupBy("unit", "s", "wide").agg(F.sort_array(F.collect_list("w")).alias("ws"))
+    known = grouped.withColumn("known", F.filter("ws", lambda w: w["n"] > 0)).filter(F.size("known") > 0)
+    one, two = F.get("known", F.lit(0)), F.get("known", F.lit(1))
+    return checkpoint(known.select(
+        "unit", "s", "wide", (F.size("known") == F.size("ws")).alias("whole"),
+        one["q"].alias("q1"), one["term"].alias("term1"), two["q"].alias("q2"), two["term"].alias("term2"),
+    ))
+
+
+def shifts(index: DataFrame, asked: DataFrame, turn: int) -> DataFrame:
+    """``k1, k2, unit, q, shift``: offset-adjusted postings of the windows' rarest (1) or second
+    rarest (2) terms."""
+    q, term = F.col(f"q{turn}").alias("q"), F.col(f"term{turn}").alias("term")
+    places = checkpoint(asked.select("unit", q, term).filter("term is not null").distinct())
     met = matched(index, places, ["term"])
-    return checkpoint(met.select(*TEXT, "unit", (F.col("pos") - F.col("q")).alias("shift"), "q").distinct())
+    return met.select(*TEXT, "unit", "q", (F.col("pos") - F.col("q")).alias("shift"))
+
+
+def candidates(index: DataFrame, asked: DataFrame, slack: int) -> DataFrame:
+    """``k1, k2, unit, q1, q2, shift, exact``: shifts of the rarest terms beside which the second
+    rarest lies at most ``slack`` words off its place, or just there (``exact``)."""
+    pairs = checkpoint(asked.select("unit", "q1", "q2").distinct())
+    bin_of = F.floor(F.col("shift") / (slack + 1))
+    first = matched(shifts(index, asked, 1).withColumnRenamed("q", "q1"), pairs, ["unit", "q1"])
+    alone = first.filter("q2 is null").select(*TEXT, "unit", "q1", "q2", "shift", F.lit(True).alias("exact"))
+    bins = F.explode(F.array(bin_of - 1, bin_of, bin_of + 1)).alias("bin")
+    left = first.filter("q2 is not null").select(*TEXT, "unit", "q1", "q2", "shift", bins)
+    right = shifts(index, asked, 2).withColumnRenamed("q", "q2").select(
+        *TEXT, "unit", "q2", F.col("shift").alias("other"), bin_of.alias("bin")
+    )
+    off = F.abs(F.col("shift") - F.col("other"))
+    both = left.join(right, [*TEXT, "unit", "q2", "bin"]).filter(off <= slack)
+    both = both.select(*TEXT, "unit", "q1", "q2", "shift", (off == 0).alias("exact")).unionByName(alone)
+    return checkpoint(both.groupBy(*TEXT, "unit", "q1", "q2", "shift").agg(F.max("exact").alias("exact")))
 
 
-def phrases(index: DataFrame, items: Items, asked: DataFrame, adjusted: DataFrame) -> DataFrame:
+def found_windows(asked: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The windows that candidates stand for: ``k1, k2, unit, shift, s, wide``."""
+    of_pair = asked.select("unit", F.coalesce("q2", F.lit(-1)).alias("q2"), "q1", "s", "wide")
+    keyed = pairs.withColumn("q2", F.coalesce("q2", F.lit(-1)))
+    met = matched(keyed, checkpoint(of_pair), ["unit", "q1", "q2"])
+    return met.select(*TEXT, "unit", "shift", "s", "wide").distinct()
+
+
+def phrases(lists: DataFrame, items: Items, found: DataFrame) -> DataFrame:
     """``k1, k2, unit, item_start, start, end``: longest stretches, of a window at least, in which an
     item and a text agree word by word. Positions count words from 0, ends are included."""
-    whole = checkpoint(asked.filter("whole").select("unit", "s", "q", "asked"))
     at = [*TEXT, "unit", "shift"]
-    agreed = matched(adjusted, whole, ["unit", "q"]).groupBy(*at, "s", "asked").agg(F.count(F.lit(1)).alias("n"))
-    agreed = checkpoint(agreed.filter("n = asked").select(*at, "s"))
-    # All words of these windows, and the postings of the texts in question.
-    reach = F.explode(F.sequence(F.col("s"), F.col("s") + items.window - 1)).alias("q")
-    wanted = matched(agreed.select(*at, reach).distinct(), items.places, ["unit", "q"])
+    reach = F.explode(F.sequence(F.col("s"), F.col("s") + F.col("wide") - 1)).alias("q")
+    wanted = matched(found.select(*at, reach).distinct(), items.places, ["unit", "q"])
     wanted = wanted.select(*at, "q", "size", (F.col("shift") + F.col("q")).alias("pos"), "term")
-    texts = checkpoint(agreed.select(*TEXT).distinct())
-    lists = matched(index, texts, TEXT).distinct()
     met = wanted.join(lists, [*TEXT, "pos", "term"])
     w = Window.partitionBy(*at).orderBy("q")
     islands = met.withColumn("island", F.col("q") - F.row_number().over(w)).groupBy(*at, "island").agg(
@@ -134,41 +172,41 @@ def phrases(index: DataFrame, items: Items, asked: DataFrame, adjusted: DataFram
     )
 
 
-def near_windows(asked: DataFrame, adjusted: DataFrame, slack: int) -> DataFrame:
-    """``k1, k2, unit, s, start``: windows whose rarest terms all occur, each at most ``slack``
-    words off its place beside the rarest one; ``start`` is where the window then begins."""
-    met = matched(adjusted, checkpoint(asked.select("unit", "s", "q", "turn", "asked")), ["unit", "q"])
-    bin_of = F.floor(F.col("shift") / (slack + 1))
-    first = met.filter("turn = 1").select(
-        *TEXT, "unit", "s", "asked", F.col("shift").alias("base"),
-        F.explode(F.array(bin_of - 1, bin_of, bin_of + 1)).alias("bin"),
-    )
-    rest = met.select(*TEXT, "unit", "s", "turn", "shift", bin_of.alias("bin"))
-    both = first.join(rest, [*TEXT, "unit", "s", "bin"]).filter(F.abs(F.col("shift") - F.col("base")) <= slack)
-    # Terms of a window are few: RAREST bits.
-    seen = both.groupBy(*TEXT, "unit", "s", "asked", "base").agg(
-        F.bit_or(F.expr("shiftleft(1L, turn - 1)")).alias("seen")
-    )
-    return seen.filter(F.bit_count("seen") == F.col("asked")).select(
-        *TEXT, "unit", "s", (F.col("base") + F.col("s")).alias("start")
-    )
+def near_windows(lists: DataFrame, items: Items, found: DataFrame, slack: int, tenths: int) -> DataFrame:
+    """``k1, k2, unit, s, start, n``: windows of which at least ``tenths`` of ten words (``n``) lie at
+    most ``slack`` words off their place; ``start`` is where the window begins."""
+    at = [*TEXT, "unit", "shift", "s", "wide"]
+    bin_of = F.floor(F.col("pos") / (slack + 1))
+    reach = F.explode(F.sequence(F.col("s"), F.col("s") + F.col("wide") - 1)).alias("q")
+    wanted = matched(found.select(*at, reach), items.places.select("unit", "q", "term"), ["unit", "q"])
+    wanted = wanted.withColumn("pos", F.col("shift") + F.col("q"))
+    wanted = wanted.select(*at, "q", "term", F.col("pos").alias("place"), F.explode(F.array(bin_of - 1, bin_of, bin_of + 1)).alias("bin"))
+    met = wanted.join(lists.withColumn("bin", bin_of), [*TEXT, "term", "bin"])
+    there = met.filter(F.abs(F.col("pos") - F.col("place")) <= slack).select(*at, "q").distinct()
+    counted = there.groupBy(*at).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * 10 >= F.col("wide") * tenths)
+    return counted.select(*TEXT, "unit", "s", (F.col("shift") + F.col("s")).alias("start"), "n")
 
 
 def matches(
-    docs: DataFrame, bench: DataFrame, window: int = WINDOW, rarest: int = RAREST, slack: int = SLACK
+    docs: DataFrame, bench: DataFrame, window: int = WINDOW, slack: int = SLACK, tenths: int = TENTHS
 ) -> tuple[DataFrame, DataFrame, Items]:
     """Exact phrase matches, proximity matches (as in ``phrases``, ``near_windows``) and the items.
     Texts are named by ``with_key``."""
     items = Items(bench, window)
     index = postings(docs, items)
-    asked = windows(items, index, rarest)
-    adjusted = shifts(index, asked)
-    exact = checkpoint(phrases(index, items, asked, adjusted))
-    return exact, checkpoint(near_windows(asked, adjusted, slack)), items
+    asked = windows(items, index)
+    pairs = candidates(index, asked, slack)
+    exact_found = found_windows(asked.filter("whole"), pairs.filter("exact"))
+    # The lists of all words, of the texts in question.
+    texts = checkpoint(pairs.select(*TEXT).distinct())
+    lists = checkpoint(matched(index, texts, TEXT).distinct())
+    exact = checkpoint(phrases(lists, items, exact_found))
+    near = near_windows(lists, items, found_windows(asked, pairs), slack, tenths)
+    return exact, checkpoint(near), items
 
 
 def contaminated(
-    docs: DataFrame, bench: DataFrame, window: int = WINDOW, rarest: int = RAREST, slack: int = SLACK
+    docs: DataFrame, bench: DataFrame, window: int = WINDOW, slack: int = SLACK, tenths: int = TENTHS
 ) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items`` of every row.
 
@@ -182,7 +220,7 @@ def contaminated(
     string. Without items, or without words in them, all documents are clean; without documents
     the result is empty. Other columns are not read.
     """
-    exact, near, items = matches(docs, bench, window, rarest, slack)
+    exact, near, items = matches(docs, bench, window, slack, tenths)
     spots = exact.select(*TEXT, F.explode(F.sequence("start", "end")).alias("pos")).distinct()
     hits = spots.groupBy(*TEXT).agg(F.count(F.lit(1)).alias("n_hit"))
     owned = matched(exact.select(*TEXT, "unit").distinct(), items.owners, ["unit"]).select(*TEXT, "item_id").distinct()
@@ -193,7 +231,8 @@ def contaminated(
     close = matched(near.select(*TEXT, "unit").distinct(), items.owners, ["unit"]).select(*TEXT, "item_id").distinct()
     close = close.groupBy(*TEXT).agg(F.count(F.lit(1)).alias("n_near_items"))
     results = checkpoint(close.join(hits.join(found, TEXT), TEXT, "full"))
-    rows = with_key(docs).select("doc_id", *TEXT, F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    rows = with_key(docs).select("doc_id", *TEXT, split_text(F.col("text")).alias("parts"))
+    rows = rows.select("doc_id", *TEXT, count_of(F.col("parts")).alias("n_words"))
     none = F.lit(0).cast("long")
     return matched(rows, results, TEXT, "left").select(
         "doc_id", "n_words",

@@ -187,14 +187,15 @@ owned AS (SELECT r, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY
   FROM (SELECT DISTINCT r, item_id FROM found) GROUP BY r),
 places AS (SELECT r, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM docs),
 counts AS (SELECT word, count(*) AS n FROM places GROUP BY word),
-asked AS (SELECT item_id, ws, s, q, word, row_number() OVER w AS turn, least(3, count(*) OVER (PARTITION BY item_id, ws, s)) AS asked
+asked AS (SELECT item_id, ws, s, q, word, row_number() OVER w AS turn, least(2, count(*) OVER (PARTITION BY item_id, ws, s)) AS asked
   FROM (SELECT item_id, ws, s, unnest(range(s, s + wide)) AS q, unnest(ws[s + 1:s + wide]) AS word FROM spans) JOIN counts USING (word)
   WINDOW w AS (PARTITION BY item_id, ws, s ORDER BY n, q)),
-shifted AS (SELECT r, item_id, ws, s, turn, asked, pos - q AS shift FROM asked JOIN places USING (word) WHERE turn <= 3),
-close AS (SELECT r, count(DISTINCT item_id) AS n_near_items FROM (
-    SELECT a.r, a.item_id FROM shifted a JOIN shifted b ON a.r = b.r AND a.item_id = b.item_id AND a.ws = b.ws AND a.s = b.s
-    WHERE a.turn = 1 AND abs(a.shift - b.shift) <= 4
-    GROUP BY a.r, a.item_id, a.ws, a.s, a.shift HAVING count(DISTINCT b.turn) = any_value(a.asked)) GROUP BY r)
+bases AS (SELECT DISTINCT a.item_id, a.ws, a.s, p.r, p.pos - a.q AS base FROM asked a JOIN places p USING (word) WHERE turn = 1),
+there AS (SELECT DISTINCT b.item_id, b.ws, b.s, b.r, base, q, turn, asked FROM bases b
+  JOIN asked a ON a.item_id = b.item_id AND a.ws = b.ws AND a.s = b.s
+  JOIN places p ON p.r = b.r AND p.word = a.word AND abs(p.pos - q - base) <= 4),
+close AS (SELECT r, count(DISTINCT item_id) AS n_near_items FROM (SELECT r, item_id FROM there GROUP BY r, item_id, ws, s, base
+    HAVING count(*) * 10 >= least(10, len(ws)) * 8 AND count(*) FILTER (turn <= 2) = any_value(asked)) GROUP BY r)
 SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0) AS n_near_items
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN owned USING (r) LEFT JOIN close USING (r)"""

@@ -19,7 +19,7 @@ def words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
 
 
-def plain(rows, bench, window=10, rarest=3, slack=4):
+def plain(rows, bench, window=10, slack=4, tenths=8):
     texts = {text or "": words(text) for _, text, *_ in rows}
     owners = defaultdict(set)
     for item_id, text in bench:
@@ -40,9 +40,10 @@ def plain(rows, bench, window=10, rarest=3, slack=4):
                     if tuple(have[at : at + wide]) == item[s : s + wide]:
                         hit |= set(range(at, at + wide))
                         items |= ids
-                known = sorted((counts[item[q]], q) for q in range(s, s + wide) if counts[item[q]])[:rarest]
+                known = sorted((counts[item[q]], q) for q in range(s, s + wide) if counts[item[q]])[:2]
                 for base in {p - known[0][1] for p in places[item[known[0][1]]]} if known else ():
-                    if all(any(abs(p - q - base) <= slack for p in places[item[q]]) for _, q in known):
+                    there = [q for q in range(s, s + wide) if any(abs(p - q - base) <= slack for p in places[item[q]])]
+                    if len(there) * 10 >= wide * tenths and all(q in there for _, q in known):
                         close |= ids
         digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
         out.append((doc_id, len(have), len(hit), len(items), digest, bool(hit), len(close)))
@@ -80,13 +81,13 @@ def planted(rng):
     return rows, items
 
 
-@pytest.mark.parametrize("window, rarest, slack, broadcast", [(10, 3, 4, 100_000), (10, 1, 0, 100_000), (4, 2, 1, 5)])
-def test_against_every_window(spark, monkeypatch, window, rarest, slack, broadcast):
+@pytest.mark.parametrize("window, slack, tenths, broadcast", [(10, 4, 8, 100_000), (10, 0, 10, 100_000), (4, 1, 5, 5)])
+def test_against_every_window(spark, monkeypatch, window, slack, tenths, broadcast):
     """Also with lookups that are too large to be sent whole."""
     monkeypatch.setattr(contamination, "BROADCAST_ROWS", broadcast)
     rows, items = planted(random.Random(window))
-    df = contamination.contaminated(frame(spark, rows), bench_frame(spark, items), window, rarest, slack)
-    assert got(df) == plain(rows, items, window, rarest, slack)
+    df = contamination.contaminated(frame(spark, rows), bench_frame(spark, items), window, slack, tenths)
+    assert got(df) == plain(rows, items, window, slack, tenths)
 
 
 def test_phrases_and_near_ones(spark):
