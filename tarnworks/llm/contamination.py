@@ -24,6 +24,7 @@ from tarnworks.session import fresh_folder
 
 # What lies between words, after A-Z has become a-z.
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+ANY_CASE = BETWEEN.replace("\\x3A-\\x60", "\\x3A-\\x40\\x5B-\\x60")  # the same in a text as given
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
 # In a proximity match words may be off their place by so many, and tenths of them have to be there.
@@ -190,8 +191,8 @@ def near_windows(lists: DataFrame, items: Items, found: DataFrame, slack: int, t
 def matches(
     docs: DataFrame, bench: DataFrame, window: int = WINDOW, slack: int = SLACK, tenths: int = TENTHS
 ) -> tuple[DataFrame, DataFrame, Items]:
-    """Exact phrase matches, proximity matches (as in ``phrases``, ``near_windows``) and the items.
-    Texts are named by ``with_key``."""
+    """Exact phrase matches, proximity matches of other windows (as in ``phrases``, ``near_windows``)
+    and the items. Texts are named by ``with_key``."""
     items = Items(bench, window)
     index = postings(docs, items)
     asked = windows(items, index)
@@ -201,8 +202,13 @@ def matches(
     texts = checkpoint(pairs.select(*TEXT).distinct())
     lists = checkpoint(matched(index, texts, TEXT).distinct())
     exact = checkpoint(phrases(lists, items, exact_found))
-    near = near_windows(lists, items, found_windows(asked, pairs), slack, tenths)
-    return exact, checkpoint(near), items
+    # Windows inside a phrase are done.
+    last = F.col("item_start") + F.col("end") - F.col("start")
+    done = exact_found.select(*TEXT, "unit", "shift", "s", "wide").join(exact.select(
+        *TEXT, "unit", (F.col("start") - F.col("item_start")).alias("shift"), "item_start", last.alias("last")
+    ), [*TEXT, "unit", "shift"]).filter((F.col("s") >= F.col("item_start")) & (F.col("s") + F.col("wide") - 1 <= F.col("last")))
+    rest = found_windows(asked, pairs).join(done.select(*TEXT, "unit", "shift", "s"), [*TEXT, "unit", "shift", "s"], "left_anti")
+    return exact, checkpoint(near_windows(lists, items, checkpoint(rest), slack, tenths)), items
 
 
 def contaminated(
@@ -228,10 +234,11 @@ def contaminated(
         F.count(F.lit(1)).alias("n_items"),
         F.sha2(F.concat_ws(",", F.sort_array(F.collect_list("item_id"))), 256).alias("items_sha256"),
     )
-    close = matched(near.select(*TEXT, "unit").distinct(), items.owners, ["unit"]).select(*TEXT, "item_id").distinct()
+    both = near.select(*TEXT, "unit").unionByName(exact.select(*TEXT, "unit")).distinct()
+    close = matched(both, items.owners, ["unit"]).select(*TEXT, "item_id").distinct()
     close = close.groupBy(*TEXT).agg(F.count(F.lit(1)).alias("n_near_items"))
     results = checkpoint(close.join(hits.join(found, TEXT), TEXT, "full"))
-    rows = with_key(docs).select("doc_id", *TEXT, split_text(F.col("text")).alias("parts"))
+    rows = with_key(docs).select("doc_id", *TEXT, F.split("text", ANY_CASE).alias("parts"))
     rows = rows.select("doc_id", *TEXT, count_of(F.col("parts")).alias("n_words"))
     none = F.lit(0).cast("long")
     return matched(rows, results, TEXT, "left").select(

@@ -100,7 +100,8 @@ def test_phrases_and_near_ones(spark):
     exact, near, _ = contamination.matches(frame(spark, docs), bench_frame(spark, [(7, item)]), slack=1)
     assert [(r.item_start, r.start, r.end) for r in exact.collect()] == [(0, 1, 11)]
     keys = {r.k1: r.doc_id for r in contamination.with_key(frame(spark, docs)).collect()}
-    assert {keys[r.k1] for r in near.collect()} == {1, 2}
+    # The first text lacks the rarest word of the one window that is in no phrase.
+    assert {keys[r.k1] for r in near.collect()} == {2}
 
 
 def test_empty_tables(spark):
