@@ -26,14 +26,16 @@ MOST = 3  # times that a source is passed through
 SLICE_ROWS = 2_000  # of one source in a slice, about
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size, place``: place is the order within the source, a hash."""
-    doc_id = F.col("doc_id").cast("long")
+def sized(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, source, size, place`` and the columns in ``keep``: place is the order within the
+    source, a hash of id and text, so rows without an id are spread too."""
+    doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
         doc_id.alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text").cast("string")).alias("size"),
-        F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))).alias("place"),
+        F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), text)).alias("place"),
+        *keep,
     )
 
 
@@ -94,8 +96,11 @@ def time_of(words: Column, target: Column, rise: Column) -> Column:
     return F.when(target > 0, 2 * share / (rise + root))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken, passes`` for each document.
+def mix(
+    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id, source, size, source_size, target, taken, passes`` for each document, and the
+    columns of ``docs`` in ``keep``.
 
     ``taken``: the words the mix takes, repeats counted. A source is passed through as often as
     its target holds it in full; the last pass ends at the target, where a document may be
@@ -103,11 +108,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST)
     position is the training time, 0 to 1. ``source_size`` and ``target`` are its source's.
 
     Sources count in code point order, null last. Null and empty texts have size 0 and are
-    taken for 0 words. Null ids are ordered first; documents with one id and size are alike, so
-    it doesn't matter which comes first. Repeated rows stay repeated. An empty table gives an
+    taken for 0 words. Rows with one id and text are alike, so it doesn't matter which comes
+    first. Repeated rows stay repeated. An empty table gives an
     empty result; other columns aren't read. The result is the same in each run.
     """
-    rows = checkpoint(sized(docs))
+    rows = checkpoint(sized(docs, keep))
     targets = source_targets(rows, weights, most)
     met = meet(sliced_offsets(rows, rows.count()), targets, "source")
     goal = F.floor("target").cast("double")
@@ -127,11 +132,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST)
     taken = F.aggregate("passes", F.lit(0).cast("long"), lambda s, p: s + p["words"])
     return met.withColumn("passes", passes).select(
         "doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"),
-        "target", taken.alias("taken"), "passes",
+        "target", taken.alias("taken"), "passes", *keep,
     )
 
 
-def in_order(rows: DataFrame, position: str) -> DataFrame:
+def in_order(rows: DataFrame, position: str, then: str = "doc_id") -> DataFrame:
     """Rows sorted by position over all partitions."""
     width = shuffle_width(rows.sparkSession)
-    return rows.repartitionByRange(width, position, "doc_id").sortWithinPartitions(position, "doc_id")
+    return rows.repartitionByRange(width, position, then).sortWithinPartitions(position, then)

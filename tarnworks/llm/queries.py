@@ -78,7 +78,7 @@ def op13_contamination(spark, d):
 
 
 OP2_SQL = """WITH sized AS (
-  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+  SELECT doc_id, source, md5(concat(doc_id, ':', text)) AS place,
     coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size FROM documents),
 sources AS (SELECT source, sum(size)::DOUBLE AS source_size,
     row_number() OVER (ORDER BY source IS NULL, source) - 1 AS turn FROM sized GROUP BY source),

@@ -7,7 +7,10 @@ fingerprint anew, by dynamic programming on the estimated number of candidates,
 values of a partition are avoided (threshold -1: not probed at all).
 
 Only different fingerprints are worked on. Pairs are compared inside tasks and leave them as
-spanning forests, so a crowd of like fingerprints gives links in proportion to its size.
+spanning forests, so a crowd of like fingerprints gives links in proportion to its size. In a
+crowded value no pairs are compared at all: fingerprints that share a neighbour (one bit off)
+are linked through it, and only those outside of the largest group so found look for others
+further off, by looking up their own changes among these neighbours.
 """
 
 from __future__ import annotations
@@ -20,26 +23,28 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnworks.llm.common import LOWER, checkpoint, meet, shuffle_width
+from tarnworks.llm.common import BROADCAST_ROWS, LOWER, checkpoint, meet, shuffle_width
 from tarnworks.operators.components import connected_components
 from tarnworks.operators.scale import join_lookup
 
 BITS = 64
 SEED = 42
-# Fingerprints of one probed value that one task compares at once; more are cut in blocks.
-BLOCK = 2048
+# Fingerprints of one probed value that one task links; more are cut in blocks.
+BLOCK = 65_536
+# More rows than this at one value are linked through neighbours first. What that leaves is
+# compared with all; where it is more than FEW of a crowd's rows, or of more rows than MANY, it
+# is looked up.
+CROWD, FEW, MANY = 64, 32, 16_384
+# Rows of one fingerprint that are joined by a broadcast.
+HOT_CLASS = 100_000
+# So many links (16 MB) are joined to groups by one task.
+FEW_LINKS = 1 << 20
 # Pairs that are compared in one vectorised step.
 STEP = 2_000_000
 # A probe costs about as much as so many compared pairs.
 PROBE_COST = 500.0
 # Widest group of bits whose values are counted exactly.
 PIECE = 16
-# Near texts share this part (numerator, denominator) of their runs of so many words.
-SHARE, RUN_WORDS = (4, 5), 5
-# Bands of smallest hashes, in so many rows: two texts at SHARE have an equal band with 0.9993.
-BANDS, BAND_ROWS = 24, 6
-# Bytes of run hashes of one group that one task compares at once; more are cut in blocks.
-BLOCK_BYTES = 32 << 20
 
 
 def shingle_hashes(text: str | None, words: int, seed: int = SEED) -> np.ndarray:
@@ -69,24 +74,21 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprints(docs: DataFrame, words: int = 3, check_words: int = 0) -> DataFrame:
-    """``doc_id, fp, check``: the fingerprints as signed 64-bit numbers. ``check`` is that over
-    runs of ``check_words`` words, 0 unless asked for."""
+def fingerprints(docs: DataFrame, words: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp`` and the columns in ``keep``: the fingerprints as signed 64-bit numbers."""
 
     def work(batches):
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            first = [_signed(majority(shingle_hashes(t, words))) for t in texts]
-            second = [
-                _signed(majority(shingle_hashes(t, check_words))) if check_words else 0 for t in texts
-            ]
+            found = [_signed(majority(shingle_hashes(t, words))) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(first, pa.int64()), pa.array(second, pa.int64())],
-                ["doc_id", "fp", "check"],
+                [batch.column(0), pa.array(found, pa.int64()), *batch.columns[2:]],
+                ["doc_id", "fp", *keep],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    return rows.mapInArrow(work, "doc_id long, fp long, check long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"), *keep)
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:]]
+    return rows.mapInArrow(work, ", ".join(["doc_id long", "fp long", *kept]))
 
 
 def bits_of(values: np.ndarray) -> np.ndarray:
@@ -270,8 +272,8 @@ def masks(width: int, threshold: int) -> np.ndarray:
 
 
 def signatures(distinct: DataFrame, plan: Plan) -> DataFrame:
-    """``part, value, fp, check, node, probe``: each fingerprint lies at its own values and is
-    probed at all values within its thresholds."""
+    """``part, value, fp, probe``: each fingerprint lies at its own values and is probed at all
+    values within its thresholds."""
     sent = distinct.sparkSession.sparkContext.broadcast(plan)
 
     def work(batches):
@@ -280,35 +282,28 @@ def signatures(distinct: DataFrame, plan: Plan) -> DataFrame:
                    if ring_sizes(len(g), t).sum() <= 1e6}
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
-                cut = batch.slice(at, 4096)
-                own = [cut.column(c).to_numpy() for c in range(3)]
-                fp = own[0]
+                fp = batch.column(0).slice(at, 4096).to_numpy()
                 dealt = plan.thresholds(fp)
                 for i, bits in enumerate(plan.groups):
                     value = part_value(fp, bits)
                     for t in np.unique(dealt[i]):
                         (rows,) = np.nonzero(dealt[i] == t)
-                        yield _rows(i, value[rows], [c[rows] for c in own], False)
+                        yield _rows(i, value[rows], fp[rows], False)
                         if t >= 0:
                             change = changes[i, int(t)]
                             for part in np.array_split(rows, max(1, len(rows) * len(change) >> 16)):
                                 spread = (value[part][:, None] ^ change[None, :]).ravel()
                                 each = np.repeat(part, len(change))
-                                yield _rows(i, spread, [c[each] for c in own], True)
+                                yield _rows(i, spread, fp[each], True)
 
-    return distinct.select("fp", "check", "node").mapInArrow(
-        work, "part int, value long, fp long, check long, node long, probe boolean"
-    )
+    return distinct.select("fp").mapInArrow(work, "part int, value long, fp long, probe boolean")
 
 
-def _rows(part, value, own, probe):
+def _rows(part, value, fp, probe):
     n = len(value)
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(n, part, np.int32)), pa.array(value), *map(pa.array, own),
-            pa.array(np.full(n, probe)),
-        ],
-        ["part", "value", "fp", "check", "node", "probe"],
+        [pa.array(np.full(n, part, np.int32)), pa.array(value), pa.array(fp), pa.array(np.full(n, probe))],
+        ["part", "value", "fp", "probe"],
     )
 
 
@@ -330,17 +325,91 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[low[moved]]
 
 
-def verified(key, fp, check, node, probe, radius, check_radius):
+def changes(bits: int) -> np.ndarray:
+    """All numbers with just so many of the bits set, up to two."""
+    one = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
+    if bits < 2:
+        return one if bits else np.zeros(1, np.uint64)
+    a, b = np.triu_indices(BITS, 1)
+    return one[a] | one[b]
+
+
+def crowd_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what pairs at ``radius`` bits or fewer connect, among different
+    fingerprints, with work in proportion to their number for a radius up to three."""
+    n, none = len(fps), np.zeros(0, np.int64)
+    if n < 2 or radius == 0:
+        return none, none
+    own = fps.view(np.uint64)
+    if radius == 1:
+        order = np.argsort(own)
+        return _looked_up(own, changes(1), own[order], fps[order], fps)
+    near = np.concatenate([changes(0), changes(1)])
+    spots = (own[:, None] ^ near).ravel()
+    order = np.argsort(spots, kind="stable")
+    spots, owner = spots[order], fps[order // len(near)]
+    heads = np.concatenate([[True], spots[1:] != spots[:-1]])
+    first = np.maximum.accumulate(np.where(heads, np.arange(len(spots)), 0))
+    a, b = forest(owner[~heads], owner[first[~heads]]) if not heads.all() else (none, none)
+    if radius == 2:
+        return a, b
+    # Those in the largest group need no more links with one another.
+    groups, sizes = np.unique(b, return_counts=True)
+    rest = np.ones(n, bool)
+    if len(groups):
+        most = groups[np.argmax(sizes)]
+        rest = ~np.isin(fps, np.append(a[b == most], most))
+    found = int(rest.sum())
+    if radius == 3 and (n > MANY or FEW < found <= n // 2):
+        c, d = _looked_up(own[rest], changes(2), spots, owner, fps[rest])
+    else:
+        c, d = _compared(fps[rest], fps, radius)
+    return forest(np.concatenate([a, c]), np.concatenate([b, d])) if len(a) + len(c) else (none, none)
+
+
+def _looked_up(asked, change, spots, owner, node):
+    """Links of nodes with the owner of a spot that is one change away. Spots are sorted."""
+    left, right = [], []
+    for at in range(0, len(asked), part := max(1, STEP // len(change))):
+        wanted = asked[at : at + part, None] ^ change
+        place = np.minimum(np.searchsorted(spots, wanted), len(spots) - 1)
+        row, column = np.nonzero(spots[place] == wanted)
+        left.append(node[at + row])
+        right.append(owner[place[row, column]])
+    left, right = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    other = left != right
+    return forest(left[other], right[other]) if other.any() else (left[:0], right[:0])
+
+
+def _compared(some: np.ndarray, fps: np.ndarray, radius: int):
+    """Links of all pairs at ``radius`` bits or fewer."""
+    left, right = [], []
+    for at in range(0, len(some), part := max(1, STEP // len(fps))):
+        cut = some[at : at + part]
+        row, column = np.nonzero(np.bitwise_count((cut[:, None] ^ fps).view(np.uint64)) <= radius)
+        other = cut[row] != fps[column]
+        left.append(cut[row[other]])
+        right.append(fps[column[other]])
+    return (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+
+
+def verified(key, fp, probe, radius):
     """Links among the rows of each key, as forests. Rows are sorted by key."""
     starts = np.concatenate([[0], np.nonzero(key[1:] != key[:-1])[0] + 1, [len(key)]])
     order = np.lexsort((probe, key))  # those that lie there first
-    fp, check, node, probe = fp[order], check[order], node[order], probe[order]
+    fp, probe = fp[order], probe[order]
     sizes = np.diff(starts)
     lying = np.add.reduceat((~probe).astype(np.int64), starts[:-1])
+    crowds = (sizes > CROWD) & (lying > 0)
+    left, right = [], []
+    for k in np.nonzero(crowds)[0]:
+        p, q = crowd_links(np.unique(fp[starts[k] : starts[k + 1]]), radius)
+        left.append(p)
+        right.append(q)
+    lying[crowds] = 0
     first, count = np.repeat(starts[:-1], sizes), np.repeat(lying, sizes)
     (asks,) = np.nonzero(probe & (count > 0))
     ends = np.cumsum(count[asks])
-    left, right = [], []
     at = 0
     while at < len(asks):
         base = ends[at - 1] if at else 0
@@ -349,25 +418,20 @@ def verified(key, fp, check, node, probe, radius, check_radius):
         n = count[some]
         a = np.repeat(some, n)
         b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[some], n)
-        good = np.bitwise_count((fp[a] ^ fp[b]).view(np.uint64)) <= radius
-        good &= node[a] != node[b]
-        a, b = a[good], b[good]
-        if check_radius is not None:
-            near = np.bitwise_count((check[a] ^ check[b]).view(np.uint64)) <= check_radius
-            a, b = a[near], b[near]
-        if len(a):
-            p, q = forest(node[a], node[b])
+        good = (np.bitwise_count((fp[a] ^ fp[b]).view(np.uint64)) <= radius) & (fp[a] != fp[b])
+        if good.any():
+            p, q = forest(fp[a[good]], fp[b[good]])
             left.append(p)
             right.append(q)
         at = to
-    if not left:
+    if not any(map(len, left)):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return forest(np.concatenate(left), np.concatenate(right))
 
 
-def links(distinct: DataFrame, total: int, radius: int, check_radius: int | None = None) -> DataFrame:
-    """``src, dst``: links between nodes that connect just what a chain of pairs at ``radius``
-    bits or fewer connects. ``distinct``: ``fp, check, node``, a row for each node.
+def links(distinct: DataFrame, total: int, radius: int) -> DataFrame:
+    """``src, dst``: links between fingerprints that connect just what a chain of pairs at
+    ``radius`` bits or fewer connects. ``distinct``: ``fp``, a row for each.
 
     Every probed value is worked on in one task, or in blocks of ``BLOCK`` rows, each pair of
     blocks in a task of its own, where more rows lie there.
@@ -382,14 +446,13 @@ def links(distinct: DataFrame, total: int, radius: int, check_radius: int | None
         F.ceil(F.col("asks") / BLOCK).cast("int").alias("ask_blocks"),
         F.ceil(F.col("lies") / BLOCK).cast("int").alias("lie_blocks"),
     ))
-    # A crowded value has over BLOCK rows: this table has less than a 2,000th of the rows.
-    few = crowded.count() <= 100_000
+    # A crowded value has over BLOCK rows: this table has less than a 60,000th of the rows.
+    few = crowded.count() <= BROADCAST_ROWS
     met = rows.join(F.broadcast(crowded) if few else crowded, ["part", "value"], "left")
     ask, lie = F.greatest(F.coalesce("ask_blocks", F.lit(1)), F.lit(1)), F.greatest(
         F.coalesce("lie_blocks", F.lit(1)), F.lit(1)
     )
-    own = F.xxhash64("fp", "check")
-    mine = F.pmod(own, F.when(F.col("probe"), ask).otherwise(lie)).cast("int")
+    mine = F.pmod(F.xxhash64("fp"), F.when(F.col("probe"), ask).otherwise(lie)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.when(F.col("probe"), lie).otherwise(ask) - 1))
     dealt = met.withColumn("mine", mine).withColumn("other", other)
     keyed = dealt.select(
@@ -398,7 +461,7 @@ def links(distinct: DataFrame, total: int, radius: int, check_radius: int | None
             F.when(F.col("probe"), F.col("mine")).otherwise(F.col("other")),
             F.when(F.col("probe"), F.col("other")).otherwise(F.col("mine")),
         ).alias("key"),
-        "fp", "check", "node", "probe",
+        "fp", "probe",
     )
 
     def work(batches):
@@ -415,180 +478,73 @@ def links(distinct: DataFrame, total: int, radius: int, check_radius: int | None
 
     def out(t):
         t = pa.Table.from_batches([t]) if isinstance(t, pa.RecordBatch) else t
-        columns = [t.column(c).to_numpy() for c in ("key", "fp", "check", "node", "probe")]
-        a, b = verified(*columns, radius, check_radius)
+        a, b = verified(*(t.column(c).to_numpy() for c in ("key", "fp", "probe")), radius)
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["src", "dst"])
 
     width = shuffle_width(spark)
     sorted_rows = keyed.repartition(width, "key").sortWithinPartitions("key")
-    return sorted_rows.mapInArrow(work, "src long, dst long").distinct()
-
-
-def near_groups(
-    docs: DataFrame, words: int = 3, radius: int = 3, check_words: int = 0, check_radius: int | None = None
-) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row: 16 lowercase hex digits, and the
-    smallest doc_id that links of at most ``radius`` differing bits reach.
-
-    With ``check_words`` a link also needs fingerprints over runs of so many words that differ
-    in at most ``check_radius`` bits. Null and empty texts have fingerprint zero. A null doc_id
-    keeps its row and never names a group that has another id; repeated rows stay repeated. An
-    empty table gives an empty result; other columns are not read.
-    """
-    marked = checkpoint(fingerprints(docs, words, check_words))
-    node = F.xxhash64("fp", "check") if check_words else F.col("fp")
-    classes = checkpoint(
-        marked.groupBy("fp", "check").agg(F.min("doc_id").alias("low")).withColumn("node", node)
-    )
-    joined = links(classes, classes.count(), radius, check_radius)
-    groups = connected_components(checkpoint(joined)).withColumnRenamed("id", "node")
-    # Most classes stand alone; only those of groups look for the smallest id.
-    grouped = checkpoint(classes.join(groups, "node").select("node", "low", "component"))
-    lows = checkpoint(grouped.groupBy("component").agg(F.min("low").alias("component_id")))
-    found = meet(grouped, lows, "component").select("node", "component_id")
-    answer = classes.join(found, "node", "left").select(
-        "fp", "check", F.coalesce("component_id", "low").alias("component_id")
-    )
-    return marked.join(answer, ["fp", "check"]).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
-
-
-def text_key(text: Column) -> Column:
-    """A number for each text; null is the empty text."""
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+    return sorted_rows.mapInArrow(work, "src long, dst long")
 
 
-def run_set(text: str | None) -> np.ndarray:
-    """The different runs' hashes, sorted."""
-    return np.unique(shingle_hashes(text, RUN_WORDS))
-
-
-def bands_of(runs: np.ndarray) -> list[int]:
-    """One number for each band of smallest hashes."""
-    rng = np.random.default_rng(SEED)
-    factors = rng.integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-    salts = rng.integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64)
-    if not len(runs):
-        return [0] * BANDS
-    low = np.array([((runs ^ s) * f).min() for f, s in zip(factors, salts)], np.uint64)
-    digest = xxhash.xxh64_intdigest
-    return [_signed(digest(b.tobytes(), k)) for k, b in enumerate(low.reshape(BANDS, BAND_ROWS))]
-
-
-def near_links(nodes: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Links of pairs that share ``SHARE`` of their runs, which connect all that such pairs do.
-
-    From each text found, all that are not yet found are compared at once.
-    """
-    sizes = np.array([len(s) for s in sets], np.int64)
-    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    left = np.arange(len(sets))
-    mark = np.zeros(len(known), bool)
-    src, dst, waiting = [], [], []
-    while len(left):
-        if not waiting:
-            waiting.append(int(left[0]))
-            keep, left = owner != left[0], left[1:]
-            flat, owner = flat[keep], owner[keep]
-        at = waiting.pop()
-        mark[np.searchsorted(known, sets[at])] = True
-        shared = np.bincount(owner[mark[flat]], minlength=len(sets))[left]
-        mark[:] = False
-        a, b = SHARE
-        near = (a + b) * shared >= a * (sizes[at] + sizes[left])
-        if near.any():
-            found = left[near]
-            src.append(np.full(len(found), nodes[at]))
-            dst.append(nodes[found])
-            waiting += found.tolist()
-            left = left[~near]
-            keep = ~np.isin(owner, found)
-            flat, owner = flat[keep], owner[keep]
-    if not src:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(src), np.concatenate(dst)
-
-
-def marked_texts(texts: DataFrame, words: int, check_words: int) -> DataFrame:
-    """``node, fp, check, bands``, one row for each text of ``node, text``."""
+def components(joined: DataFrame) -> DataFrame:
+    """``fp, component`` of linked fingerprints, ``component`` the smallest of its own. Few links
+    are joined by one task, more in rounds over all."""
+    if joined.count() > FEW_LINKS:
+        return connected_components(joined).withColumnRenamed("id", "fp")
 
     def work(batches):
-        for batch in batches:
-            rows = batch.column(1).to_pylist()
+        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+        if parts:
+            a, b = forest(*(np.concatenate(x) for x in zip(*parts)))
+            lows = np.unique(b)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([_signed(majority(shingle_hashes(t, words))) for t in rows], pa.int64()),
-                    pa.array([_signed(majority(shingle_hashes(t, check_words))) for t in rows], pa.int64()),
-                    pa.array([bands_of(run_set(t)) for t in rows], pa.list_(pa.int64())),
-                ],
-                ["node", "fp", "check", "bands"],
+                [pa.array(np.concatenate([a, lows])), pa.array(np.concatenate([b, lows]))], ["fp", "component"]
             )
 
-    each = texts.mapInArrow(work, "node long, fp long, check long, bands array<long>")
-    return each.groupBy("node").agg(*[F.first(c).alias(c) for c in ("fp", "check", "bands")])
+    return joined.coalesce(1).mapInArrow(work, "fp long, component long")
 
 
-def candidates(marks: DataFrame, radius: int, check_radius: int) -> DataFrame:
-    """``src, dst``: links by fingerprints, and of the texts that share a band or both fingerprints
-    with the smallest node among them."""
-    classes = checkpoint(marks.groupBy("fp", "check").agg(F.min("node").alias("node")))
-    by_bits = links(classes, classes.count(), radius, check_radius)
-    both = F.xxhash64(F.lit(-1), "fp", "check")
-    of_band = F.transform("bands", lambda v, k: F.xxhash64(k, v))
-    keyed = checkpoint(marks.select("node", F.explode(F.concat(of_band, F.array(both))).alias("key")))
-    lows = keyed.groupBy("key").agg(F.min("node").alias("src"), F.count(F.lit(1)).alias("size"))
-    met = join_lookup(keyed, checkpoint(lows.filter("size > 1")), ["key"], "size")
-    stars = met.filter("src <> node").select("src", F.col("node").alias("dst"))
-    return checkpoint(by_bits.unionByName(stars).distinct())
+def grouped(marked: DataFrame, radius: int, best: Column) -> DataFrame:
+    """``fp, size, best``: how many rows of ``marked`` have each fingerprint, and the smallest
+    ``best`` of all rows that links of at most ``radius`` bits reach from it."""
+    classes = checkpoint(marked.groupBy("fp").agg(F.count(F.lit(1)).alias("size"), F.min(best).alias("best")))
+    found = checkpoint(components(checkpoint(links(classes, classes.count(), radius))))
+    # Most fingerprints stand alone; only those of groups look for another's best.
+    linked = checkpoint(classes.join(found, "fp").select("fp", "component", "best"))
+    lows = checkpoint(linked.groupBy("component").agg(F.min("best").alias("low")))
+    led = checkpoint(meet(linked.select("fp", "component"), lows, "component").select("fp", "low"))
+    every = classes.join(F.broadcast(led) if led.count() <= BROADCAST_ROWS else led, "fp", "left")
+    return checkpoint(every.select("fp", "size", F.coalesce("low", "best").alias("best")))
 
 
-def compared(texts: DataFrame, groups: DataFrame) -> DataFrame:
-    """``src, dst``: links that connect, within each group (``node, component``), what pairs of
-    texts at ``SHARE`` connect.
+def near_groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every row: 16 lowercase hex digits, and the
+    smallest doc_id that links of at most ``radius`` differing bits reach.
 
-    Each group is compared in one task, or in blocks, each two in a task of their own.
+    Null and empty texts have fingerprint zero. A null doc_id keeps its row and never names a
+    group that has another id; repeated rows stay repeated. An empty table gives an empty
+    result; other columns are not read.
     """
+    marked = checkpoint(fingerprints(docs, words))
+    groups = grouped(marked, radius, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id"))
+    return join_lookup(marked, groups, ["fp"], "size", HOT_CLASS).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("best.doc_id").alias("component_id"),
+    )
 
-    def sets(batches):
-        for batch in batches:
-            runs = [run_set(t).tobytes() for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(runs, pa.binary())], ["node", "component", "runs"]
-            )
 
-    met = meet(texts, checkpoint(groups), "node").select(F.col("node"), "component", "text")
-    each = met.groupBy("node").agg(F.first("component").alias("component"), F.first("text").alias("text"))
-    rows = checkpoint(each.mapInArrow(sets, "node long, component long, runs binary"))
-    sums = rows.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("runs")).alias("bytes"))
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
-    blocks = checkpoint(sums.select("component", blocks.alias("blocks")))
-    dealt = meet(rows, blocks, "component")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (F.col("blocks") == 1) | (k != mine))
-    dealt = dealt.select("component", mine.alias("mine"), F.explode(others).alias("other"), "node", "runs")
-    low, high = F.least("mine", "other"), F.greatest("mine", "other")
-    keyed = dealt.select("component", low.alias("low"), high.alias("high"), "node", "runs")
-
-    def work(t: pa.Table) -> pa.Table:
-        own = [np.frombuffer(r, np.uint64) for r in t.column("runs").to_pylist()]
-        a, b = near_links(t.column("node").to_numpy(), own)
-        return pa.table({"src": pa.array(a, pa.int64()), "dst": pa.array(b, pa.int64())})
-
-    return keyed.groupBy("component", "low", "high").applyInArrow(work, "src long, dst long")
-
-
-def near_texts(texts: DataFrame, words: int, radius: int, check_words: int, check_radius: int) -> DataFrame:
-    """``node, component`` of the texts (``node, text``, a node for each text) that are linked with
-    another: texts that share ``SHARE`` of their different runs of ``RUN_WORDS`` words are.
-
-    Fingerprints (as in ``near_groups``) and bands of smallest hashes give candidates; the texts
-    of each group of candidates are compared run by run, and only true links count.
-    """
-    marks = checkpoint(marked_texts(texts, words, check_words))
-    groups = connected_components(candidates(marks, radius, check_radius))
-    true = checkpoint(compared(texts, groups.withColumnRenamed("id", "node")))
-    return connected_components(true).withColumnRenamed("id", "node")
+def one_of_each(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
+    """The rows of ``docs`` with one of each group of ``near_groups`` left: that with the smallest
+    doc_id, null last; of rows with one id that with the smallest hash of all columns. All
+    columns stay as they are, whatever their names. Rows alike in all columns are one."""
+    every = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    told = every.select(
+        F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"), "row",
+        F.xxhash64("row").alias("h1"), F.xxhash64(F.lit(1), "row").alias("h2"),
+    )
+    marked = checkpoint(fingerprints(told.drop("row"), words, ("h1", "h2")))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")
+    kept = grouped(marked, radius, first).select("best.h1", "best.h2").distinct()
+    left = told.select("row", "h1", "h2").join(kept, ["h1", "h2"], "left_semi")
+    return left.dropDuplicates(["h1", "h2"]).select("row.*")

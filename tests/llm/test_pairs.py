@@ -54,6 +54,7 @@ def test_crowds_in_blocks(spark, monkeypatch, radius):
     """Chains of fingerprints that differ in few bits, some values held by many."""
     rng = random.Random(radius)
     monkeypatch.setattr(simhash, "BLOCK", 16)
+    monkeypatch.setattr(simhash, "CROWD", 8)
     fps = {0}
     for _ in range(6):
         at = rng.getrandbits(64)
@@ -61,9 +62,8 @@ def test_crowds_in_blocks(spark, monkeypatch, radius):
             for b in rng.sample(range(64), rng.randint(0, 5)):
                 at ^= 1 << b
             fps.add(at - (1 << 64) if at >> 63 else at)
-    rows = [(f, 0, f) for f in fps]
-    df = spark.createDataFrame(rows, "fp long, check long, node long")
-    got = simhash.links(df, len(rows), radius).collect()
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    got = simhash.links(df, len(fps), radius).collect()
     nodes = sorted(fps)
     want, have = (groups_of(nodes, pairs) for pairs in (
         [(a, b) for a in nodes for b in nodes if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= radius],
@@ -105,16 +105,64 @@ def test_ball_counts():
             assert rings[e][v] == sum(table[x] for x in range(64) if (x ^ v).bit_count() == e)
 
 
-def test_checked_links_spare_other_texts(spark):
-    rng = random.Random(9)
-    texts = [prose(rng, 200) for _ in range(30)]
-    near = [re.sub(r"\b(\w+)\b", "other", t, count=1) for t in texts]
-    short = [prose(rng, k % 5) for k in range(40)]
-    rows = [(i, t, None, None) for i, t in enumerate(texts + near + short)]
-    got = simhash.near_groups(frame(spark, rows), radius=7, check_words=5, check_radius=16).collect()
-    by = {r.doc_id: r.component_id for r in got}
-    assert all(by[30 + i] == i for i in range(30))
-    assert all(texts.count(rows[d][1]) or c >= 60 for d, c in by.items() if d >= 60)
+def near_copies(n, flips, seed):
+    """Different fingerprints around a few centres, most of them few bits off."""
+    rng = np.random.default_rng(seed)
+    centres = rng.integers(-(2**63), 2**63, 3)
+    bits = (rng.random((n, 64)) < flips).astype(np.uint64) << np.arange(64, dtype=np.uint64)
+    own = rng.choice(centres, n, p=[0.8, 0.1, 0.1]).view(np.uint64) ^ np.bitwise_or.reduce(bits, axis=1)
+    return np.unique(own.view(np.int64))
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3, 5])
+@pytest.mark.parametrize("flips, many", [(0.02, 100), (0.06, 10**6), (0.06, 100), (0.12, 10**6), (0.12, 100)])
+def test_crowd_links_against_all_pairs(monkeypatch, radius, flips, many):
+    monkeypatch.setattr(simhash, "MANY", many)
+    fps = near_copies(700, flips, radius)
+    near = np.bitwise_count((fps[:, None] ^ fps).view(np.uint64)) <= radius
+    a, b = np.nonzero(near)
+    src, dst = simhash.crowd_links(fps, radius)
+    assert (np.bitwise_count((src ^ dst).view(np.uint64)) <= 64).all()
+    nodes = fps.tolist()
+    assert groups_of(nodes, list(zip(src.tolist(), dst.tolist()))) == groups_of(
+        nodes, list(zip(fps[a].tolist(), fps[b].tolist()))
+    )
+
+
+def test_crowd_of_near_copies_without_pairs(spark, monkeypatch):
+    """4,000 near copies: few compared pairs, the groups of all pairs."""
+    fps = near_copies(4200, 0.06, 1)[:4000]
+    asked = []
+    count = np.bitwise_count
+
+    def counted(x):
+        asked.append(x.size)
+        return count(x)
+
+    values = {i: simhash.part_value(fps, g) for i, g in enumerate(simhash.grouped_bits(np.ones((64, 64)), 4))}
+    key = np.concatenate([v + (i << 20) for i, v in values.items()])
+    order = np.argsort(key, kind="stable")
+    rows = np.concatenate([fps] * 4)[order]
+    lying = simhash.verified(np.repeat(key[order], 2), np.repeat(rows, 2), np.tile([False, True], len(rows)), 3)
+    monkeypatch.setattr(simhash.np, "bitwise_count", counted)
+    again = simhash.verified(np.repeat(key[order], 2), np.repeat(rows, 2), np.tile([False, True], len(rows)), 3)
+    monkeypatch.undo()
+    assert [x.tolist() for x in lying] == [x.tolist() for x in again]
+    assert sum(asked) <= 50 * len(fps)
+    df = spark.createDataFrame([(int(f),) for f in fps], "fp long")
+    got = simhash.links(df, len(fps), 3).collect()
+    near = count((fps[:, None] ^ fps).view(np.uint64)) <= 3
+    a, b = np.nonzero(np.triu(near, 1))
+    low = dict(zip(*(x.tolist() for x in simhash.forest(fps[a], fps[b]))))
+    have = dict(zip(*(x.tolist() for x in simhash.forest(*np.array([(r.src, r.dst) for r in got]).T))))
+    assert have == low
+
+
+def test_few_and_many_links_give_the_same_groups(spark, monkeypatch):
+    rows = documents(spark)
+    want = found(simhash.near_groups(frame(spark, rows)))
+    monkeypatch.setattr(simhash, "FEW_LINKS", 0)
+    assert found(simhash.near_groups(frame(spark, rows))) == want
 
 
 def vectors(n=400, dim=16, seed=4):

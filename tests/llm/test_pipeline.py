@@ -8,9 +8,10 @@ import corpus_pipeline
 import pytest
 from fixtures import documents, empty, frame, prose, word
 from test_counts import plain_targets, size_of
-from test_pairs import groups_of
+from pyspark.sql import functions as F
+from test_pairs import groups_of, plain_fingerprint
 
-from tarnworks.llm import pieces, simhash, toxicity
+from tarnworks.llm import mixture, pieces, toxicity
 from tarnworks.sources.tables import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -21,16 +22,9 @@ def test_stages_have_their_order():
 
 
 def plain_classes(texts):
-    """Smallest id of each document's group, by the stage's own rule on all pairs."""
-    fps, checks = (
-        {d: simhash.majority(simhash.shingle_hashes(t, words)) for d, t in texts.items()}
-        for words in (corpus_pipeline.NEAR_WORDS, corpus_pipeline.CHECK_WORDS)
-    )
-    links = [
-        (a, b) for a in texts for b in texts
-        if a < b and (fps[a] ^ fps[b]).bit_count() <= corpus_pipeline.NEAR_BITS
-        and (checks[a] ^ checks[b]).bit_count() <= corpus_pipeline.CHECK_BITS
-    ]
+    """Smallest id of each document's group, by the contract's rule on all pairs."""
+    fps = {d: plain_fingerprint(t) for d, t in texts.items()}
+    links = [(a, b) for a in texts for b in texts if a < b and (fps[a] ^ fps[b]).bit_count() <= 3]
     return groups_of(texts, links)
 
 
@@ -43,36 +37,30 @@ def test_one_of_each_group_stays(spark):
     assert corpus_pipeline.keep_one(spark, empty(spark), "").collect() == []
 
 
-def test_near_copies_against_all_pairs_jaccard(spark):
+def test_near_copies_against_all_pairs(spark):
     rng, texts = random.Random(4), []
     for k in range(60):
-        words = prose(rng, 120).split()
+        words = prose(rng, 400).split()
         texts.append(" ".join(words))
         for i in rng.sample(range(len(words)), 1 + k % 6):
             words[i] = word(rng)
         texts.append(" ".join(words))
     texts += ["", " ", "a b", "A  b", "a b c"]
-    runs = []
-    for t in texts:
-        w = t.lower().split()
-        runs.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
-    pairs = [
-        (a, b) for a in range(len(texts)) for b in range(a)
-        if len(runs[a] & runs[b]) * 5 >= len(runs[a] | runs[b]) * 4
-    ]
-    assert 20 < len(pairs) < 60  # some of the edited texts are near their own, some aren't
-    want = sorted(set(groups_of(range(len(texts)), pairs).values()))
+    want = sorted(set(plain_classes(dict(enumerate(texts))).values()))
+    assert 60 < len(want) < 115  # some of the edited texts are near their own, some aren't
     rows = [(i, t, None, None) for i, t in enumerate(texts)]
     got = corpus_pipeline.keep_one(spark, frame(spark, rows), "").collect()
     assert sorted(r.doc_id for r in got) == want
 
 
-def test_large_group_is_compared_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK", 8)
-    words = [f"w{i}" for i in range(100)]
-    rows = [(k, " ".join(words[k:] + [f"x{i}" for i in range(k)]), None, None) for k in range(40)]
-    got = corpus_pipeline.keep_one(spark, frame(spark, rows), "").collect()
-    assert [r.doc_id for r in got] == [0]  # each is near the next one only
+def test_columns_with_any_name_stay(spark):
+    rows = [r for r in documents(spark, n=40)]
+    names = ["_node", "_place", "_key", "_low", "_kept", "row", "h1", "h2", "fp", "component", "position", "take", "a.b"]
+    df = frame(spark, rows).drop("row", "fp", "position").withColumns({n: F.lit(f"mine {n}") for n in names})
+    for stage in (corpus_pipeline.keep_one, corpus_pipeline.mixed):
+        got = stage(spark, df, "")
+        assert got.columns == df.columns
+        assert all(r[n] == f"mine {n}" for r in got.collect() for n in names)
 
 
 def test_rows_with_one_id_are_one_document(spark):
@@ -84,7 +72,7 @@ def test_rows_with_one_id_are_one_document(spark):
 def test_rows_without_or_with_one_id_stay_by_their_texts(spark):
     rng = random.Random(6)
     texts = [prose(rng, 40) for _ in range(12)]
-    near = texts[2].rsplit(" ", 1)[0]
+    near = "".join(c.upper() if c.isascii() else c for c in texts[2])
     rows = [(None, t, "en", "a") for t in texts[:5]] + [(7, t, "en", "a") for t in texts[5:]]
     rows += [(None, texts[0], "en", "a"), (3, texts[1], "en", "a"), (9, near, "en", "b"), (None, "", "en", "a")]
     got = [corpus_pipeline.keep_one(spark, frame(spark, r), "").collect() for r in (rows, rows[::-1])]
@@ -126,6 +114,16 @@ def test_mixed_places_repeated_and_unnamed_rows(spark):
     assert got == {1: 2, None: 1}
 
 
+def test_repeated_rows_are_placed_as_often_as_all_of_them_are_taken(spark):
+    """Six words of x and 100 of y, of which 5/7 go to x up to three times its size."""
+    rows = [(1, "a b c", None, "x")] * 2 + [(10 + k, "d " * 10, None, "y") for k in range(10)]
+    got = Counter(r.doc_id for r in corpus_pipeline.mixed(spark, frame(spark, rows), "").collect())
+    taken = Counter()
+    for r in mixture.mix(frame(spark, rows)).collect():
+        taken[r.doc_id] += len(r.passes)
+    assert got == +taken and got[1] == 6
+
+
 @pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 def test_run_from_end_to_end(spark):
     docs = table(spark, FOLDER, "documents")
