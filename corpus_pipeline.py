@@ -13,10 +13,8 @@ from tarnworks.llm import mixture, pieces, simhash, toxicity
 from tarnworks.session import checkpoint, fresh_folder
 from tarnworks.sources.tables import table
 
-# Candidates of near copies: at most so many differing bits of 64, over runs of two words (which
-# an edit spoils less than longer ones) and over runs of five, or an equal band of smallest
-# hashes. Only texts that share 0.8 of their different runs of five words are near copies.
-NEAR_WORDS, NEAR_BITS, CHECK_WORDS, CHECK_BITS = 2, 7, 5, 16
+# Of the SimHash operator's contract: words of a shingle, most differing bits of a link.
+WORDS, BITS = 3, 3
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,33 +24,26 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of exact and near copies: that with the smallest id (null last), of
-    rows with one id that with the smallest hash. Only texts count: rows that share an id or have
-    none, but have other texts, stay."""
-    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns))
-    rows = docs.withColumns({"_node": simhash.text_key(F.col("text")), "_place": place})
-    texts = rows.select(F.col("_node").alias("node"), "text")
-    near = simhash.near_texts(texts, NEAR_WORDS, NEAR_BITS, CHECK_WORDS, CHECK_BITS)
-    lows = checkpoint(rows.groupBy(F.col("_node").alias("node")).agg(F.min("_place").alias("low")))
-    group = F.coalesce("component", "node").alias("group")
-    kept = lows.join(near, "node", "left").groupBy(group).agg(F.min(F.struct("low", "node")).alias("_kept"))
-    kept = kept.select(F.col("_kept.node").alias("_kept"), F.col("_kept.low").alias("_low"))
-    same = (F.col("_node") == F.col("_kept")) & (F.col("_place") == F.col("_low"))
-    # What is left of a node are rows alike in all columns.
-    return rows.join(kept, same, "left_semi").dropDuplicates(["_node"]).select(*docs.columns)
+    """One row of each group of near copies: that with the smallest id (null last), of rows with
+    one id that with the smallest hash. Only texts count: rows that share an id or have none,
+    but have other texts, stay."""
+    return simhash.one_of_each(docs, WORDS, BITS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order of training, each as often as the mix takes it, in whole or
     (at the end of its source's share) in part. A document that is taken in part is kept whole,
-    as no stage cuts texts. Rows count by id, text and source, as ids may be missing or shared."""
-    rows = docs.withColumn("_key", F.xxhash64("doc_id", simhash.text_key(F.col("text")), "source"))
-    keyed = rows.select(F.col("_key").alias("doc_id"), "text", "source")
-    takes = mixture.mix(keyed).select(F.col("doc_id").alias("_id"), F.explode("passes").alias("_take"))
-    takes = takes.select("_id", "_take.pass", F.col("_take.position").alias("_position"))
-    takes = takes.dropDuplicates(["_id", "pass"])  # of repeated rows each is placed once a pass
-    placed = rows.join(takes, rows["_key"] == takes["_id"])
-    return mixture.in_order(placed, "_position").select(*docs.columns)
+    as no stage cuts texts. Rows alike in all columns stand for one another: there are as many
+    as the mix takes of them together."""
+    every = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    told = every.select(
+        "row.doc_id", "row.text", "row.source", "row",
+        F.xxhash64("row").alias("h1"), F.xxhash64(F.lit(1), "row").alias("h2"),
+    )
+    taken = mixture.mix(told, keep=("h1", "h2")).select("h1", "h2", F.explode("passes").alias("take"))
+    once = told.select("row", "h1", "h2").dropDuplicates(["h1", "h2"])
+    placed = once.join(taken.select("h1", "h2", F.col("take.position").alias("position")), ["h1", "h2"])
+    return mixture.in_order(placed, "position", "h1").select("row.*")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
