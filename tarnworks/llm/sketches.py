@@ -1,11 +1,12 @@
 """Document fingerprints as invertible Bloom lookup sketches.
 
-A text is cut by its content: at ends of paragraphs and sentences, at some words, and within
-long runs at some characters, so that a change spoils little. Each piece has a digest of 64 bits (with the number of
-its occurrence, so repeats count) that goes into one cell of each of three tables: a cell keeps
-how many digests it holds, their XOR and the XOR of a second hash of them. The difference of
-two sketches holds only the digests that the texts don't share; peeling takes them out one by
-one from cells that hold a single one. Where peeling fails the sketches are too small, and
+A text is cut by its content into short pieces: at ends of paragraphs and sentences, at some
+words and at some characters, which depends on the few code points before, so a change spoils
+little and texts of any length are cut alike. Each piece has a digest of 64 bits (with the number
+of its occurrence, so repeats count) that goes into one cell of each of three tables: a cell
+keeps how many digests it holds, their sum and the sum of a second hash of them. The difference
+of two sketches holds only the digests that the texts don't share; peeling takes them out one
+by one from cells that hold a single one. Where peeling fails the sketches are too small, and
 larger ones are made.
 """
 
@@ -13,22 +14,24 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
+from math import ceil
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.llm.common import shuffle_width
 
 CELLS = 12  # of the stored fingerprint, in three tables
-GROWTH = 4  # times as many cells after a failure
+ROOM = 1.6  # times as many cells as digests are to be peeled
 TABLES = 3
-# Code points of a piece: about so many at most, fewer where a text would have less than eight
-# pieces; none is longer than four times that.
-PIECE_CHARS, LEAST_CHARS, PIECES = 64, 4, 8
-WORD_CHARS = 6
+# Code points of a piece, about; none is longer than four times that. Words have about six.
+PIECE_CHARS, WORD_CHARS = 16, 6
+# Code points that are cut at once, and those that tell whether a piece ends.
+CHUNK, BEFORE = 1 << 20, 3
 # Ends of sentences in Latin, Greek, Arabic, Devanagari, Ethiopic, Burmese, Khmer, Tibetan,
 # Armenian and East Asian scripts.
 ENDS = np.array(sorted(map(ord, ".!?\u037e\u0589\u061f\u06d4\u0964\u0965\u0f0d\u104a\u104b\u1362\u1367\u1368\u17d4\u17d5\u2026\u203c\u2047\u2048\u2049\u3002\ufe52\uff01\uff0e\uff1f\uff61")), np.uint32)
@@ -45,57 +48,97 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return z ^ (z >> U(31))
 
 
-def cuts(points: np.ndarray) -> np.ndarray:
-    """Where pieces of a text's code points end, as offsets.
-
-    Whether a word or character ends a piece depends on the last four code points, so equal
-    passages are cut alike. With smaller pieces the same cuts are made and more.
-    """
-    n = len(points)
-    size = LEAST_CHARS
-    while size < PIECE_CHARS and n >= 2 * size * PIECES:
-        size *= 2
+def cut_marks(points: np.ndarray) -> np.ndarray:
+    """Whether a piece ends after each code point. That of a word or character depends on the
+    last four code points."""
     wide = points.astype(U)
-    window = wide.copy()
-    for k in (1, 2, 3):
-        window[k:] ^= wide[:-k] << U(21 * k) if k < 3 else wide[:-k] * U(0x9E3779B97F4A7C15)
-    chance = _mixed(window, 9)
-    ends = np.isin(points, ENDS)
-    ends[:-1] &= ~ends[1:]
-    at = ends | (points == 10)
-    at |= np.isin(points, SPACES) & ((chance >> U(40)) * U(size) < U(WORD_CHARS << 24))
-    found = np.unique(np.append(np.nonzero(at)[0] + 1, n))
-    lengths = np.diff(found, prepend=0)
-    if (lengths > 2 * size).any():  # characters of long pieces
-        long_one = np.repeat(lengths > 2 * size, lengths)
-        more = long_one & ((chance & U(0xFFFFFF)) * U(size) < U(1 << 24))
-        found = np.unique(np.append(found, np.nonzero(more)[0] + 1))
-        lengths = np.diff(found, prepend=0)
-        if (lengths > 4 * size).any():
-            offset = np.arange(1, n + 1) - np.repeat(found - lengths, lengths)
-            found = np.unique(np.append(found, np.nonzero(offset % (4 * size) == 0)[0] + 1))
-    return found
+    window = wide * U(0x9E3779B97F4A7C15)
+    for k in range(1, BEFORE + 1):
+        window[k:] ^= wide[:-k] << U(21 * k - 13) if k < 3 else wide[:-k] * U(0xC2B2AE3D27D4EB4F)
+    window = (window ^ (window >> U(29))) * U(0xBF58476D1CE4E5B9)
+    chance = (window >> U(40)).astype(np.int64)  # of 2^24
+    marks = _any_of(points, ENDS)
+    marks[:-1] &= ~marks[1:]
+    marks |= points == 10
+    marks |= _any_of(points, SPACES) & (chance * PIECE_CHARS < WORD_CHARS << 24)
+    return marks | (chance * 4 * PIECE_CHARS >= (4 * PIECE_CHARS - 1) << 24)
+
+
+def _any_of(points: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Whether each code point is one of a few; by a table, as most are small."""
+    small = np.zeros(256, bool)
+    small[few[few < 256]] = True
+    out = small[np.minimum(points, 255)]
+    (large,) = np.nonzero(points >= 255)
+    out[large] = np.isin(points[large], few)
+    return out
+
+
+def _cut(parts: list[tuple[str, str, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of texts, all at once: first code point, end, digest and which text.
+
+    Each text comes as the ``BEFORE`` code points before it (NUL where there are none), itself
+    and whether it ends there. Of one that goes on the last piece is left out.
+    """
+    points = np.frombuffer("".join(c + t for c, t, _ in parts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.fromiter((len(t) + BEFORE for _, t, _ in parts), np.int64, len(parts))
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    marks = cut_marks(points)
+    for k in range(BEFORE):
+        marks[starts + k] = k == BEFORE - 1  # what comes before is a piece of its own
+    marks[ends - 1] = True
+    (last,) = np.nonzero(marks)
+    lengths = np.diff(last, prepend=-1)
+    most = 4 * PIECE_CHARS
+    if (lengths > most).any():
+        offset = np.arange(len(points)) - np.repeat(last - lengths + 1, lengths)
+        marks |= offset % most == most - 1
+        (last,) = np.nonzero(marks)
+        lengths = np.diff(last, prepend=-1)
+    first = last - lengths + 1
+    place = np.arange(len(points)) - np.repeat(first, lengths)
+    values = _mixed(points.astype(U) | (place.astype(U) << U(21)), 5)
+    values[points == 10] = 0  # line ends don't count
+    digest = _mixed(np.add.reduceat(values, first) if len(first) else np.zeros(0, U), 0)
+    empty = (points[first] == 10) & (lengths == 1)
+    owner = np.searchsorted(ends, first, side="right")
+    whole = np.array([done for _, _, done in parts])[owner] | (last < ends[owner] - 1)
+    kept = (first >= starts[owner] + BEFORE) & whole & ~empty
+    base = starts[owner] + BEFORE
+    return (first - base)[kept], (last + 1 - base)[kept], digest[kept], owner[kept]
+
+
+def _pieces(texts: list[str]):
+    """Start, end and digest of all pieces, and the text of each; long texts go in chunks."""
+    at = dict.fromkeys((i for i, t in enumerate(texts) if t), 0)
+    found = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, U), np.zeros(0, np.int64))]
+    while at:
+        numbers = np.array(list(at))
+        parts = []
+        for i, a in at.items():
+            before = texts[i][max(0, a - BEFORE) : a].rjust(BEFORE, "\0")
+            parts.append((before, texts[i][a : a + CHUNK], a + CHUNK >= len(texts[i])))
+        first, last, digest, owner = _cut(parts)
+        base = np.array(list(at.values()))[owner] if len(owner) else owner
+        found.append((first + base, last + base, digest, numbers[owner]))
+        done = np.zeros(len(parts), np.int64)
+        np.maximum.at(done, owner, last)
+        # Ends of lines alone leave no piece, but are read.
+        at = {i: a + (int(d) or CHUNK - 1) for (i, a), d, p in zip(at.items(), done, parts) if not p[2]}
+    return [np.concatenate(x) for x in zip(*found)]
 
 
 def pieces(text: str) -> list[str]:
     """Runs of the text, cut by content, without line ends."""
-    if not text:
-        return []
-    ends = cuts(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)).tolist()
-    own = (text[a:b].strip("\n") for a, b in zip([0, *ends], ends))
+    first, last, _, _ = _pieces([text])
+    own = (text[a:b].strip("\n") for a, b in zip(first.tolist(), last.tolist()))
     return [p for p in own if p]
 
 
 def digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Digests of all texts' pieces, one after another, and the text of each."""
-    hashed, sizes = [], []
-    digest = xxhash.xxh3_64_intdigest
-    for t in texts:
-        own = [digest(p.encode("utf-8", "surrogatepass")) for p in pieces(t)]
-        hashed += own
-        sizes.append(len(own))
-    keys = np.array(hashed, U)
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    _, _, keys, owner = _pieces(texts)
     order = np.lexsort((keys, owner))
     keys, owner = keys[order], owner[order]
     if len(keys):
@@ -105,6 +148,13 @@ def digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return keys, owner
 
 
+def picked(keys: np.ndarray, owner: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of the texts with these numbers, in that order; owners are sorted."""
+    a, b = (np.searchsorted(owner, texts, side=s) for s in ("left", "right"))
+    n = b - a
+    return keys[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())], np.repeat(np.arange(len(texts)), n)
+
+
 class Sketches:
     """Sketches of many texts; text i has ``cells[i]`` cells, a multiple of three."""
 
@@ -123,17 +173,39 @@ class Sketches:
             for t in range(TABLES)
         ]
 
-    def add(self, keys: np.ndarray, owner: np.ndarray, sign) -> None:
+    def add(self, keys: np.ndarray, owner: np.ndarray, sign) -> list[np.ndarray]:
+        """Put digests into their cells, or take them out; returns the cells."""
         check = _mixed(keys, 7)
-        for at in self.places(keys, owner):
+        factor = np.asarray(sign, np.int64).astype(U)  # 1 or its opposite, modulo 2^64
+        keys_in, checks_in = keys * factor, check * factor
+        cells = self.places(keys, owner)
+        for at in cells:
             np.add.at(self.count, at, sign)
-            np.bitwise_xor.at(self.keys, at, keys)
-            np.bitwise_xor.at(self.checks, at, check)
+            np.add.at(self.keys, at, keys_in)
+            np.add.at(self.checks, at, checks_in)
+        return cells
+
+    def of(self, texts: np.ndarray) -> Sketches:
+        """The sketches of some texts, where all have as many cells."""
+        out = Sketches(self.cells[texts])
+        for name in ("count", "keys", "checks"):
+            setattr(out, name, getattr(self, name).reshape(len(self.cells), -1)[texts].ravel())
+        return out
+
+    def spread(self) -> np.ndarray:
+        """An estimate of how many digests each difference holds, from the squares of the counts:
+        of digests dealt at random with a sign each, n + (sum * sum - n) / width are expected."""
+        if not len(self.count):
+            return np.zeros(len(self.cells))
+        squares = np.add.reduceat(self.count.astype(float) ** 2, self.start[:-1]) / TABLES
+        total = np.add.reduceat(self.count, self.start[:-1]) / TABLES
+        width = self.cells / TABLES
+        return np.maximum(squares - total * total / width, 0) / (1 - 1 / width) + np.abs(total)
 
     def minus(self, other: Sketches) -> Sketches:
         out = Sketches(self.cells)
         out.count = self.count - other.count
-        out.keys, out.checks = self.keys ^ other.keys, self.checks ^ other.checks
+        out.keys, out.checks = self.keys - other.keys, self.checks - other.checks
         return out
 
     def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -144,19 +216,20 @@ class Sketches:
         while len(active):
             one = np.abs(self.count[active]) == 1
             cells = active[one]
-            pure = cells[self.checks[cells] == _mixed(self.keys[cells], 7)]
+            factor = self.count[cells].astype(U)
+            pure = cells[self.checks[cells] * factor == _mixed(self.keys[cells] * factor, 7)]
             if not len(pure):
                 break
-            keys, owner, sign = self.keys[pure], owner_of[pure], self.count[pure]
-            order = np.lexsort((keys, owner))
-            keys, owner, sign = keys[order], owner[order], sign[order]
-            new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])])
+            owner, sign = owner_of[pure], self.count[pure]
+            keys = self.keys[pure] * sign.astype(U)
+            both = keys + owner.astype(U) * U(0x9E3779B97F4A7C15)  # a digest in several cells
+            order = np.argsort(both)
+            both = both[order]
+            new = order[np.concatenate([[True], both[1:] != both[:-1]])]
             keys, owner, sign = keys[new], owner[new], sign[new]
             for kept, part in zip(found, (keys, owner, sign)):
                 kept.append(part)
-            touched = np.unique(np.concatenate(self.places(keys, owner)))
-            self.add(keys, owner, -sign)
-            active = touched
+            active = np.concatenate(self.add(keys, owner, -sign))
         left = (self.count != 0) | (self.keys != 0) | (self.checks != 0)
         failed = np.zeros(len(self.cells), bool)
         failed[owner_of[left]] = True
@@ -170,45 +243,39 @@ class Sketches:
         return base64.b85encode(rows.astype("<u8").tobytes()).decode()
 
 
-def _subset(keys, owner, chosen):
-    """Digests of the chosen texts, renumbered."""
-    number = np.full(int(owner.max(initial=-1)) + 1, -1)
-    if len(number):
-        chosen_in = chosen[chosen < len(number)]
-        number[chosen_in] = np.nonzero(chosen < len(number))[0]
-        mine = number[owner] >= 0
-        return keys[mine], number[owner[mine]]
-    return keys, owner
-
-
 def sketched(keys, owner, n: int, cells: np.ndarray | int) -> Sketches:
     s = Sketches(np.full(n, cells) if np.isscalar(cells) else cells)
     s.add(keys, owner, 1)
     return s
 
 
-def differences(a, b, n: int, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
+def differences(a, b, n: int, first: Sketches | None = None) -> tuple[np.ndarray, np.ndarray]:
     """How many digests each two texts don't share, and how many tries that took.
 
-    ``a``, ``b``: digests and owners. Texts whose sketches don't peel are tried again with
-    ``GROWTH`` times the cells, which ends at the latest well above their number of digests.
+    ``a``, ``b``: digests and owners; ``first``: differences of their stored sketches. Texts whose
+    sketches don't peel are tried again with cells for twice as many digests as the failed
+    difference seems to hold, and at least twice as many cells as before, so tries end.
     """
     out, tries = np.zeros(n, np.int64), np.zeros(n, np.int64)
     open_ones = np.arange(n)
+    if first is None:
+        first = sketched(*a, n, CELLS).minus(sketched(*b, n, CELLS))
     while len(open_ones):
-        pa_, pb = _subset(*a, open_ones), _subset(*b, open_ones)
-        m = len(open_ones)
-        _, owner, _, good = sketched(*pa_, m, cells).minus(sketched(*pb, m, cells)).peel()
-        differing = np.bincount(owner, minlength=m)
+        wanted = np.maximum(2 * first.cells, 1.4 * ROOM * first.spread())
+        _, owner, _, good = first.peel()
+        differing = np.bincount(owner, minlength=len(open_ones))
         tries[open_ones] += 1
         out[open_ones[good]] = differing[good]
-        open_ones, cells = open_ones[~good], cells * GROWTH
+        open_ones = open_ones[~good]
+        cells = (TABLES * np.ceil(wanted[~good] / TABLES)).astype(np.int64)
+        pa_, pb = picked(*a, open_ones), picked(*b, open_ones)
+        first = sketched(*pa_, len(open_ones), cells).minus(sketched(*pb, len(open_ones), cells))
     return out, tries
 
 
-def likeness(a, b, n: int) -> tuple[np.ndarray, np.ndarray]:
+def likeness(a, b, n: int, first: Sketches | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Shared digests over all digests of each two texts, 1 for two without any."""
-    differ, tries = differences(a, b, n)
+    differ, tries = differences(a, b, n, first)
     both = np.bincount(a[1], minlength=n) + np.bincount(b[1], minlength=n)
     shared = (both - differ) / 2
     every = both - shared
@@ -221,51 +288,71 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
+def _part_of(cuts: list[int], heavy: dict[int, int], nulls: int):
+    """A function that numbers the part of a row by its id and text hash.
+
+    Parts hold the ids from one cut up to the next, downwards; the last one holds null ids too.
+    An id that fills several parts alone, and null if it does, is cut again by the hash."""
+    low_first = np.array(sorted(set(cuts)), np.int64)
+    each = max([nulls, *heavy.values()], default=0) + 1
+
+    @F.pandas_udf("long")
+    def part(doc_id: pd.Series, own: pd.Series) -> pd.Series:
+        none = doc_id.isna().to_numpy()
+        ids = doc_id.fillna(0).to_numpy().astype(np.int64)
+        at = np.where(none, len(low_first), len(low_first) - np.searchsorted(low_first, ids, side="right"))
+        share = (own.to_numpy().astype(np.float64) + 2.0**63) / 2.0**64
+        times = np.where(none, nulls, 0)
+        for i, n in heavy.items():
+            times[(ids == i) & ~none] = n
+        inner = np.where(times > 0, 1 + np.minimum(times - 1, (share * times).astype(np.int64)), 0)
+        return pd.Series(at * each + inner)
+
+    return part
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """``part, guest, doc_id, text`` in partitions, each sorted so that the row after a row is
     its next document by descending doc_id (null last; one id: by text hash).
 
-    The order is cut at as many ids as there are partitions. The first row of each cut goes to
-    the cut before too, as its guest, and the very first as guest to the last one.
+    The order is cut in some times as many parts as there are partitions. The first row of each
+    part goes to the part before too, as its guest, and the very first as guest to the last one.
     """
     spark = docs.sparkSession
     width = shuffle_width(spark)
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    rows = rows.withColumn("own", F.xxhash64("text"))
     shares = [k / (4 * width) for k in range(1, 4 * width)]
-    cuts = ids.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), F.lit(10_000))).first()[0]
-    cuts = sorted(set(cuts or []), reverse=True)  # bounded by the number of partitions
-    # Part 0 holds the ids from the first cut up, and so on downwards; null ids are in the last.
-    starts = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
-    part = F.coalesce(
-        F.aggregate(starts, F.lit(0), lambda n, c: n + (F.col("doc_id") < c).cast("int")),
-        F.lit(len(cuts)),
-    )
-    firsts = ids.withColumn("part", part).groupBy("part").agg(F.max("doc_id").alias("top")).collect()
+    said = rows.agg(
+        F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), F.lit(10_000)).alias("cuts"),
+        F.count_if(F.col("doc_id").isNull()).alias("nulls"), F.count(F.lit(1)).alias("n"),
+    ).first()
+    cuts = said["cuts"] or []  # bounded by the number of partitions
+    heavy = {i: n for i, n in Counter(cuts).items() if n > 1}
+    nulls = ceil(said["nulls"] * 4 * width / max(1, said["n"]))
+    part = _part_of(cuts, heavy, nulls if nulls > 1 else 0)
+    keyed = rows.withColumn("part", part("doc_id", "own"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("down"), "own"))
+    firsts = keyed.select("doc_id", "own", "part").groupBy("part").agg(first.alias("f")).collect()
     used = sorted(r["part"] for r in firsts)
     before = {p: used[i - 1] for i, p in enumerate(used)}  # the first's: the last
-    tops = [(r["top"], r["part"], before[r["part"]]) for r in firsts]
-    top = spark.createDataFrame(tops, "top long, of int, to int")  # a row for each part
-    keyed = rows.withColumn("part", part)
-    guests = keyed.join(
-        F.broadcast(top), keyed["doc_id"].eqNullSafe(top["top"]) & (keyed["part"] == top["of"])
-    )
-    # One guest: of rows with one id, the first in order.
-    first = F.min(F.struct(F.xxhash64("text"), "text", "doc_id")).alias("first")
-    guests = guests.groupBy(F.col("to").alias("part")).agg(first).select(
-        "part", F.lit(True).alias("guest"), "first.doc_id", "first.text"
-    )
-    own = keyed.select("part", F.lit(False).alias("guest"), "doc_id", "text")
+    tops = [
+        (None if r["f"]["none"] else -r["f"]["down"], r["f"]["own"], r["part"], before[r["part"]]) for r in firsts
+    ]
+    top = spark.createDataFrame(tops, "top long, hash long, of long, to long")  # a row for each part
+    same = keyed["doc_id"].eqNullSafe(top["top"]) & (keyed["own"] == top["hash"])
+    guests = keyed.join(F.broadcast(top), same & (keyed["part"] == top["of"]))
+    # One guest: of rows with one id and hash, the first text.
+    guests = guests.groupBy(F.col("to").alias("part")).agg(F.min(F.struct("text", "doc_id", "own")).alias("first"))
+    guests = guests.select("part", F.lit(True).alias("guest"), "first.doc_id", "first.text", "first.own")
+    own = keyed.select("part", F.lit(False).alias("guest"), "doc_id", "text", "own")
     dealt = own.unionByName(guests).repartition(2 * width, "part")
-    return dealt.sortWithinPartitions(
-        "part", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text"
-    )
+    in_order = dealt.sortWithinPartitions("part", "guest", F.col("doc_id").desc_nulls_last(), "own", "text")
+    return in_order.select("part", "guest", "doc_id", "text")
 
 
-def _pairs(batches, at_once: int = 2000, chars: int = 8_000_000):
+def _pairs(batches, at_once: int = 2000, chars: int = 1 << 17):
     """Lists of (doc_id, text, next text)."""
     out, size, last = [], 0, None
     for batch in batches:
@@ -298,10 +385,15 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
             n = len(rows)
             texts, following = [r[1] for r in rows], [r[2] for r in rows]
             edited = [edited_text(a, b) for a, b in zip(texts, following)]
-            own, changed, after = digests(texts), digests(edited), digests(following)
-            plain, other = sketched(*own, n, CELLS), sketched(*changed, n, CELLS)
-            near_edited, tries = likeness(own, changed, n)
-            near_next, more = likeness(own, after, n)
+            own_all = digests(texts + [t for k, t in enumerate(following) if k + 1 == n or t is not texts[k + 1]])
+            later = iter(range(n, 2 * n))
+            places = [k + 1 if k + 1 < n and t is texts[k + 1] else next(later) for k, t in enumerate(following)]
+            own, after = picked(*own_all, np.arange(n)), picked(*own_all, np.array(places))
+            changed = digests(edited)
+            every = sketched(*own_all, len(set(places) | set(range(n))), CELLS)
+            plain, other = every.of(np.arange(n)), sketched(*changed, n, CELLS)
+            near_edited, tries = likeness(own, changed, n, plain.minus(other))
+            near_next, more = likeness(own, after, n, plain.minus(every.of(np.array(places))))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.int64()),

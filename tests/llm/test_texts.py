@@ -6,6 +6,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -66,6 +67,49 @@ def test_texts_without_spaces_and_short_ones_share_pieces(text):
         assert len(a & b) / len(a | b) > 0.3
 
 
+def plain_pieces(text):
+    """The rule, code point by code point."""
+    m, out, start = 2**64 - 1, [], 0
+    for i, c in enumerate(text):
+        w = [ord(text[i - k]) if i >= k else 0 for k in range(4)]
+        h = (w[0] * 0x9E3779B97F4A7C15 ^ w[1] << 8 ^ w[2] << 29 ^ w[3] * 0xC2B2AE3D27D4EB4F) & m
+        chance = ((h ^ h >> 29) * 0xBF58476D1CE4E5B9 & m) >> 40
+        stop = ord(c) in sketches.ENDS and not (i + 1 < len(text) and ord(text[i + 1]) in sketches.ENDS)
+        word = ord(c) in sketches.SPACES and chance * 16 < 6 << 24
+        if c == "\n" or stop or word or chance * 64 >= 63 << 24 or i + 1 - start == 64:
+            out.append(text[start : i + 1].strip("\n"))
+            start = i + 1
+    return [p for p in [*out, text[start:].strip("\n")] if p]
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 700])
+def test_pieces_follow_the_rule(monkeypatch, chunk):
+    """Also where a text is cut in chunks."""
+    monkeypatch.setattr(sketches, "CHUNK", chunk)
+    rng = random.Random(chunk)
+    texts = [t for _, t, *_ in documents(None) if t] + [SPACELESS, "x" * 5000, "\n" * 2000, "a\n" * 900, "?!" * 800, "", "\0\0a"]
+    texts += ["".join(rng.choices("ab .\n，。é\U0001f600", k=3000)) for _ in range(5)]
+    for text in texts:
+        assert sketches.pieces(text) == plain_pieces(text)
+    a, b = sketches._pieces(texts), [sketches._pieces([t]) for t in texts]
+    for k in range(len(texts)):
+        mine = a[3] == k
+        order = np.argsort(a[0][mine], kind="stable")
+        assert (a[2][mine][order] == b[k][2]).all() and len(b[k][2]) == mine.sum()
+
+
+def test_likeness_does_not_jump_with_the_length():
+    """A few characters more, at any length: at least 0.8 of the share that is kept."""
+    rng = random.Random(3)
+    text, shares = prose(rng, 400), []
+    for n in range(20, 1200, 3):
+        more = "".join(rng.choices("abcdefgh ij", k=rng.randint(1, 30)))
+        a, b = counted(text[:n]), counted(text[:n] + more)
+        shares.append(len(a & b) / len(a | b) / (n / (n + len(more))))
+    assert sum(shares) / len(shares) >= 0.8
+    assert min(shares[60:]) > 0.5
+
+
 def test_sketches_of_odd_tables(spark):
     assert sketches.fingerprinted(empty(spark)).collect() == []
     (one,) = sketches.fingerprinted(frame(spark, [(1, "abcdef", None, None)])).collect()
@@ -75,6 +119,31 @@ def test_sketches_of_odd_tables(spark):
     assert len(got) == len(rows)
 
 
+def test_next_rows_where_ids_are_missing_or_shared(spark):
+    """Most rows have no id or one id; each still has the row after it as its next."""
+    rng = random.Random(7)
+    rows = [(rng.choice([None, None, 5, 5, 5, k]), f"text {k} " * rng.randint(1, 9), None, None) for k in range(400)]
+    df = sketches.with_next(frame(spark, rows))
+    parts = [list(p) for p in df.rdd.glom().collect()]
+    sizes = Counter(r.part for p in parts for r in p)
+    assert max(sizes.values()) < 60
+    following = {}
+    for part in parts:
+        for a, b in zip(part, part[1:]):
+            if a.part == b.part and not a.guest:
+                following[a.doc_id, a.text] = (b.doc_id, b.text)
+    at = start = (rows[0][0], rows[0][1])
+    seen = [at]
+    while (at := following[at]) != start:
+        seen.append(at)
+    assert len(seen) == len({r[:2] for r in rows})
+    ids = [d for d, _ in seen]
+    top = ids.index(max(d for d in ids if d is not None))
+    turned = ids[top:] + ids[:top]
+    known = [d for d in turned if d is not None]
+    assert known == sorted(known, reverse=True) and turned[len(known):] == [None] * (len(ids) - len(known))
+
+
 def test_peeling_finds_both_sides():
     a = np.arange(1, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     b = np.concatenate([a[5:], a[:3] ^ np.uint64(77)])
