@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tarnworks.operators import features as ft
 from tarnworks.plans.rates import WEEK, clicks
+from tarnworks.plans.texts import HEADS, MERGE, first_words, keyphrase_merge
 from tarnworks.session import fresh_folder
 from tarnworks.sources import graphs, lines, tables
 from tarnworks.sources.tables import table
@@ -119,30 +120,32 @@ def return_log(spark, d):
 
 
 def record_file(spark, d):
-    """Nested records written as one JSON list and read again."""
-    record = F.struct("n_nationkey", F.struct("n_name").alias("name"))
-    listed = table(spark, d, "nation").agg(F.to_json(F.collect_list(record)).alias("value"))  # 25 nations
-    folder = _written(listed, "records")
+    """Orders as nested records in files of one JSON list each, read again."""
+    folder = fresh_folder(spark, "records")
+    sale = F.struct("o_orderstatus", "o_totalprice", F.struct("o_custkey").alias("buyer")).alias("sale")
+    tables.write_records(table(spark, d, "orders").select("o_orderkey", sale), folder)
     found = tables.read_records(spark, folder)
-    return found.select("n_nationkey", F.col("name.n_name").alias("n_name"))
+    return found.select("o_orderkey", "sale.o_orderstatus", "sale.o_totalprice", "sale.buyer.o_custkey")
 
 
 def document_files(spark, d):
-    """Texts in one file each, read as documents."""
-    turns = table(spark, d, "nation").select(
-        F.col("n_nationkey").alias("doc_id"), F.concat_ws(" and ", "n_name", "n_name").alias("value")
-    )
+    """All texts in one file each, with a manifest, read as documents."""
     folder = fresh_folder(spark, "documents")
-    tables.write_by_document(turns, folder, folders=True)
-    found = tables.read_documents(spark, f"{folder}/*")
-    return found.select(F.trim(F.replace("text", F.lit("\n"), F.lit(""))).alias("text"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    manifest = tables.write_document_files(docs, folder)
+    found = tables.read_document_files(spark, folder).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return found.join(manifest.select(F.col("doc_id").cast("long").alias("doc_id"), "bytes"), "doc_id")
 
 
 def document_results(spark, d):
-    """First words of every document, written and read again."""
+    """First words and keyphrases of every document, written and read again."""
     folder = fresh_folder(spark, "results")
-    docs = table(spark, d, "documents")
-    tables.write_by_document(docs.select("doc_id", F.octet_length("text").alias("value")), folder)
+    phrases = keyphrase_merge(spark, d).groupBy("doc_id").agg(  # of one text
+        F.concat_ws("\n", F.sort_array(F.collect_list("phrase"))).alias("phrases")
+    )
+    heads = first_words(spark, d)
+    results = heads.join(phrases, "doc_id", "left").withColumn("phrases", F.coalesce("phrases", F.lit("")))
+    tables.write_by_document(results, folder)
     return spark.read.parquet(folder)
 
 
@@ -199,10 +202,12 @@ UNION ALL SELECT NULL, 1.5, '0:01:00'""",
   CASE WHEN c_nationkey % 3 > 0 THEN round(sum(c_acctbal), 2) END AS S1,
   CASE WHEN c_nationkey % 5 > 0 THEN 0.25::DOUBLE END AS S2 FROM customer GROUP BY c_nationkey""",
     ),
-    "record_file": (record_file, "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation"),
-    "document_files": (document_files, "SELECT n_name || ' and ' || n_name AS text FROM nation"),
+    "record_file": (record_file, "SELECT o_orderkey, o_orderstatus, o_totalprice, o_custkey FROM orders"),
+    "document_files": (document_files, "SELECT doc_id, text, strlen(text) AS bytes FROM documents"),
     "document_results": (
-        document_results, "SELECT doc_id, CAST(strlen(text) AS INTEGER) AS value FROM documents"
+        document_results,
+        f"""SELECT doc_id, head, coalesce(phrases, '') AS phrases FROM ({HEADS}) LEFT JOIN (
+  SELECT doc_id, string_agg(phrase, chr(10) ORDER BY phrase) AS phrases FROM ({MERGE}) GROUP BY doc_id) USING (doc_id)""",
     ),
     "click_files": (
         click_files,

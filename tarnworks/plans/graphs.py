@@ -50,6 +50,18 @@ def page_index(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def name_index(spark: SparkSession, d: str) -> DataFrame:
+    """Names of customers, suppliers and parts, but for each seventh supplier and fifth part,
+    which have none."""
+    kinds = [("customer", "c", "c_custkey", "c_name", "true"), ("supplier", "s", "s_suppkey", "s_name", "s_suppkey % 7 > 0"),
+             ("part", "p", "p_partkey", "p_name", "p_partkey % 5 > 0")]
+    named = [
+        table(spark, d, t).filter(known).select(F.concat(F.lit(mark), key).alias("id"), F.col(name).alias("name"))
+        for t, mark, key, name, known in kinds
+    ]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 def trade_topics(spark: SparkSession, d: str) -> DataFrame:
     """Ten topics of customers by segment, suppliers by nation and parts by size; the rest has
     none. Every customer stands there twice, as files with doubled rows have it."""
@@ -117,7 +129,7 @@ def top_mass(spark, d):
 
 def rank_name_join(spark, d):
     top = topk.top_ranked(_settled(_ranks(spark, d)), 200).select("id", "rank")
-    return _rounded(topk.name_top(top, page_index(spark, d)))
+    return _rounded(topk.name_top(top, name_index(spark, d)))
 
 
 def dangling_nodes(spark, d):
@@ -326,7 +338,10 @@ FROM (SELECT * FROM ranked ORDER BY rank DESC, id LIMIT 100)""",
     "rank_name_join": (
         rank_name_join,
         f"""{RANKED}, top AS (SELECT id, rank FROM ranked ORDER BY rank DESC, id LIMIT 200)
-SELECT round(rank, 9) AS rank, id || ' - ' || c_name AS label FROM top JOIN customer ON id = 'c' || c_custkey""",
+SELECT round(rank, 9) AS rank, id || ' - ' || name AS label FROM top JOIN (
+  SELECT 'c' || c_custkey AS id, c_name AS name FROM customer
+  UNION ALL SELECT 's' || s_suppkey, s_name FROM supplier WHERE s_suppkey % 7 > 0
+  UNION ALL SELECT 'p' || p_partkey, p_name FROM part WHERE p_partkey % 5 > 0) USING (id)""",
     ),
     "dangling_nodes": (
         dangling_nodes,

@@ -44,10 +44,20 @@ def read_returns(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON file holding a list of nested records."""
+    """JSON files each holding a list of nested records."""
     return spark.read.json(path, multiLine=True)
 
 
+def write_records(rows: DataFrame, path: str, per_file: int = 10_000) -> None:
+    """Rows as nested records in files of one JSON list each, of at most ``per_file`` records. A
+    list is made of rows that lie together, so nothing is gathered beyond one file."""
+    place = F.floor(F.monotonically_increasing_id() / per_file)
+    listed = rows.select(F.struct("*").alias("record"), place.alias("file")).groupBy("file").agg(
+        F.to_json(F.collect_list("record")).alias("value")
+    )
+    listed.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Every file of a folder as one document: ``doc_id`` (file name), ``text``."""
     raw = spark.read.text(path, wholetext=True)
@@ -57,16 +67,38 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_document_files(docs: DataFrame, path: str, folders: int = 256) -> DataFrame:
+    """One text file for each document (doc_id, text; ids differ), under ``folders`` folders by a
+    hash of the id. Returns the manifest ``doc_id, path, bytes``, which is stored beside them."""
+    dealt = docs.select(
+        F.pmod(F.xxhash64("doc_id"), F.lit(folders)).cast("int").alias("folder"),
+        "doc_id", F.coalesce("text", F.lit("")).alias("value"),
+    )
+    dealt.write.partitionBy("folder", "doc_id").text(f"{path}/files")
+    spark = docs.sparkSession
+    found = spark.read.format("binaryFile").load(f"{path}/files")
+    # The writer ends each text with a line end.
+    found.select("doc_id", "path", (F.col("length") - 1).alias("bytes")).write.parquet(f"{path}/manifest")
+    return spark.read.parquet(f"{path}/manifest")
+
+
+def read_document_files(spark: SparkSession, path: str) -> DataFrame:
+    """``doc_id, text`` of the files of ``write_document_files``, many small ones to a task."""
+    found = spark.read.format("binaryFile").load(f"{path}/files")
+    return found.select(
+        "doc_id", F.decode(F.substring("content", 1, (F.col("length") - 1).cast("int")), "UTF-8").alias("text")
+    )
+
+
 def from_values(spark: SparkSession, values: Iterable[float]) -> DataFrame:
     """One double column ``x`` from a small Python collection."""
     return spark.createDataFrame([(float(v),) for v in values], "x double")
 
 
 def write_by_document(results: DataFrame, path: str, folders: bool = False) -> None:
-    """Results of documents from ``doc_id, value``: one Parquet table, or on request one text
-    folder per document, which is for few documents only."""
-    rows = results.select("doc_id", "value")
+    """Results of documents (``doc_id`` and others): one Parquet table, or on request their
+    ``value`` in one text folder per document, which is for few documents only."""
     if folders:
-        rows.write.partitionBy("doc_id").text(path)
+        results.select("doc_id", "value").write.partitionBy("doc_id").text(path)
     else:
-        rows.write.parquet(path)
+        results.write.parquet(path)

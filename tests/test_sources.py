@@ -98,3 +98,21 @@ def test_week_numbers_follow_strftime(spark):
     df = spark.createDataFrame([(d,) for d in days], "d date")
     for r in df.select("d", cal.week_label(F.col("d")).alias("w")).collect():
         assert r.w == f"{r.d.year}_{int(r.d.strftime('%W')) + 1:02d}"
+
+
+def test_records_in_lists_of_bounded_size(spark, tmp_path):
+    rows = spark.range(25).select("id", F.struct((F.col("id") * 2).alias("twice")).alias("more")).repartition(2)
+    tables.write_records(rows, str(tmp_path / "r"), per_file=10)
+    files = [f for f in (tmp_path / "r").iterdir() if f.name.startswith("part")]
+    assert 3 <= len(files) <= 4 and all(f.read_text().startswith("[{") for f in files)
+    got = tables.read_records(spark, str(tmp_path / "r"))
+    assert sorted((r.id, r.more.twice) for r in got.collect()) == [(i, 2 * i) for i in range(25)]
+
+
+def test_documents_in_one_file_each(spark, tmp_path):
+    texts = {1: "one\ntwo\n", 2: "", 30: None, 4: "é" * 3000, 5: "\n"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    manifest = tables.write_document_files(docs, str(tmp_path / "d"), folders=3).collect()
+    assert {r.doc_id: r.bytes for r in manifest} == {k: len((t or "").encode()) for k, t in texts.items()}
+    got = {r.doc_id: r.text for r in tables.read_document_files(spark, str(tmp_path / "d")).collect()}
+    assert got == {k: t or "" for k, t in texts.items()}
