@@ -101,8 +101,8 @@ def pair_samples(
 
 def half_split(samples: DataFrame, label: str, order: list[str], seed: int = 0) -> DataFrame:
     """Mark a stratified half: ``train`` is true for half the rows of each label, picked
-    by hash."""
-    mixed = samples.withColumn("_mix", F.xxhash64(F.lit(seed), *order))
+    by the MD5 hash of ``seed`` and the columns in ``order``, joined by colons."""
+    mixed = samples.withColumn("_mix", F.md5(F.concat_ws(":", F.lit(seed), *order)))
     placed = positions(mixed, [label], ["_mix", *order], "_pos")
     sizes = samples.groupBy(label).agg(F.count(F.lit(1)).alias("_rows"))
     sizes = checkpoint(sizes.withColumn("_size", F.col("_rows")))

@@ -104,7 +104,8 @@ def linear_rank(spark, d):
 def ridge_rank(spark, d):
     halves = checkpoint(rk.half_split(samples(spark, d), "rel", ["qid", "pos"]))
     weights = rk.fit_ridge(halves.filter("train"))
-    return rk.ranking_quality(halves.filter("not train"), weights)
+    found = rk.ranking_quality(halves.filter("not train"), weights)
+    return found.select("block", F.round("tau", 9).alias("tau"))
 
 
 # --- SQL twins -------------------------------------------------------------------
@@ -122,6 +123,29 @@ SELECT a.block, round(sum(sign(a.score - b.score) * sign(a.label - b.label))
 FROM scored a JOIN scored b ON a.block = b.block AND a.id < b.id GROUP BY a.block"""
 
 
+# The normal equations of centred features, solved by elimination one column at a time.
+RIDGE_RANK = SAMPLES.replace("WITH", "WITH RECURSIVE", 1) + """,
+halves AS MATERIALIZED (SELECT *, 2 * (row_number() OVER (PARTITION BY rel ORDER BY md5('0:' || qid || ':' || pos), qid, pos) - 1)
+    < count(*) OVER (PARTITION BY rel) AS train FROM samples),
+cells AS MATERIALIZED (SELECT qid, pos, i, x - avg(x) OVER (PARTITION BY i) AS x, rel - avg(rel) OVER (PARTITION BY i) AS y
+  FROM (SELECT qid, pos, rel, unnest(fv) AS x, generate_subscripts(fv, 1) AS i FROM halves WHERE train)),
+gram AS (SELECT a.i, b.i AS j, sum(a.x * b.x) + CASE WHEN a.i = b.i THEN 1 ELSE 0 END AS g
+  FROM cells a JOIN cells b USING (qid, pos) GROUP BY a.i, b.i
+  UNION ALL SELECT i, 1000000, sum(x * y) FROM cells GROUP BY i),
+steps(k, i, r) AS (
+  SELECT 0, i, list(g ORDER BY j) FROM gram GROUP BY i
+  UNION ALL
+  SELECT a.k + 1, a.i, CASE WHEN a.i = a.k + 1 THEN list_transform(a.r, lambda x: x / a.r[a.k + 1])
+    ELSE list_transform(list_zip(a.r, p.r), lambda z: z[1] - a.r[a.k + 1] / p.r[a.k + 1] * z[2]) END
+  FROM steps a JOIN steps p ON p.i = a.k + 1 WHERE a.k < len(a.r) - 1),
+weights AS (SELECT list(r[-1] ORDER BY i) AS w FROM steps WHERE k = len(r) - 1),
+scored AS MATERIALIZED (SELECT qid AS block, list_dot_product(fv, w) AS score, rel AS label, pos AS id
+  FROM halves, weights WHERE NOT train)
+SELECT a.block, round(sum(sign(a.score - b.score) * sign(a.label - b.label))
+  / nullif(sqrt(CAST(sum(abs(sign(a.score - b.score))) AS DOUBLE) * sum(abs(sign(a.label - b.label)))), 0), 9) AS tau
+FROM scored a JOIN scored b ON a.block = b.block AND a.id < b.id GROUP BY a.block"""
+
+
 QUERIES = {
     "pair_samples": (
         pair_samples,
@@ -161,5 +185,5 @@ SELECT qid, pos, round(sum(v / i), 7) AS score, round(sqrt(sum(v * v)), 7) AS le
 round(fv[1], 6) AS first, round(fv[-1], 6) AS last FROM samples""",
     ),
     "linear_rank": (linear_rank, None),
-    "ridge_rank": (ridge_rank, None),
+    "ridge_rank": (ridge_rank, RIDGE_RANK),
 }
