@@ -49,10 +49,15 @@ def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
 
 
 def canonical(listed: DataFrame) -> DataFrame:
-    """``key, verdict, path_chars``: one row per entry; blocking wins where both are listed."""
+    """``key, verdict, path_chars``: one row per entry; blocking wins where both are listed.
+
+    Entries that fit no URL, with a ``/`` in the host or a path that begins otherwise, are left
+    out: joined to a key they would look like others.
+    """
     host = F.translate(F.coalesce("host", F.lit("")), UPPER, LOWER)
     path = F.coalesce("path", F.lit(""))
-    keyed = listed.select(F.concat(host, path).alias("key"), "verdict", F.length(path).alias("path_chars"))
+    sound = ~host.contains("/") & ((path == "") | path.startswith("/"))
+    keyed = listed.filter(sound).select(F.concat(host, path).alias("key"), "verdict", F.length(path).alias("path_chars"))
     return keyed.groupBy("key", "path_chars").agg(F.max("verdict").alias("verdict"))
 
 
@@ -89,9 +94,9 @@ def _spots(keys: list[str], lines: int) -> tuple[np.ndarray, np.ndarray]:
     return (low & np.uint64(lines - 1)).astype(np.int64), np.uint64(1) << bit
 
 
-def possible_keys(host: Column, path: Column, chars: list[int]) -> Column:
-    """Every ending of the host at a label, with the beginnings of the path."""
-    labels = F.split(host, "\\.")
+def possible_keys(host: Column, path: Column, chars: list[int], most: int) -> Column:
+    """The endings of the host at a label, of at most ``most`` labels, with the beginnings of the path."""
+    labels = F.split(F.substring_index(host, ".", -most), "\\.")
     n = F.size(labels)
     ends = F.transform(
         F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n - i + 1), ".")
@@ -113,7 +118,8 @@ def judged(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataF
     """
     spark = pages.sparkSession
     entries = checkpoint(canonical(listed))
-    n = entries.count()
+    in_host = F.size(F.split(F.substring_index("key", "/", 1), "\\."))  # a page's host has no /
+    n, most = entries.agg(F.count(F.lit(1)), F.coalesce(F.max(in_host), F.lit(1))).first()
     chars = sorted(r[0] for r in entries.select("path_chars").distinct().collect())  # path lengths
     sent = spark.sparkContext.broadcast(bloom(entries, n))
 
@@ -129,7 +135,7 @@ def judged(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataF
     url = F.col("url").cast("string")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"))
     urls = rows.filter(F.col("url").contains("://")).select("url").distinct()
-    keys = F.array_distinct(possible_keys(host_of(F.col("url")), path_of(F.col("url")), chars or [0]))
+    keys = F.array_distinct(possible_keys(host_of(F.col("url")), path_of(F.col("url")), chars or [0], most))
     asked = urls.select("url", keys.alias("keys")).mapInArrow(possible, "url string, key string")
     small = F.broadcast(entries) if n <= BROADCAST_ROWS else entries
     met = asked.join(small, "key")

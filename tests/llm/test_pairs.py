@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -255,3 +256,24 @@ def test_long_list_of_urls(spark):
     table = urls.bloom(urls.canonical(listed), 3000)
     line, words = urls._spots([f"g{i}" for i in range(20000)], len(table))
     assert ((table[line] & words) == words).all(axis=1).mean() < 0.02
+
+
+def test_host_of_many_labels(spark):
+    long = "a." * 100_000
+    rows = [(1, f"http://{long}example.org/es/x"), (2, f"http://{long}com/de/"), (3, f"http://{long}net/"), (4, "http://.com/de/")]
+    started = time.perf_counter()
+    got = urls.judged(spark.createDataFrame(rows, "page_id long, url string"), urls.rule_table(spark)).collect()
+    assert time.perf_counter() - started < 20
+    assert sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in got) == [
+        (i, *plain_verdict(u, urls.RULES)[:2], rule, verdict)
+        for (i, u), rule, verdict in zip(rows, ("example.org/es/", "com/de/", None, "com/de/"), ("block", "block", "allow", "block"))
+    ]
+
+
+def test_hosts_of_more_and_fewer_labels_than_listed(spark):
+    listed = [("block", "a.b.c.d", "/x.y"), ("block", "c.d", "/"), ("allow", "exa", "mple.org/")]
+    urls_of = ("z.a.b.c.d/x.y/q", "b.c.d/x.y", "y.c.d", "d/x.y", "z.z.z.z.z.d/", "example.org/", "..c.d/", "/p")
+    rows = [(i, f"http://{u}") for i, u in enumerate(urls_of)]
+    got = urls.judged(spark.createDataFrame(rows, "page_id long, url string"), urls.rule_table(spark, listed)).collect()
+    want = sorted((i, *plain_verdict(u, listed)) for i, u in rows)
+    assert sorted((r.page_id, r.host, r.path, r.verdict, r.rule) for r in got) == [(i, h, p, v, k) for i, h, p, k, v in want]
