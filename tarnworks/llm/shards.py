@@ -13,27 +13,46 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarnworks.llm.common import checkpoint
+from tarnworks.llm.common import checkpoint, shuffle_width
 
 SLOTS = 8192
 SHARDS = 40
 ROW_BYTES = 16  # that a row takes besides its text
+COPY_BLOCK = 1 << 16  # equal rows made by one task
 
 
-def slot_of(doc_id: Column, crc: Column, slots: int = SLOTS) -> Column:
-    """Copies of a text have other ids and so spread over the slots."""
-    return F.pmod(F.xxhash64(doc_id, crc), F.lit(slots)).cast("int")
+def slot_of(doc_id: Column, crc: Column, copy: Column, slots: int = SLOTS) -> Column:
+    """Copies of a text have other ids, or else numbers, and so spread over the slots."""
+    return F.pmod(F.xxhash64(doc_id, crc, copy), F.lit(slots)).cast("int")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """The rows, with equal ones numbered by ``copy`` from 0.
+
+    Equal rows are counted and made anew, as nothing tells them apart; a large number is cut
+    into blocks that several tasks make.
+    """
+    counted = checkpoint(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n")))
+    single = counted.filter("_n = 1").withColumn("copy", F.lit(0).cast("long")).drop("_n")
+    last_block = F.floor((F.col("_n") - 1) / F.lit(COPY_BLOCK)).cast("long")
+    blocks = counted.filter("_n > 1").withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+    blocks = blocks.repartition(shuffle_width(rows.sparkSession), *rows.columns, "_block")
+    start = F.col("_block") * COPY_BLOCK
+    end = F.least(start + (COPY_BLOCK - 1), F.col("_n") - 1)
+    copies = blocks.withColumn("copy", F.explode(F.sequence(start, end))).drop("_n", "_block")
+    return single.unionByName(copies)
 
 
 def measured(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """``doc_id, size, text_crc32, vslot``."""
+    """``doc_id, size, text_crc32, copy, vslot``."""
     text = F.col("text").cast("string")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(ROW_BYTES)).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
     )
-    return rows.withColumn("vslot", slot_of(F.col("doc_id"), F.col("text_crc32"), slots))
+    rows = numbered(rows)
+    return rows.withColumn("vslot", slot_of(F.col("doc_id"), F.col("text_crc32"), F.col("copy"), slots))
 
 
 @dataclass(frozen=True)
@@ -136,10 +155,11 @@ def sharded(
 
     Rows: ``doc_id, size, text_crc32, vslot, version, shard, slot``; ``slot`` numbers the rows
     of a shard from 0 without gaps, by virtual slot, then hash and id. ``size``: UTF-8 bytes of
-    the text (null: none) plus 16. A null text has the checksum of the empty one. Rows with one
-    id and text share a virtual slot. With ``before``, its map is edited; else a plain one is.
-    With ``folder``, the versions are stored there, and the rows are placed by the last one that
-    is read back. Empty tables give no rows; other columns aren't read.
+    the text (null: none) plus 16. A null text has the checksum of the empty one. Equal rows,
+    with or without id, are numbered and so spread over the virtual slots. With ``before``, its
+    map is edited; else a plain one is. With ``folder``, the versions are stored there, and the
+    rows are placed by the last one that is read back. Empty tables give no rows; other columns
+    aren't read.
     """
     rows = checkpoint(measured(docs, slots))
     spark = docs.sparkSession

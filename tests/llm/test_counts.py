@@ -108,6 +108,23 @@ def test_shards_are_whole_and_near_equal(spark):
     assert sorted(map(str, again.collect())) == sorted(map(str, got))
 
 
+def test_equal_rows_spread_over_the_shards(spark, monkeypatch):
+    monkeypatch.setattr(shards, "COPY_BLOCK", 700)  # several blocks
+    rows = [(None, "the same text", "en", "a")] * 3000 + [(7, "other", "en", "a")] * 1000
+    rows += [(i, f"text {i}", "en", "b") for i in range(100, 2100)]
+    df, _ = shards.sharded(frame(spark, rows))
+    got = df.collect()
+    assert sorted((str(r.doc_id), r.text_crc32) for r in got) == sorted((str(d), zlib.crc32(t.encode())) for d, t, *_ in rows)
+    totals, places = defaultdict(int), defaultdict(list)
+    for r in got:
+        totals[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert len(totals) == 40 and max(totals.values()) - min(totals.values()) <= 64
+    assert all(sorted(v) == list(range(len(v))) for v in places.values())
+    again, _ = shards.sharded(frame(spark, rows).repartition(5))
+    assert sorted(map(str, again.collect())) == sorted(map(str, got))
+
+
 def test_one_more_shard_moves_few_slots(spark, tmp_path):
     sizes = {s: 100 + s % 37 for s in range(shards.SLOTS)}
     first = shards.SlotMap.first().edited(sizes, 40)
