@@ -62,7 +62,8 @@ def held_out(doc_id: Column) -> Column:
 def fit_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """``text, toxic``: labelled rows outside the held-out fold, each text once, at most ``rows``.
 
-    A document labelled both ways is toxic. The rows are those with the smallest hashes.
+    A document labelled both ways is toxic. The rows are those with the smallest hashes, of their
+    ids and then, where ids are shared by several texts, of the texts.
     """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     marked = marked.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -73,7 +74,11 @@ def fit_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFr
     each = met.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
     each = each.agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
     part = F.pmod(F.crc32(F.col("h").cast("binary")), F.lit(PARTS)).cast("int").alias("part")
-    return checkpoint(each.select("text", "toxic", part))
+    found = checkpoint(each.select("h", "text", "toxic", part))
+    if found.count() > rows:
+        last = found.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+        found = checkpoint(found.filter(F.col("h") <= last))
+    return found.drop("h")
 
 
 def feature_counts(fit: DataFrame) -> np.ndarray:
