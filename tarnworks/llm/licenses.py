@@ -14,6 +14,7 @@ import re
 from dataclasses import dataclass
 from itertools import product
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -247,7 +248,8 @@ class Scanner:
         present = {k for k in self.keys if k in joined}
         if not present:
             return len(words), [], []
-        word_at = lambda offset: joined.count(b" ", 0, offset)
+        spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+        word_at = lambda offset: int(np.searchsorted(spaces, offset))
         base = []
         for pattern, label in self.base:
             at = pattern.search(joined)
@@ -267,23 +269,24 @@ class Scanner:
 def outermost(found: list[tuple]) -> list[tuple]:
     """Detections, in their order, that don't lie within one kept before.
 
-    Kept ones that lie within another are never needed to judge a later one, so only the
-    outermost are held, sorted by start and thereby by end.
+    A tree over the starts holds the farthest end of the detections kept, so each is judged in
+    the logarithm of their number.
     """
-    from bisect import bisect_right
-
-    kept, starts, ends = [], [], []
+    place = {a: i for i, a in enumerate(sorted({f[1] for f in found}), 1)}
+    farthest = [-1] * (len(place) + 1)
+    kept = []
     for f in found:
-        a, b = f[1], f[2]
-        k = bisect_right(starts, a) - 1
-        if k >= 0 and ends[k] >= b:
+        at, b = place[f[1]], f[2]
+        reach, i = -1, at
+        while i:  # the kept ones that start here or before
+            reach = max(reach, farthest[i])
+            i &= i - 1
+        if reach >= b:
             continue
         kept.append(f)
-        to = k + 1
-        while to < len(starts) and ends[to] <= b:
-            to += 1
-        at = k if k >= 0 and starts[k] == a else k + 1
-        starts[at:to], ends[at:to] = [a], [b]
+        while at < len(farthest):
+            farthest[at] = max(farthest[at], b)
+            at += at & -at
     return kept
 
 

@@ -221,6 +221,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.scored(empty(spark), model).collect() == []
 
 
+def test_fit_is_bounded_where_an_id_has_many_texts(spark):
+    docs = [(1, f"text {i}", "en", "a") for i in range(500)] + [(i, f"own {i}", "en", "a") for i in range(2, 40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, toxic int")
+    got = toxicity.fit_rows(frame(spark, docs), labels, 100).collect()
+    assert len(got) == 100 == len({r.text for r in got})
+    again = toxicity.fit_rows(frame(spark, docs).repartition(5), labels, 100).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    assert got[0].asDict().keys() == {"text", "toxic", "part"}
+
+
 def test_toxicity_without_labels(spark):
     docs, _ = toxic_rows(50)
     none = spark.createDataFrame([], "doc_id long, toxic int")
@@ -246,6 +256,15 @@ LICENSED = [
 ]
 
 
+def test_licence_places_of_a_long_text_take_linear_time():
+    scanner = licenses.Scanner(licenses.rules())
+    started = time.perf_counter()
+    n, base, found = scanner.scan("mit license " * 100_000)
+    assert time.perf_counter() - started < 60
+    assert n == 200_000 and [w for w, _ in base] == list(range(0, n, 2))
+    assert all(0 <= a < b <= n for a, b, *_ in found)
+
+
 def test_license_places(spark):
     got = {r.doc_id: r for r in licenses.scanned(frame(spark, LICENSED)).collect()}
     for d, text, *_ in LICENSED:
