@@ -1,7 +1,9 @@
 """Click-through rates by week and by user, and their trends.
 
 Tables: ``emails`` (user_id, email_id, article_id, week_num), ``clicks`` (user_id,
-article_id, week_num, status), ``articles`` (article_id and category id columns).
+article_id, week_num, status), ``articles`` (article_id and category id columns). The rates
+start from counts of both kinds, made in one pass over one table of events: see ``tagged``,
+``facts_by_week`` and ``facts_by_link``.
 """
 
 from __future__ import annotations
@@ -11,25 +13,57 @@ from pyspark.sql import functions as F
 
 from tarnworks.functions.calendar import week_number
 from tarnworks.operators.scale import HOT_ROWS, positions
+from tarnworks.session import checkpoint
 
 MIN_SENT = 10
 WINDOW = 5
+KEYS = ("user_id", "email_id", "article_id")
 
 
-def weekly_counts(
-    facts: DataFrame, articles: DataFrame, categories: DataFrame, by: str, name: str
+def tagged(emails: DataFrame, clicks: DataFrame, *columns: str) -> DataFrame:
+    """Links sent and clicks as rows of one table: ``kind`` is ``sent`` or ``click``."""
+    sent = emails.select(*columns, F.lit("sent").alias("kind"), F.lit(None).cast("int").alias("status"))
+    clicked = clicks.select(
+        *[F.col(c) if c in clicks.columns else F.lit(None).alias(c) for c in columns],
+        F.lit("click").alias("kind"), "status",
+    )
+    return sent.unionByName(clicked)
+
+
+def facts_by_week(events: DataFrame) -> DataFrame:
+    """``week_num, article_id, n_send, n_click`` in one pass over events of all kinds."""
+    return events.groupBy("week_num", "article_id").agg(
+        F.count_if(F.col("kind") == "sent").alias("n_send"),
+        F.count_if(F.col("kind") == "click").alias("n_click"),
+    )
+
+
+def facts_by_link(events: DataFrame) -> DataFrame:
+    """``user_id, email_id, article_id, kind, n, good`` in one pass over events of all kinds;
+    ``good`` counts those with a status above 0."""
+    return events.groupBy(*KEYS, "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") > 0).alias("good")
+    )
+
+
+def rates_by_week(
+    facts: DataFrame,
+    articles: DataFrame,
+    categories: DataFrame,
+    by: str = "topic_id",
+    min_sent: int = MIN_SENT,
 ) -> DataFrame:
-    """Rows per week and category name. ``by`` is the category id column that
-    ``articles`` and ``categories`` share.
+    """``week, category, n_send, n_click, rate`` for groups with enough sends.
 
-    Facts are counted per week and article first, so a popular article meets the
-    joins as one row per week.
+    ``facts`` comes from ``facts_by_week``, so a popular article meets the joins as one row
+    per week. ``by`` is the category id column that ``articles`` and ``categories`` share.
     """
-    counted = facts.groupBy("week_num", "article_id").agg(F.count(F.lit(1)).alias("n"))
-    named = counted.join(articles.select("article_id", by), "article_id").join(categories, by)
-    return named.groupBy(F.col("week_num").alias("week"), F.col("name").alias("category")).agg(
-        F.sum("n").alias(name)
+    named = facts.join(articles.select("article_id", by), "article_id").join(categories, by)
+    counted = named.groupBy(F.col("week_num").alias("week"), F.col("name").alias("category")).agg(
+        F.sum("n_send").alias("n_send"), F.sum("n_click").alias("n_click")
     )
+    rate = F.try_divide(F.col("n_click").cast("double"), "n_send")
+    return counted.filter(F.col("n_send") >= max(min_sent, 1)).withColumn("rate", rate)
 
 
 def weekly_rate(
@@ -40,17 +74,9 @@ def weekly_rate(
     by: str = "topic_id",
     min_sent: int = MIN_SENT,
 ) -> DataFrame:
-    """``week, category, n_send, n_click, rate`` for groups with enough sends."""
-    sent = weekly_counts(emails, articles, categories, by, "n_send")
-    clicked = weekly_counts(clicks, articles, categories, by, "n_click")
-    rated = sent.filter(F.col("n_send") >= min_sent).join(clicked, ["week", "category"], "left")
-    return rated.na.fill({"n_click": 0}).select(
-        "week",
-        "category",
-        "n_send",
-        "n_click",
-        F.try_divide(F.col("n_click").cast("double"), "n_send").alias("rate"),
-    )
+    """``rates_by_week`` where links sent and clicks are tables of their own."""
+    facts = facts_by_week(tagged(emails, clicks, "week_num", "article_id"))
+    return rates_by_week(facts, articles, categories, by, min_sent)
 
 
 def slope(y: Column, x: Column) -> Column:
@@ -89,24 +115,21 @@ def category_rates(rates: DataFrame, category: str) -> DataFrame:
     return rates.filter(F.col("category") == category).orderBy("week")
 
 
-def email_rates(
-    emails: DataFrame,
-    clicks: DataFrame,
+def rates_by_email(
+    facts: DataFrame,
     articles: DataFrame,
     by: str = "topic_id",
     dedupe_clicks: bool = False,
 ) -> DataFrame:
     """Sends, clicks and rate per user, email and category.
 
-    A link clicked several times counts as sent that many times, unless
-    ``dedupe_clicks``. Both sides are counted before they meet, so repeated rows are
-    multiplied out as numbers rather than as rows.
+    ``facts`` comes from ``facts_by_link``. A link clicked several times counts as sent
+    that many times, unless ``dedupe_clicks``. Both sides are counted before they meet,
+    so repeated rows are multiplied out as numbers rather than as rows.
     """
-    sent = emails.groupBy("user_id", "email_id", "article_id").agg(
-        F.count(F.lit(1)).alias("sends")
-    )
-    hits = clicks.groupBy("user_id", "article_id").agg(
-        F.count(F.lit(1)).alias("hits"), F.count_if(F.col("status") > 0).alias("good")
+    sent = facts.filter("kind = 'sent'").select(*KEYS, F.col("n").alias("sends"))
+    hits = facts.filter("kind = 'click'").groupBy("user_id", "article_id").agg(
+        F.sum("n").alias("hits"), F.sum("good").alias("good")
     )
     hit = F.coalesce("hits", F.lit(0))
     good = F.coalesce("good", F.lit(0))
@@ -126,6 +149,17 @@ def email_rates(
     )
 
 
+def email_rates(
+    emails: DataFrame,
+    clicks: DataFrame,
+    articles: DataFrame,
+    by: str = "topic_id",
+    dedupe_clicks: bool = False,
+) -> DataFrame:
+    """``rates_by_email`` where links sent and clicks are tables of their own."""
+    return rates_by_email(facts_by_link(tagged(emails, clicks, *KEYS)), articles, by, dedupe_clicks)
+
+
 def email_positions(rates: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """0-based position of each email among the emails of its user."""
     emails = rates.select("user_id", "email_id").distinct()
@@ -155,9 +189,8 @@ def forward_mean(
     return means.join(lengths, length_keys).filter(F.col("idx") < room).drop("n")
 
 
-def user_trend(
-    emails: DataFrame,
-    clicks: DataFrame,
+def trend_by_user(
+    facts: DataFrame,
     articles: DataFrame,
     by: str = "topic_id",
     window: int = WINDOW,
@@ -166,8 +199,8 @@ def user_trend(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Slope of the smoothed click rate per user and category, for all users at once;
-    null where fewer than two smoothed points exist."""
-    rates = email_rates(emails, clicks, articles, by, dedupe_clicks)
+    null where fewer than two smoothed points exist. ``facts`` comes from ``facts_by_link``."""
+    rates = checkpoint(rates_by_email(facts, articles, by, dedupe_clicks))
     places = email_positions(rates, hot_rows)
     lengths = places.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     series = rates.join(places, ["user_id", "email_id"])
@@ -183,6 +216,11 @@ def user_trend(
     return every.join(slopes, ["user_id", "category"], "left")
 
 
+def user_trend(emails: DataFrame, clicks: DataFrame, articles: DataFrame, **options) -> DataFrame:
+    """``trend_by_user`` where links sent and clicks are tables of their own."""
+    return trend_by_user(facts_by_link(tagged(emails, clicks, *KEYS)), articles, **options)
+
+
 def name_user_trend(trend: DataFrame, categories: DataFrame, users: DataFrame, by: str) -> DataFrame:
     """Moving categories of each user with names and the user's address."""
     named = categories.select(F.col(by).alias("category"), "name")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tarnworks.functions.calendar import week_label, week_number
 from tarnworks.operators import rates as r
+from tarnworks.session import checkpoint
 from tarnworks.sources.lines import add_week, parse_clicks
 from tarnworks.sources.tables import table
 
@@ -42,8 +43,29 @@ def clicks(spark, d) -> DataFrame:
     )
 
 
-def articles(spark, d) -> DataFrame:
-    known = _events(spark, d).select("article_id").distinct()
+def _kinds(spark, d) -> DataFrame:
+    """Events of all kinds, so that articles and users can be told from their counts."""
+    kind = F.col("event_type")
+    return _events(spark, d).select(
+        "user_id",
+        F.when(kind == "view", F.date_format("ts", "yyyyMMdd").cast("int")).alias("email_id"),
+        "article_id",
+        week_label(F.col("ts")).alias("week_num"),
+        F.when(kind == "view", "sent").otherwise(kind).alias("kind"),
+        F.when(F.col("value") < 5, 0).otherwise(200).alias("status"),
+    )
+
+
+def week_facts(spark, d) -> DataFrame:
+    return checkpoint(r.facts_by_week(_kinds(spark, d)))
+
+
+def link_facts(spark, d) -> DataFrame:
+    return checkpoint(r.facts_by_link(_kinds(spark, d)))
+
+
+def articles(facts: DataFrame) -> DataFrame:
+    known = facts.select("article_id").distinct()
     return known.select(
         "article_id",
         (F.col("article_id") * 7 % 50).alias("author_id"),
@@ -52,24 +74,25 @@ def articles(spark, d) -> DataFrame:
     )
 
 
-def topics(spark, d) -> DataFrame:
-    known = articles(spark, d).select("topic_id").distinct()
+def topics(facts: DataFrame) -> DataFrame:
+    known = articles(facts).select("topic_id").distinct()
     return known.withColumn("name", F.concat(F.lit("topic "), "topic_id"))
 
 
-def types(spark, d) -> DataFrame:
-    known = articles(spark, d).select("type_id").distinct()
+def types(facts: DataFrame) -> DataFrame:
+    known = articles(facts).select("type_id").distinct()
     return known.withColumn("name", F.concat(F.lit("type "), "type_id"))
 
 
-def users(spark, d) -> DataFrame:
-    known = table(spark, d, "events").select("user_id").distinct()
+def users(facts: DataFrame) -> DataFrame:
+    known = facts.select("user_id").distinct()
     return known.withColumn("email", F.concat(F.lit("u"), "user_id", F.lit("@example.org")))
 
 
 def _weekly(spark, d, by: str) -> DataFrame:
-    names = topics(spark, d) if by == "topic_id" else types(spark, d)
-    return r.weekly_rate(emails(spark, d), clicks(spark, d), articles(spark, d), names, by)
+    facts = week_facts(spark, d)
+    names = topics(facts) if by == "topic_id" else types(facts)
+    return r.rates_by_week(facts, articles(facts), names, by)
 
 
 def weekly_rate(spark, d):
@@ -109,7 +132,8 @@ def category_rates(spark, d):
 
 
 def email_rates(spark, d):
-    rates = r.email_rates(emails(spark, d), clicks(spark, d), articles(spark, d))
+    facts = link_facts(spark, d)
+    rates = r.rates_by_email(facts, articles(facts))
     return rates.withColumn("rate", F.round("rate", 9))
 
 
@@ -117,22 +141,21 @@ def email_positions(spark, d):
     return r.email_positions(emails(spark, d))
 
 
-def _user_trend(spark, d, **options) -> DataFrame:
-    return r.user_trend(emails(spark, d), clicks(spark, d), articles(spark, d), **options)
+def _user_trend(facts: DataFrame, **options) -> DataFrame:
+    return r.trend_by_user(facts, articles(facts), **options).withColumn("slope", F.round("slope", 7))
 
 
 def user_trend(spark, d):
-    return _user_trend(spark, d).withColumn("slope", F.round("slope", 7))
+    return _user_trend(link_facts(spark, d))
 
 
 def user_trend_options(spark, d):
-    trend = _user_trend(spark, d, include_last=True, dedupe_clicks=True)
-    return trend.withColumn("slope", F.round("slope", 7))
+    return _user_trend(link_facts(spark, d), include_last=True, dedupe_clicks=True)
 
 
 def user_trend_named(spark, d):
-    trend = user_trend(spark, d)
-    return r.name_user_trend(trend, topics(spark, d), users(spark, d), "topic_id")
+    facts = link_facts(spark, d)
+    return r.name_user_trend(_user_trend(facts), topics(facts), users(facts), "topic_id")
 
 
 def user_top_changes(spark, d):
@@ -144,7 +167,7 @@ def check_sent_once(spark, d):
 
 
 def check_author_clicks(spark, d):
-    return r.author_clicks(clicks(spark, d), articles(spark, d))
+    return r.author_clicks(clicks(spark, d), articles(_events(spark, d)))
 
 
 def check_status(spark, d):

@@ -11,6 +11,7 @@ from tarnworks.operators import queueing as q
 from tarnworks.operators import ranking as rk
 from tarnworks.operators import rates as r
 from tarnworks.operators import series as s
+from tarnworks.plans import rates as plans
 
 
 def _moving_average(a, n, last=False):
@@ -49,6 +50,16 @@ def test_user_trend_repeats_clicked_links(spark):
     assert trend == {1: pytest.approx(0.0), 2: pytest.approx(0.0)}
 
 
+def test_click_reports_read_the_events_once(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    reads, table = [], plans.table
+    monkeypatch.setattr(plans, "table", lambda s, d, name: reads.append(name) or table(s, d, name))
+    for query in ("weekly_rate", "weekly_rate_by_type", "rate_trend", "most_rising", "email_rates", "user_trend", "user_trend_named"):
+        reads.clear()
+        plan = getattr(plans, query)(spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert reads == ["events"] and "FileScan parquet" not in plan, query
+
+
 def test_weekly_rate_and_trend(spark):
     articles = spark.createDataFrame([(1, 9, 1), (2, 9, 2)], "article_id int, author_id int, topic_id int")
     topics = spark.createDataFrame([(1, "tax"), (2, "audit")], "topic_id int, name string")
