@@ -1,5 +1,6 @@
 """Fingerprints, toxicity, licences and pieces against plain Python."""
 
+import dataclasses
 import hashlib
 import math
 import random
@@ -172,6 +173,31 @@ def plain_segments(s, base=0):
     return [*plain_segments(s[:i], base), (base + i, base + j, total), *plain_segments(s[j:], base + j)]
 
 
+def test_versions_of_licences():
+    scanner = licenses.Scanner(licenses.rules())
+    for text, versions in (
+        ("under the GPLv3 or the GNU General Public License, version 2", {"gpl-3.0", "gpl-2.0"}),
+        ("3-clause BSD, BSD License 2 Clause", {"bsd-3-clause", "bsd-2-clause"}), ("CC0 1.0 Universal", {"cc0-1.0"}),
+        ("SPDX-License-Identifier: LPPL-1.3c", {"lppl-1.3c"}), ("MIT/X11 License", set()), ("CC BY-SA 4.0", {"cc-by-sa-4.0"}),
+        ("Apache License, Version 2.0", {"apache-2.0"}), ("PHP License 3.01", {"php-3.01"}), ("GPL", set()),
+    ):
+        assert {f[4] for f in scanner.scan(text)[2]} - {None} == versions, text
+
+
+def test_keywords_hide_no_rule():
+    """With and without the keywords the same detections, for each rule's own words too."""
+    gated = licenses.Scanner(licenses.rules())
+    free = licenses.Scanner([dataclasses.replace(r, keywords=()) for r in licenses.rules()])
+    texts = [text for line in NAMED.split("\n") for text in line.split(": ", 1)[1].split("|")]
+    for label, name, versions, spdx, _ in licenses.FAMILIES:
+        plain = re.sub(r"\(\?:([^|()]*)[^()]*\)\??", r"\1", name).replace(" ?", " ").replace("\\w*", "")
+        texts += [f"{plain} license version {v}" for v in versions] + [f"license {plain}", f"spdx license identifier {spdx.format(versions[0])}"]
+    texts += [wording for _, wording, *_ in licenses.SINGLE]
+    for text in texts:
+        assert gated.scan(text) == free.scan(text), text
+        assert gated.scan(f"submit {text} here") == free.scan(f"submit {text} here"), text
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(-40, 40).map(lambda x: x + 0.5), max_size=14))
 def test_segments_against_all_spans(scores):
