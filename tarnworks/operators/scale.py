@@ -13,6 +13,8 @@ from tarnworks.session import checkpoint, shuffle_width
 HOT_ROWS = 1_000_000
 # Most rows that are ever broadcast by hand.
 BROADCAST_ROWS = 100_000
+# Groups of keys that are split alike in a salted join.
+SALT_BUCKETS = 65_536
 
 
 # Partitions per shuffle partition where single rows may be costly.
@@ -29,8 +31,8 @@ def hot_entries(lookup: DataFrame, size: str, hot_rows: int = HOT_ROWS) -> DataF
     """Entries of ``lookup`` whose key holds more than ``hot_rows`` rows, None if there
     are none.
 
-    At most ``BROADCAST_ROWS`` entries, so the result may be broadcast; keys left
-    out are merely joined the ordinary way. ``lookup`` should be checkpointed.
+    At most ``BROADCAST_ROWS`` entries, the largest, so the result may be broadcast.
+    ``lookup`` should be checkpointed.
     """
     hot = lookup.filter(F.col(size) > hot_rows)
     if hot.isEmpty():
@@ -47,8 +49,9 @@ def join_lookup(
 ) -> DataFrame:
     """Inner join of ``facts`` with a lookup that has one row per key.
 
-    ``lookup[size]`` is the number of fact rows of the key. Rows of hot keys meet
-    a broadcast of the few hot entries where they lie; all others are shuffled.
+    ``lookup[size]`` is the number of fact rows of the key. Rows of the largest hot keys meet
+    a broadcast of their few entries where they lie. Hot keys beyond ``BROADCAST_ROWS`` are
+    split by a salted join; all other rows are shuffled by key.
     ``facts`` and ``lookup`` may be used more than once: have them checkpointed.
     """
     hot = hot_entries(lookup, size, hot_rows)
@@ -56,8 +59,37 @@ def join_lookup(
     if hot is None:
         return facts.join(rest, keys)
     hot_keys = F.broadcast(hot.select(*keys))
-    cold = facts.join(hot_keys, keys, "left_anti").join(rest, keys)
-    return facts.join(F.broadcast(hot.drop(size)), keys).unionByName(cold)
+    cold = facts.join(hot_keys, keys, "left_anti")
+    if hot.count() < BROADCAST_ROWS:
+        met = cold.join(rest, keys)
+    else:
+        met = salted_join(cold, lookup.join(hot_keys, keys, "left_anti"), keys, size, hot_rows)
+    return facts.join(F.broadcast(hot.drop(size)), keys).unionByName(met)
+
+
+def salted_join(
+    facts: DataFrame, lookup: DataFrame, keys: list[str], size: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``join_lookup`` for any number of hot keys.
+
+    Keys are hashed into ``SALT_BUCKETS`` buckets. A bucket has as many salts as its largest key
+    has ``hot_rows`` rows, rounded up; that table is small however many keys are hot, so both
+    sides get it by broadcast. A fact's salt follows from its own columns, a lookup row is copied
+    once for each salt. Keys are compared by their text form: use whole numbers or strings.
+    """
+    bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(SALT_BUCKETS))
+    salts = F.ceil(F.max(size) / hot_rows).cast("int")
+    many = checkpoint(lookup.groupBy(bucket.alias("_bucket")).agg(salts.alias("_salts")).filter("_salts > 1"))
+
+    def told(df: DataFrame) -> DataFrame:
+        met = df.withColumn("_bucket", bucket).join(F.broadcast(many), "_bucket", "left").drop("_bucket")
+        return met.withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+
+    salt = F.pmod(F.xxhash64(*facts.columns), F.col("_salts")).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
+    left = told(facts).withColumn("_salt", salt).drop("_salts")
+    right = told(lookup.drop(size)).withColumn("_salt", copies).drop("_salts")
+    return left.join(right, [*keys, "_salt"]).drop("_salt")
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
