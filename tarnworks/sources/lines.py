@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnworks.functions.calendar import week_label
 from tarnworks.functions.text import sentence_tokens
+from tarnworks.functions.vectors import bind, once
 
 # Fixed value: the request line of a click in the access log.
 CLICK_LINE = (
@@ -81,18 +82,17 @@ def parse_games(records: DataFrame) -> DataFrame:
     """Game records (``value`` = one game) as ``white, black, tags``. The tags are the lines
     before the first that is none, so moves and their comments hold no tags; of a tag that
     stands there twice the last counts."""
-    head = F.regexp_extract("value", GAME_HEAD, 0)
-    names = F.regexp_extract_all(head, F.lit(GAME_TAG), F.lit(1))
-    values = F.regexp_extract_all(head, F.lit(GAME_TAG), F.lit(2))
-    found = records.select(*records.columns, names.alias("_names"), values.alias("_values"))
-    pairs = F.transform(
-        "_names", lambda name, i: F.struct(name.alias("name"), F.get("_values", i).alias("value"), i.alias("at"))
-    )
-    lasts = F.filter(
-        pairs, lambda p: ~F.exists(pairs, lambda q: (q["name"] == p["name"]) & (q["at"] > p["at"]))
-    )
-    entries = F.transform(lasts, lambda p: F.struct(p["name"], p["value"]))
-    tags = found.select(*records.columns, F.map_from_entries(entries).alias("all"))
+    found = bind(F.regexp_extract("value", GAME_HEAD, 0), lambda head: F.struct(
+        F.reverse(F.regexp_extract_all(head, F.lit(GAME_TAG), F.lit(1))).alias("names"),
+        F.reverse(F.regexp_extract_all(head, F.lit(GAME_TAG), F.lit(2))).alias("values"),
+    ))
+
+    def last_values(tags: Column) -> Column:
+        at = lambda name: F.array_position(tags["names"], name).cast("int") - 1
+        names = F.reverse(F.array_distinct(tags["names"]))
+        return F.map_from_entries(F.transform(names, lambda name: F.struct(name, F.get(tags["values"], at(name)))))
+
+    tags = records.select(*records.columns, once(bind(found, last_values)).alias("all"))
     return tags.filter("all['White'] is not null and all['Black'] is not null").select(
         *[c for c in records.columns if c != "value"],
         F.col("all")["White"].alias("white"),
