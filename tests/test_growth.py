@@ -1,7 +1,11 @@
 """Work that grew faster than its input: each test looks at what a mended step does."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from tarnworks.functions.distances import matrices, pair_blocks
+from tarnworks.operators import summaries as sm
+from tarnworks.operators import units as un
 from tarnworks.sources.lines import parse_games
 
 
@@ -15,3 +19,35 @@ def test_games_are_parsed_once(spark):
     games = parse_games(spark.createDataFrame([(text,), ("[White \"a\"]\n",), (None,), ("",)], "value string"))
     assert [(r.white, r.black, r.tags) for r in games.collect()] == [("c", "b", {"Date": "1"})]
     assert _plan(games.select("white", F.col("tags")["Date"])).count("regexp_extract_all(") == 2
+
+
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_distances_of_all_lengths():
+    sizes = [0, 1, 3, 8, 60, 63, 64, 65, 127, 128, 129, 200, 300]
+    units = ["".join("abcdé漢😀 "[(i * i + k * 7 + i // (k + 1)) % 8] for i in range(n)) for k, n in enumerate(sizes * 2)]
+    want = np.array([[_edits(a, b) for b in units] for a in units])
+    assert (matrices([units, units[:1], units[3:5]])[0] == want).all()
+    assert (pair_blocks([(units[:9], units[5:]), (units[2:3], units[:4])])[0] == want[:9, 5:]).all()
+    few = ["ab" * 3000, "ba" * 2500 + "c", ""]  # one whole number each
+    assert matrices([few])[0].tolist() == [[0, 1000, 6000], [1000, 0, 5001], [6000, 5001, 0]]
+
+
+def test_distances_are_measured_in_batches(spark):
+    """Not by one expression for each pair; ranks of a document are asked for once."""
+    docs = spark.createDataFrame([(1, ["ab", "cd", "abc"])], "doc_id int, units array<string>")
+    for df in (un.unit_rank(docs), un.unit_strengths(docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "levenshtein" not in plan.lower()
+    lexicon = spark.createDataFrame([("Apple", "NN"), ("tree", "NN")], "token string, tag string")
+    found = sm.keyphrases(spark.createDataFrame([(1, "An Apple tree")], "doc_id int, text string"), lexicon)
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(1, "Apple")]
