@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnworks.functions.vectors import once
+
 INDEX_SCHEMA = "name string, id string, in_degree int, out_degree int"
 TOPIC_SCHEMA = "id string, topic int"
 
@@ -21,10 +23,11 @@ def _columns(lines: DataFrame, limit: int = -1) -> DataFrame:
 def parse_adjacency(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``id <tab> {'dst': weight, ...}`` lines as links (src, dst, weight) and the ids
     that have a line of their own (which may list no links). Other lines are left out."""
-    rows = _columns(lines, 2).select(
+    row = F.struct(
         unquote(F.get("c", F.lit(0))).alias("src"),
         F.from_json(F.get("c", F.lit(1)), "map<string,double>").alias("adj"),
     )
+    rows = _columns(lines, 2).select(once(row).alias("row")).select("row.*")
     rows = rows.filter("src <> '' and adj is not null")
     links = rows.select("src", F.explode("adj").alias("dst", "weight"))
     return links, rows.select(F.col("src").alias("id"))
@@ -49,9 +52,10 @@ def parse_index(lines: DataFrame) -> DataFrame:
 def parse_mixed(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Adjacency and index lines in one input, told apart by their column count:
     links, ids with an adjacency line, index."""
-    wide = F.size(F.split(F.trim("value"), "\t"))
-    links, ids = parse_adjacency(lines.filter(wide == 2))
-    return links, ids, parse_index(lines.filter(wide > 2))
+    line = F.struct("value", F.size(F.split(F.trim("value"), "\t")).alias("wide"))
+    told = lines.select(once(line).alias("line")).select("line.*")
+    links, ids = parse_adjacency(told.filter("wide = 2"))
+    return links, ids, parse_index(told.filter("wide > 2"))
 
 
 def read_mixed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tarnworks.functions.distances import matrices, pair_blocks
 from tarnworks.operators import summaries as sm
 from tarnworks.operators import units as un
+from tarnworks.sources.graphs import parse_adjacency, parse_mixed
 from tarnworks.sources.lines import parse_games
 
 
@@ -13,6 +14,10 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def _executed(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_games_are_parsed_once(spark):
     """Each record's head is searched once for names and once for values, whatever is asked of the tags."""
     text = '[White "a"]\n[Date "?"]\n[Black "b"]\n[Date "1"]\n[White "c"]\n\n1. e4 {[Date "2"]}'
@@ -45,9 +50,21 @@ def test_distances_are_measured_in_batches(spark):
     """Not by one expression for each pair; ranks of a document are asked for once."""
     docs = spark.createDataFrame([(1, ["ab", "cd", "abc"])], "doc_id int, units array<string>")
     for df in (un.unit_rank(docs), un.unit_strengths(docs)):
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = _executed(df)
         assert "MapInArrow" in plan and "levenshtein" not in plan.lower()
     lexicon = spark.createDataFrame([("Apple", "NN"), ("tree", "NN")], "token string, tag string")
     found = sm.keyphrases(spark.createDataFrame([(1, "An Apple tree")], "doc_id int, text string"), lexicon)
-    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in _executed(found)
     assert [tuple(r) for r in found.collect()] == [(1, "Apple")]
+
+
+def test_adjacency_lines_are_parsed_once(spark):
+    lines = spark.createDataFrame([("a\t{'b': 1}",), ("c\t{}",), ("n\tc\t1\t2",), ("x",), (None,)], "value string")
+    links, ids = parse_adjacency(lines)
+    assert [tuple(r) for r in links.collect()] == [("a", "b", 1.0)]
+    assert sorted(r.id for r in ids.collect()) == ["a", "c"]
+    assert _plan(links).count("from_json(") == 1
+    links, ids, index = parse_mixed(lines)
+    assert ([tuple(r) for r in links.collect()], index.first().id) == ([("a", "b", 1.0)], "c")
+    below = [x for x in _plan(links).split("Generate explode")[-1].splitlines() if "Filter" in x]
+    assert not below  # the kinds of lines are told above one reading, which both may share
