@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.operators.scale import HOT_ROWS, hot_entries
-from tarnworks.session import checkpoint, pinned_layout, shuffle_width
+from tarnworks.session import checkpoint, pinned_layout, shuffle_width, stored
 
 
 def _or_zero(value: Column | str) -> Column:
@@ -76,7 +76,7 @@ def lay_out(
     """Place nodes and links once, for any number of passes."""
     spark = edges.sparkSession
     width = shuffle_width(spark)
-    edges = checkpoint(whole_links(edges).select("src", "dst"))  # read for nodes and for links
+    edges = stored(whole_links(edges).select("src", "dst"))  # read for nodes and for links
     with pinned_layout(spark):
         nodes = graph_nodes(edges, extra)
         nodes = checkpoint(nodes.repartition(width, "id").sortWithinPartitions("id"))
@@ -108,7 +108,7 @@ def _sent(layout: LinkLayout, state: DataFrame, payload: list[str]) -> DataFrame
 def pagerank_pass(
     layout: LinkLayout, state: DataFrame, alpha: float, normalize: bool = False
 ) -> DataFrame:
-    """One pass over ``state`` (id, degree, rank)."""
+    """One pass over ``state`` (id, degree, rank); other columns of it stay."""
     n = float(layout.size)
     shares = state.withColumn("share", F.col("rank") / F.col("degree"))
     inflow = (
@@ -123,7 +123,7 @@ def pagerank_pass(
     )
     rank = (lost / n + _or_zero("inflow")) * (1 - alpha) + alpha
     return state.join(inflow, "id", "left").select(
-        "id", "degree", (rank / n if normalize else rank).alias("rank")
+        *[c for c in state.columns if c != "rank"], (rank / n if normalize else rank).alias("rank")
     )
 
 
@@ -160,26 +160,25 @@ def pagerank(
 
 
 def damping_sweep(edges: DataFrame, alphas: Sequence[float], passes: int = 10) -> DataFrame:
-    """PageRank at several teleport factors: alpha, id, rank, score. All factors move over the
-    links together, as one array per node."""
+    """PageRank at several teleport factors: alpha, id, rank, score.
+
+    A pass is linear in the ranks, so with ``y[j]`` the ranks after j passes without teleport, those
+    after k passes at factor a are ``sum(a * (1 - a)**j * y[j], j < k) + (1 - a)**k * y[k]``. Only one
+    number moves along a link, whatever the number of factors; the sums stay at the nodes.
+    """
     layout = lay_out(edges)
-    n, slots = float(layout.size), range(len(alphas))
-    spark = edges.sparkSession
-    sums = [F.sum(F.col("share")[i]).alias(f"in_{i}") for i in slots]
-    lost_sums = [_or_zero(F.sum(F.col("p")[i])) for i in slots]
-    with pinned_layout(spark):
-        state = layout.nodes.withColumn("p", F.array_repeat(F.lit(1.0), len(alphas)))
-        for _ in range(passes):
-            shares = state.withColumn("share", F.transform("p", lambda x: x / F.col("degree")))
-            inflow = _sent(layout, shares, ["share"]).groupBy(F.col("dst").alias("id")).agg(*sums)
-            lost = state.filter("degree = 0").agg(F.array(*lost_sums).alias("lost")).scalar()
-            moved = [
-                (lost[i] / n + _or_zero(f"in_{i}")) * (1 - float(a)) + float(a)
-                for i, a in enumerate(alphas)
-            ]
-            state = checkpoint(
-                state.join(inflow, "id", "left").select("id", "degree", F.array(*moved).alias("p"))
-            )
+    n = float(layout.size)
+
+    def added(j: int) -> Column:
+        weights = [(1 - float(a)) ** j * (float(a) if j < passes else 1.0) for a in alphas]
+        terms = F.array(*[F.col("rank") * w for w in weights])
+        return terms if j == 0 else F.zip_with("p", terms, lambda x, y: x + y)
+
+    with pinned_layout(edges.sparkSession):
+        state = layout.nodes.withColumn("rank", F.lit(1.0))
+        state = state.withColumn("p", added(0))
+        for j in range(1, passes + 1):
+            state = checkpoint(pagerank_pass(layout, state, 0.0).withColumn("p", added(j)))
     factors = F.array(*[F.lit(float(a)) for a in alphas])
     pairs = state.select("id", F.explode(F.arrays_zip(factors.alias("alpha"), F.col("p"))).alias("e"))
     rank = F.col("e")["p"]

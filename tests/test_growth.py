@@ -4,8 +4,10 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tarnworks.functions.distances import matrices, pair_blocks
+from tarnworks.operators import graph as g
 from tarnworks.operators import summaries as sm
 from tarnworks.operators import units as un
+from tarnworks.plans import texts
 from tarnworks.sources.graphs import parse_adjacency, parse_mixed
 from tarnworks.sources.lines import parse_games
 
@@ -68,3 +70,32 @@ def test_adjacency_lines_are_parsed_once(spark):
     assert ([tuple(r) for r in links.collect()], index.first().id) == ([("a", "b", 1.0)], "c")
     below = [x for x in _plan(links).split("Generate explode")[-1].splitlines() if "Filter" in x]
     assert not below  # the kinds of lines are told above one reading, which both may share
+
+
+def test_sweep_sends_one_number_along_a_link(spark):
+    """Whatever the number of factors; each has the ranks of a run of its own."""
+    links = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "c"), ("b", "e")]
+    edges = spark.createDataFrame(links, "src string, dst string")
+    alphas = [1.0, 0.5, 0.15, 0.0]
+    got = {(r.alpha, r.id): (r["rank"], r.score) for r in g.damping_sweep(edges, alphas, 7).collect()}
+    assert len(got) == 20
+    for a in alphas:
+        for r in g.pagerank(edges, 7, a).collect():
+            assert np.allclose(got[a, r.id], (r["rank"], r.score), rtol=1e-13)
+    layout = g.lay_out(edges)
+    kept = layout.nodes.withColumns({"rank": F.lit(1.0), "p": F.array(F.lit(7.0), F.lit(8.0))})
+    moved = g.pagerank_pass(layout, kept, 0.0)
+    assert {tuple(r.p) for r in moved.collect()} == {(7.0, 8.0)}
+    exchanged = [x for x in _executed(moved).splitlines() if "Exchange" in x]
+    assert exchanged and not any("p#" in x for x in exchanged)
+
+
+def test_first_places_move_no_words(spark, tmp_path):
+    """Texts are dealt by document before they are cut into words."""
+    rows = [(1, "b a b"), (1, "a c"), (None, "x"), (2, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = texts.first_occurrence(spark, str(tmp_path))
+    assert {tuple(r) for r in found.collect()} == {(1, "b", 0), (1, "a", 0), (1, "c", 1), (None, "x", 0)}
+    plan = _executed(found)
+    plan = plan.split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange") == 1 and "[token" not in plan.split("Exchange")[-1].splitlines()[0]
