@@ -8,6 +8,7 @@ from tarnworks.operators import graph as g
 from tarnworks.operators import summaries as sm
 from tarnworks.operators import units as un
 from tarnworks.plans import texts
+from tarnworks.sources import tables
 from tarnworks.sources.graphs import parse_adjacency, parse_mixed
 from tarnworks.sources.lines import parse_games
 
@@ -99,3 +100,20 @@ def test_first_places_move_no_words(spark, tmp_path):
     plan = _executed(found)
     plan = plan.split("== Initial Plan ==")[-1]
     assert plan.count("Exchange") == 1 and "[token" not in plan.split("Exchange")[-1].splitlines()[0]
+
+
+def test_document_files_are_written_in_place(spark, tmp_path):
+    """By the tasks, one file a document, none renamed or listed; ids need not be fit for names."""
+    rows = [("a/b", "x\r\ny"), ("é 1", ""), (None, "n"), ("two", "1"), ("two", "2"), ("%null", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    folder = f"file:{tmp_path}/d d"
+    manifest = {r.doc_id: (r.path, r.bytes) for r in tables.write_document_files(docs, folder, folders=2).collect()}
+    files = [f for f in (tmp_path / "d d" / "files").rglob("*") if f.is_file()]
+    assert len(files) == len(manifest) == 5
+    assert {f"file:{f}" for f in files} == {p for p, _ in manifest.values()}
+    found = tables.read_document_files(spark, folder)
+    assert "MapInArrow" in _executed(found) and "binaryFile" not in _executed(found)
+    got = {r.doc_id: r.text for r in found.collect()}
+    assert got.pop("two") in ("1\n2", "2\n1")
+    assert got == {"a/b": "x\r\ny", "é 1": "", None: "n", "%null": ""}
+    assert all(manifest[k][1] == len(v.encode()) for k, v in got.items())
