@@ -117,3 +117,34 @@ def test_document_files_are_written_in_place(spark, tmp_path):
     assert got.pop("two") in ("1\n2", "2\n1")
     assert got == {"a/b": "x\r\ny", "é 1": "", None: "n", "%null": ""}
     assert all(manifest[k][1] == len(v.encode()) for k, v in got.items())
+
+
+def test_passes_but_the_last_leave_out_nodes_without_links(spark, monkeypatch):
+    """What these hold is known as one sum; ranks are those of passes over all links."""
+    rng = np.random.default_rng(2)
+    links = sorted({(f"n{a}", f"n{b}") for a, b in rng.integers(0, [12, 40], (150, 2))} | {("n1", "end")})
+    edges = spark.createDataFrame(links, "src string, dst string")
+    extra = spark.createDataFrame([("x",), ("n1",), (None,)], "id string")
+    moved, one = [], g._sent
+    monkeypatch.setattr(g, "_sent", lambda layout, *a: moved.append(layout.links.count()) or one(layout, *a))
+    begun = spark.createDataFrame([("n1", 3.0), ("end", 2.0), ("end", 2.0)], "id string, rank double")
+    for hot_rows, normalize, initial in ((5, True, None), (1000, False, begun)):
+        layout = g.lay_out(edges, extra, hot_rows)
+        flat = g.lay_out(edges, extra, hot_rows, inner=False)
+        runs = [
+            {r.id: r["rank"] for r in g.pagerank(edges, 3, initial=initial, normalize=normalize, layout=x).collect()}
+            for x in (layout, flat)
+        ]
+        assert runs[0].keys() == runs[1].keys() and {"x", "end"} < runs[0].keys()
+        assert all(np.isclose(v, runs[1][k], rtol=1e-13) for k, v in runs[0].items())
+        assert layout.inner.nodes.agg(F.sum("closing")).first()[0] == sum(b not in {a for a, _ in links} for _, b in links)
+    moved.clear()
+    g.pagerank(edges, 3)
+    inside = sum(b in {a for a, _ in links} for _, b in links)
+    assert moved == [inside, inside, len(links)]
+    moved.clear()
+    topics = spark.createDataFrame([("n1", 1), ("end", 2), ("n30", 2), ("x", 1)], "id string, topic int")
+    ranked = g.topic_pagerank(edges, topics, 2, 3, extra_nodes=extra).collect()
+    assert moved == [inside, inside, len(links)]
+    assert len(ranked) == 40 + 1 + 1 - sum(f"n{i}" not in {x for e in links for x in e} for i in range(40))
+    assert all(np.isclose(sum(r.p[i] for r in ranked), len(ranked)) for i in range(3))
