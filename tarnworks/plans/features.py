@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.operators import features as ft
-from tarnworks.session import checkpoint
+from tarnworks.session import checkpoint, stored
 from tarnworks.sources.tables import table
 
 VALUES = ["quantity", "discount", "tax", "flag"]
@@ -129,12 +129,11 @@ def feature_join(spark, d):
 
 def feature_vectors(spark, d):
     """One-hot vectors of the joined features, taken apart again."""
+    joined = stored(feature_join(spark, d))  # read for the index, to fit the encoder and by it
     index = checkpoint(
-        ft.value_index(
-            feature_join(spark, d).select(F.lit("flag").alias("path"), F.col("flag").alias("value")).distinct()
-        )
+        ft.value_index(joined.select(F.lit("flag").alias("path"), F.col("flag").alias("value")).distinct())
     )
-    coded = feature_join(spark, d).join(
+    coded = joined.join(
         index.select(F.col("value").alias("flag"), F.col("idx").cast("double").alias("code")), "flag"
     )
     vectors = ft.one_hot_vectors(coded, ["code"], ["balance", "quantity"])

@@ -7,7 +7,7 @@ from tarnworks.functions.distances import matrices, pair_blocks
 from tarnworks.operators import graph as g
 from tarnworks.operators import summaries as sm
 from tarnworks.operators import units as un
-from tarnworks.plans import texts
+from tarnworks.plans import features, texts
 from tarnworks.sources import tables
 from tarnworks.sources.graphs import parse_adjacency, parse_mixed
 from tarnworks.sources.lines import parse_games
@@ -148,3 +148,13 @@ def test_passes_but_the_last_leave_out_nodes_without_links(spark, monkeypatch):
     assert moved == [inside, inside, len(links)]
     assert len(ranked) == 40 + 1 + 1 - sum(f"n{i}" not in {x for e in links for x in e} for i in range(40))
     assert all(np.isclose(sum(r.p[i] for r in ranked), len(ranked)) for i in range(3))
+
+
+def test_joined_features_are_made_once(spark, tmp_path, monkeypatch):
+    calls = []
+    joined = spark.createDataFrame([(1, "d", "n", 2.0, 3.0, "A"), (2, "d", None, 1.0, 4.0, "R")],
+                                   "plan_id long, drug string, nation string, balance double, quantity double, flag string")
+    monkeypatch.setattr(features, "feature_join", lambda *a: calls.append(a) or joined)
+    found = features.feature_vectors(spark, str(tmp_path))
+    assert len(calls) == 1 and "LocalTableScan" not in _executed(found)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "d", 2.0, 3.0, 0, 1.0, 4), (2, "d", 1.0, 4.0, 1, 1.0, 4)]
