@@ -158,3 +158,14 @@ def test_joined_features_are_made_once(spark, tmp_path, monkeypatch):
     found = features.feature_vectors(spark, str(tmp_path))
     assert len(calls) == 1 and "LocalTableScan" not in _executed(found)
     assert sorted(tuple(r) for r in found.collect()) == [(1, "d", 2.0, 3.0, 0, 1.0, 4), (2, "d", 1.0, 4.0, 1, 1.0, 4)]
+
+
+def test_texts_are_cut_once_for_phrases(spark, tmp_path):
+    rows = [(1, "a keyword1 keyword2 b keyword2 keyword3"), (None, "keyword1 keyword2 b keyword2 c"), (2, None), (3, "keyword1")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = texts.keyphrase_merge(spark, str(tmp_path))
+    plan = _executed(found).split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange") == plan.count("Scan") == 1
+    assert sorted((r.doc_id or 0, r.phrase) for r in found.collect()) == [
+        (0, "keyword1 keyword2"), (0, "keyword2"), (1, "keyword1 keyword2"), (1, "keyword2 keyword3"),
+    ]
