@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tarnworks.operators import components as cc
 from tarnworks.operators import games as gm
-from tarnworks.session import checkpoint
 from tarnworks.sources.lines import parse_games
 from tarnworks.sources.tables import table
 
@@ -63,7 +62,7 @@ def game_points_strict(spark, d):
 def game_groups(spark, d):
     """Groups of players connected by games."""
     edges = gm.game_edges(games(spark, d)).distinct()
-    return cc.component_sizes(cc.connected_components(checkpoint(edges)))
+    return cc.component_sizes(cc.connected_components(edges))
 
 
 def game_parse(spark, d):

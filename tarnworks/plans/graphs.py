@@ -176,7 +176,7 @@ def topic_top_ties(spark, d):
 
 
 def components(spark, d):
-    return cc.connected_components(checkpoint(trade_edges(spark, d)), all_traders(spark, d))
+    return cc.connected_components(trade_edges(spark, d), all_traders(spark, d))
 
 
 def component_sizes(spark, d):

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tarnworks.functions.distances import matrices, pair_blocks
+from tarnworks.operators import components as cc
 from tarnworks.operators import graph as g
 from tarnworks.operators import summaries as sm
 from tarnworks.operators import units as un
@@ -169,3 +170,20 @@ def test_texts_are_cut_once_for_phrases(spark, tmp_path):
     assert sorted((r.doc_id or 0, r.phrase) for r in found.collect()) == [
         (0, "keyword1 keyword2"), (0, "keyword2"), (1, "keyword1 keyword2"), (1, "keyword2 keyword3"),
     ]
+
+
+def test_rounds_of_components_see_few_pairs(spark, monkeypatch):
+    """Ties of nodes to their smallest neighbour, and pairs between their trees; not all pairs."""
+    rng = np.random.default_rng(4)
+    links = {(f"b{i % 3}x{a}", f"b{i % 3}y{b}") for i, (a, b) in enumerate(rng.integers(0, 30, (1500, 2)))}
+    links |= {(f"p{i}", f"p{i + 1}") for i in range(20)} | {("l", "l"), (None, "o"), ("q", None)}
+    seen, one = [], cc._tie_larger
+    monkeypatch.setattr(cc, "_tie_larger", lambda pairs, hot: seen.append(pairs.count()) or one(pairs, hot))
+    edges = spark.createDataFrame(sorted(links, key=str), "src string, dst string")
+    for hot_rows in (10, 100_000):
+        got = {r.id: r.component for r in cc.connected_components(edges, edges.select(F.lit("z").alias("id")), hot_rows).collect()}
+        for i in got:
+            near = f"b{i[1]}x" if i and i[0] == "b" else "p" if i and i[0] == "p" else i
+            assert got[i] == (min(x for x in got if x and x.startswith(near)) if near else None)
+        assert len(got) == len({x for e in links for x in e} | {"z"})
+    assert max(seen) <= len(got)
