@@ -8,6 +8,7 @@ from tarnworks.operators import components as cc
 from tarnworks.operators import graph as g
 from tarnworks.operators import summaries as sm
 from tarnworks.operators import units as un
+from tarnworks.functions.text import first_words
 from tarnworks.plans import features, texts
 from tarnworks.sources import tables
 from tarnworks.sources.graphs import parse_adjacency, parse_mixed
@@ -187,3 +188,11 @@ def test_rounds_of_components_see_few_pairs(spark, monkeypatch):
             assert got[i] == (min(x for x in got if x and x.startswith(near)) if near else None)
         assert len(got) == len({x for e in links for x in e} | {"z"})
     assert max(seen) <= len(got)
+
+
+def test_first_words_cut_no_more(spark):
+    text = F.concat(F.lit(" "), F.repeat(F.lit("a  b\n"), 60))
+    row = spark.range(1).select(*[first_words(text, n).alias(f"n{n}") for n in (1, 101, 120, 500)]).first()
+    words = ["a", "b"] * 60
+    assert [*row] == [" ".join(words[:n]) for n in (1, 101, 120, 500)]
+    assert ", 103)" in _plan(spark.range(1).select(F.col("id").cast("string").alias("t")).select(first_words(F.col("t"))))
