@@ -8,6 +8,7 @@ from tarnworks.operators import components as cc
 from tarnworks.operators import graph as g
 from tarnworks.operators import summaries as sm
 from tarnworks.operators import units as un
+from tarnworks.operators.scale import dealt
 from tarnworks.functions.text import first_words
 from tarnworks.plans import features, texts
 from tarnworks.sources import tables
@@ -196,3 +197,26 @@ def test_first_words_cut_no_more(spark):
     words = ["a", "b"] * 60
     assert [*row] == [" ".join(words[:n]) for n in (1, 101, 120, 500)]
     assert ", 103)" in _plan(spark.range(1).select(F.col("id").cast("string").alias("t")).select(first_words(F.col("t"))))
+
+
+def test_rows_are_dealt_evenly_by_slot(spark):
+    rows = dealt(spark.range(3000), 24, "id").withColumn("part", F.spark_partition_id())
+    parts = rows.groupBy("slot").agg(F.count_distinct("part").alias("n"), F.first("part").alias("part")).collect()
+    assert {r.n for r in parts} == {1} and {r.part for r in parts} == set(range(24))
+
+
+def test_tags_move_no_rows_of_documents(spark, monkeypatch):
+    """Words of documents are joined where they lie; what moves has no document."""
+    plans, one = [], sm.stored
+    monkeypatch.setattr(sm, "stored", lambda df: plans.append(_executed(df)) or one(df))
+    docs = spark.createDataFrame([(d, ["the", "cat", "the"]) for d in range(9)] + [(None, ["cat"])], "doc_id int, tokens array<string>")
+    lexicon = spark.createDataFrame([("cat", "NN"), ("dog", "NN")], "token string, tag string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sm.tag_words(docs, lexicon).select("doc_id", "token", "tag", "pos").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {tuple(r) for r in got} == {(d, "cat", "NN", 1) for d in range(9)} | {(None, "cat", "NN", 0)}
+    moved = [x for x in plans[0].splitlines() if "Exchange hashpartitioning(" in x]
+    assert moved and not any("doc_id" in x for x in moved), plans[0]
