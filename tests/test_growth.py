@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tarnworks.functions.distances import matrices, pair_blocks
 from tarnworks.operators import components as cc
 from tarnworks.operators import graph as g
+from tarnworks.operators import sentences as sr
 from tarnworks.operators import summaries as sm
 from tarnworks.operators import units as un
 from tarnworks.operators.scale import dealt
@@ -220,3 +221,18 @@ def test_tags_move_no_rows_of_documents(spark, monkeypatch):
     assert {tuple(r) for r in got} == {(d, "cat", "NN", 1) for d in range(9)} | {(None, "cat", "NN", 0)}
     moved = [x for x in plans[0].splitlines() if "Exchange hashpartitioning(" in x]
     assert moved and not any("doc_id" in x for x in moved), plans[0]
+
+
+def test_overlap_ranks_of_usual_documents_take_one_job(spark, monkeypatch):
+    """No pass over all documents for them; ranks are those of the passes, which others still take."""
+    rng = np.random.default_rng(6)
+    rows = [(d, i, [f"w{x}" for x in rng.integers(0, 12, n)]) for d in range(5) for i, n in enumerate(rng.integers(1, 7, 9))]
+    rows += [(3, 0, ["w1", "w2"]), (None, 0, ["w1"]), (1, 20, []), (1, 21, None), (1, 22, [None])]
+    df = spark.createDataFrame(rows, "doc_id int, id int, tokens array<string>")
+    monkeypatch.setattr(sr, "TABLE_CELLS", 30)
+    passes, one = [], sr._overlap_passes
+    monkeypatch.setattr(sr, "_overlap_passes", lambda some, *a: passes.append({r.doc_id for r in some.collect()}) or one(some, *a))
+    got = {(r.doc_id, r.id): r["rank"] for r in sr.overlap_rank(df).collect()}
+    assert passes == [{3, None}]
+    wanted = {(r.doc_id, r.id): r["rank"] for r in one(df, 0.85, 1e-6, 100, 10**6).collect()}
+    assert got.keys() == wanted.keys() and all(np.isclose(v, wanted[k], rtol=1e-9) for k, v in got.items())
