@@ -1,8 +1,11 @@
 """Work that grew faster than its input: each test looks at what a mended step does."""
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
+from tarnworks.functions import distances
 from tarnworks.functions.distances import matrices, pair_blocks
 from tarnworks.operators import components as cc
 from tarnworks.operators import graph as g
@@ -53,6 +56,20 @@ def test_distances_of_all_lengths():
     assert matrices([few])[0].tolist() == [[0, 1000, 6000], [1000, 0, 5001], [6000, 5001, 0]]
 
 
+def test_pairs_of_all_lengths_go_side_by_side(monkeypatch):
+    """Not in a group for each number of words, nor one by one."""
+    letter = random.Random(3)
+    units = ["".join(letter.choice("abcde ") for _ in range(n)) for n in [*range(1, 400, 23), 63, 64, 65, 128]]
+    left, right = np.triu_indices(len(units), 1)
+    want = [distances._whole_number(units[a], units[b]) for a, b in zip(left, right)]
+    calls = []
+    measure = distances._measure
+    monkeypatch.setattr(distances, "_measure", lambda *args: calls.append(len(args[6])) or measure(*args))
+    monkeypatch.setattr(distances, "_whole_number", lambda *_: 1 / 0)
+    assert distances.pair_distances(units, left, right).tolist() == want
+    assert len(calls) <= 2 and sum(calls) == len(want)  # single words and all others
+
+
 def test_distances_are_measured_in_batches(spark):
     """Not by one expression for each pair; ranks of a document are asked for once."""
     docs = spark.createDataFrame([(1, ["ab", "cd", "abc"])], "doc_id int, units array<string>")
