@@ -109,7 +109,7 @@ def pagerank_normalized(spark, d):
 
 def pagerank_resumed(spark, d):
     """Half of the passes, ranks kept in files with a doubled row, and the other half."""
-    edges = checkpoint(trade_edges(spark, d))
+    edges = trade_edges(spark, d)  # kept by the layout alone
     layout = g.lay_out(edges)
     folder = fresh_folder(spark, "ranks")
     files.save_state(g.pagerank(edges, PASSES // 2, ALPHA, layout=layout), folder)

@@ -14,7 +14,7 @@ from tarnworks.operators import summaries as sm
 from tarnworks.operators import units as un
 from tarnworks.operators.scale import dealt
 from tarnworks.functions.text import first_words
-from tarnworks.plans import features, texts
+from tarnworks.plans import features, graphs, texts
 from tarnworks.sources import tables
 from tarnworks.sources.graphs import parse_adjacency, parse_mixed
 from tarnworks.sources.lines import parse_games
@@ -94,6 +94,18 @@ def test_adjacency_lines_are_parsed_once(spark):
     assert not below  # the kinds of lines are told above one reading, which both may share
 
 
+def test_resumed_ranks_keep_the_links_once(spark, tmp_path, monkeypatch):
+    """In the layout that both halves use, not beside it too."""
+    spark.createDataFrame([(1, 1), (2, 2)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(
+        [(1, 5, 3, "N"), (1, 6, 4, "R"), (2, 5, 4, "N"), (2, 7, 3, "A")],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_returnflag string",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    whole = graphs.pagerank_trade(spark, str(tmp_path)).collect()
+    monkeypatch.setattr(graphs, "checkpoint", lambda _: 1 / 0)
+    assert sorted(graphs.pagerank_resumed(spark, str(tmp_path)).collect()) == sorted(whole)
+
+
 def test_sweep_sends_one_number_along_a_link(spark):
     """Whatever the number of factors; each has the ranks of a run of its own."""
     links = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "c"), ("b", "e")]
