@@ -82,6 +82,22 @@ def test_distances_are_measured_in_batches(spark):
     assert [tuple(r) for r in found.collect()] == [(1, "Apple")]
 
 
+def test_phrases_shuffle_texts_not_words(spark, monkeypatch):
+    """Words stay with their text while they are tagged and meet the keywords."""
+    plans = []
+    for module in (sm, un):
+        keep = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, keep=keep: plans.append(_executed(df)) or keep(df))
+    docs = spark.createDataFrame([(1, "An Apple tree, Apple pie"), (2, "No Pear tree")], "doc_id int, text string")
+    lexicon = spark.createDataFrame([(w, "NN") for w in ("Apple", "Pear", "tree")], "token string, tag string")
+    found = sorted(tuple(r) for r in sm.keyphrases(docs, lexicon).collect())
+    assert found == [(1, "Apple"), (2, "Pear")]
+    shuffled = [[x for x in p.splitlines() if "- Exchange hashpartitioning(" in x] for p in (plans[0], plans[-1])]
+    assert sum("hashpartitioning(slot" in x for x in shuffled[0]) == 2  # texts and tags
+    assert len(shuffled[1]) == 2 and all("hashpartitioning(doc_id" in x for x in shuffled[1])  # texts and keywords
+    assert "SortMergeJoin" not in plans[-1] and plans[-1].count("ShuffledHashJoin") == 3
+
+
 def test_adjacency_lines_are_parsed_once(spark):
     lines = spark.createDataFrame([("a\t{'b': 1}",), ("c\t{}",), ("n\tc\t1\t2",), ("x",), (None,)], "value string")
     links, ids = parse_adjacency(lines)
@@ -101,6 +117,7 @@ def test_resumed_ranks_keep_the_links_once(spark, tmp_path, monkeypatch):
         [(1, 5, 3, "N"), (1, 6, 4, "R"), (2, 5, 4, "N"), (2, 7, 3, "A")],
         "l_orderkey long, l_partkey long, l_suppkey long, l_returnflag string",
     ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(graphs, "PASSES", 2)
     whole = graphs.pagerank_trade(spark, str(tmp_path)).collect()
     monkeypatch.setattr(graphs, "checkpoint", lambda _: 1 / 0)
     assert sorted(graphs.pagerank_resumed(spark, str(tmp_path)).collect()) == sorted(whole)
